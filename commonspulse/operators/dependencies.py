@@ -8,14 +8,20 @@ Arrow-batched UDF.  Names are normalised, sorted and counted by Spark.
 from __future__ import annotations
 
 import ast
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from commonspulse.functions.expressions import package_name, stripped
 
+# Executors get the helper functions with the task and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def literal_requirements(source: str | None) -> list[str]:
     """Requirement texts of every ``setup(install_requires=...)`` call, never executing code."""
@@ -53,7 +59,7 @@ def _texts(node: ast.AST | None) -> list[str] | None:
     return values if all(isinstance(v, str) for v in values) else None
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def _requirement_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for sources in batches:
         yield sources.map(literal_requirements)

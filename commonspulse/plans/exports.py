@@ -9,16 +9,21 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import uuid
 from collections.abc import Iterable
 from datetime import date
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from commonspulse import constants as C
 from commonspulse.plans import documents as D
 
+# Executors get the file writer with the task and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Target lists longer than this get their file names as a table beside the manifest.
 MANIFEST_NAMES = 10_000
 

@@ -15,7 +15,8 @@ from commonspulse.session import build_session  # noqa: E402
 
 def main(sf_dir: str, parts: list[str]) -> int:
     spark = build_session("checks", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false"})
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     connection, oracles, failed = connect(sf_dir), entry.oracle_sql(), 0
     for name, function in entry.queries().items():
