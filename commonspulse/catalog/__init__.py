@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from commonspulse.catalog import panel_queries, view_queries  # noqa: F401
+from commonspulse.catalog import load_queries, panel_queries, view_queries  # noqa: F401
 from commonspulse.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
