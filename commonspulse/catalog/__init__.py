@@ -1,6 +1,12 @@
 """All registered queries."""
 
-from commonspulse.catalog import load_queries, panel_queries, view_queries  # noqa: F401
+from commonspulse.catalog import (  # noqa: F401
+    function_queries,
+    io_queries,
+    load_queries,
+    panel_queries,
+    view_queries,
+)
 from commonspulse.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -195,8 +195,5 @@ def archive_landing(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "archive-landing", write)
 
 
-ARCHIVE_TEMPLATE = "{root}/hour={stem}"
-
-
 def month_table(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "month-table", lambda path: write_month_table(raw_events(spark, sf_dir), path))

@@ -12,7 +12,10 @@ from commonspulse import schemas
 from commonspulse.sources.months import month_bounds, month_key
 
 # Fixed value: date and unpadded hour at the end of an archive path.
-HOUR_IN_PATH = r"(\d{4}-\d{2}-\d{2})-(\d{1,2})"
+HOUR_IN_PATH = r"(\d{4}-\d{2}-\d{2})-(\d{1,2})[^/]*(?:/[^/]*)?$"
+
+LINE = f"{schemas.RAW_EVENT}, _corrupt string"
+JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
 
 def hours_in(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
@@ -44,10 +47,8 @@ def archive_hours(start: datetime, end: datetime) -> list[datetime]:
     return [first + timedelta(hours=i) for i in range(count)]
 
 
-def archive_paths(root: str, start: datetime, end: datetime, template: str = "{root}/{stem}.json.gz") -> list[str]:
-    return [
-        template.format(root=root, stem=f"{h:%Y-%m-%d}-{h.hour}") for h in archive_hours(start, end)
-    ]
+def archive_paths(root: str, start: datetime, end: datetime) -> list[str]:
+    return [f"{root}/{h:%Y-%m-%d}-{h.hour}.json.gz" for h in archive_hours(start, end)]
 
 
 def read_archive(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -56,38 +57,44 @@ def read_archive(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     ``payload`` keeps its JSON text.  One gzip file is one task, so the files
     spread over the cluster; compact them once with :func:`write_month_table`.
     """
-    schema = f"{schemas.RAW_EVENT}, _corrupt string"
-    rows = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(paths if isinstance(paths, str) else list(paths))
-    )
-    return _with_hour(rows, F.col("_metadata.file_path"))
+    return _parsed(spark.read.schema(LINE).options(**JSON_OPTIONS).json(
+        paths if isinstance(paths, str) else list(paths)))
+
+
+def read_hours(spark: SparkSession, root: str, start: datetime, end: datetime) -> DataFrame:
+    """Events of the files below ``root`` whose hour is in the range, ``start`` floored, ``end`` excluded.
+
+    The range is a filter on the file path, so other files are listed but not
+    opened.  Events are not trimmed to the minute: files count whole.
+    """
+    rows = spark.read.schema(LINE).options(**JSON_OPTIONS).option("recursiveFileLookup", "true").json(root)
+    hour = _hour_of_path()
+    low, high = (F.lit(m if m.tzinfo else m.replace(tzinfo=UTC)) for m in (start, end))
+    return _parsed(rows.where((hour >= F.date_trunc("hour", low)) & (hour < high)))
+
+
+def missing_hours(hours: DataFrame, events: DataFrame) -> DataFrame:
+    """Hours asked for of which no event is there: not observed, rather than observed as zero."""
+    return hours.join(events.select("archive_hour").distinct(), "archive_hour", "left_anti")
 
 
 def read_archive_stream(spark: SparkSession, root: str, max_files: int = 1000) -> DataFrame:
     """The same rows as a stream over a landing folder."""
-    schema = f"{schemas.RAW_EVENT}, _corrupt string"
-    rows = (
-        spark.readStream.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("maxFilesPerTrigger", max_files)
-        .option("recursiveFileLookup", "true")
-        .json(root)
+    return _parsed(
+        spark.readStream.schema(LINE).options(**JSON_OPTIONS)
+        .option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", "true").json(root)
     )
-    return _with_hour(rows, F.col("_metadata.file_path"))
 
 
-def _with_hour(rows: DataFrame, path: F.Column) -> DataFrame:
-    hour = F.concat(
-        F.regexp_extract(path, HOUR_IN_PATH, 1),
-        F.lit(" "),
-        F.lpad(F.regexp_extract(path, HOUR_IN_PATH, 2), 2, "0"),
-    )
+def _hour_of_path() -> F.Column:
+    path = F.col("_metadata.file_path")
+    day, hour = (F.regexp_extract(path, HOUR_IN_PATH, i) for i in (1, 2))
+    return F.try_to_timestamp(F.concat(day, F.lit(" "), F.lpad(hour, 2, "0")), F.lit("yyyy-MM-dd HH"))
+
+
+def _parsed(rows: DataFrame) -> DataFrame:
     return (
-        rows.select("*", F.try_to_timestamp(hour, F.lit("yyyy-MM-dd HH")).alias("archive_hour"))
+        rows.select("*", _hour_of_path().alias("archive_hour"))
         # A line that is no JSON leaves nothing behind; one with a mistyped field
         # keeps its other fields.
         .where(F.col("_corrupt").isNull() | F.col("id").isNotNull() | F.col("type").isNotNull())

@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from commonspulse import schemas
 
 
-def read_table(spark: SparkSession, root: str, name: str, missing_ok: bool = False) -> DataFrame:
-    """A table by name; a missing folder is an empty table when ``missing_ok``."""
-    schema = schemas.table_schema(name)
-    try:
-        return spark.read.schema(schema).parquet(os.path.join(root, name))
-    except AnalysisException as error:
-        if missing_ok and "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame([], schema)
-        raise
+def create_folder(spark: SparkSession, path: str, schema: str) -> None:
+    """An empty table, unless the folder is there already."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+
+
+def create_tables(spark: SparkSession, root: str, names: Iterable[str] = tuple(schemas.TABLES)) -> None:
+    """Create what is missing; safe to repeat."""
+    for name in names:
+        create_folder(spark, os.path.join(root, name), schemas.TABLES[name])
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.schema(schemas.table_schema(name)).parquet(os.path.join(root, name))
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str) -> None:

@@ -15,12 +15,12 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from commonspulse import schemas
 from commonspulse.operators.filters import archive_types, of_organizations
 from commonspulse.operators.merge import absent_rows
 from commonspulse.operators.projections import archive_commit_rows, event_rows
+from commonspulse.sources.tables import create_folder
 
 BATCH = "batch"
 
@@ -30,15 +30,15 @@ EVENT_ORDER = ("archive_hour", "created_at", "repo_id", "actor_login", "payload"
 COMMIT_ORDER = ("archive_hour", "event_time", "id", "position", "message")
 
 
+def create(spark: SparkSession, root: str) -> None:
+    """Empty event and commit tables, unless they are there already."""
+    for name in ("gharchive_event", "commit_activity"):
+        create_folder(spark, os.path.join(root, name, f"{BATCH}=-1"), schemas.TABLES[name])
+
+
 def stored_rows(spark: SparkSession, root: str, schema: str, before: int | None = None) -> DataFrame:
     """Rows of all batches, or of those before one; other folders are not read."""
-    full = f"{schema}, {BATCH} bigint"
-    try:
-        rows = spark.read.schema(full).parquet(root)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        rows = spark.createDataFrame([], full)
+    rows = spark.read.schema(f"{schema}, {BATCH} bigint").parquet(root)
     if before is not None:
         rows = rows.where(F.col(BATCH) < before)
     return rows.drop(BATCH)
@@ -54,7 +54,7 @@ def append_absent(rows: DataFrame, root: str, schema: str, keys: Sequence[str],
 
 def ingest_batch(root: str, organizations: DataFrame | None = None,
                  collected_at: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: raw archive events to event and commit tables.
+    """A ``foreachBatch`` function: raw archive events to the tables made by ``create``.
 
     ``organizations(login)`` limits the ingest to matching events.  Stored
     events and stored commits always stay as they are.
