@@ -13,8 +13,21 @@ from pyspark.sql import functions as F
 
 from commonspulse.session import pin_utc, scratch_dir
 from commonspulse.sources.archive import write_month_table
-
-BASE_TABLES = ("customer", "orders", "lineitem", "events", "part", "supplier", "nation", "region")
+from commonspulse.sources.tables import spread
+
+# Schemas of the given tables, so that opening one reads no file.
+BASE_TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
 
 VIEWS = {
     # Nine event types, nullable mixed-case organizations, JSON payloads, replayed ids.
@@ -116,19 +129,39 @@ def cte(*names: str) -> str:
     return "with " + ",\n".join(f"{n} as ({VIEWS[n]})" for n in names) + "\n"
 
 
+# Opened tables and views, so that queries share their plans.
+_opened: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _shared(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _opened:
+        _opened[key] = make()
+    return _opened[key]
+
+
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A given table; the first column spreads a small one."""
+    def opened() -> DataFrame:
+        schema = BASE_TABLES[name]
+        rows = spark.read.schema(schema).parquet(os.path.join(sf_dir, f"{name}.parquet"))
+        return spread(rows, schema.split()[0])
+
+    return _shared(spark, sf_dir, f"{name}.parquet", opened)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One adapter view; timestamps become instants in UTC."""
+    def made() -> DataFrame:
+        for table in BASE_TABLES:
+            if table in VIEWS[name]:
+                base(spark, sf_dir, table).createOrReplaceTempView(table)
+        rows = spark.sql(VIEWS[name])
+        moments = {c: F.col(c).cast("timestamp") for c, t in rows.dtypes if t == "timestamp_ntz"}
+        return rows.withColumns(moments) if moments else rows
+
     pin_utc(spark)
-    for table in BASE_TABLES:
-        if table in VIEWS[name]:
-            base(spark, sf_dir, table).createOrReplaceTempView(table)
-    rows = spark.sql(VIEWS[name])
-    moments = {c: F.col(c).cast("timestamp") for c, t in rows.dtypes if t == "timestamp_ntz"}
-    return rows.withColumns(moments) if moments else rows
+    return _shared(spark, sf_dir, name, made)
 
 
 def views(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:

@@ -76,12 +76,10 @@ select event_id, repo_id, created_at,
   case when json_type(payload, '$.commits') = 'ARRAY' then cast(json_array_length(payload, '$.commits') as int) end as commits
 from raw_event""")
 def json_paths(spark, sf_dir):
-    payload = F.col("payload")
-    return view(spark, sf_dir, "raw_event").select(
-        "event_id", "repo_id", ntz("created_at"), X.json_scalar(payload, "$.action").alias("action"),
-        X.json_scalar(payload, "$.forkee.owner.id").alias("owner"),
-        X.json_scalar(payload, "$.pull_request.merged").alias("merged"),
-        X.json_array_size(payload, "$.commits").alias("commits"))
+    rows = X.json_scalars(view(spark, sf_dir, "raw_event"), "payload", action="$.action",
+                          owner="$.forkee.owner.id", merged="$.pull_request.merged")
+    return rows.select("event_id", "repo_id", ntz("created_at"), "action", "owner", "merged",
+                       X.json_array_size(F.col("payload"), "$.commits").alias("commits"))
 
 
 @query("fn_json_text", """

@@ -106,9 +106,7 @@ def target_panel(spark, sf_dir) -> DataFrame:
 
 
 def dense_login_panel(spark, sf_dir) -> DataFrame:
-    panel = login_panel(spark, sf_dir)
-    return panels.dense_panel(panel.select("org_login").distinct(), panel, ["org_login"],
-                              C.LOGIN_PANEL_METRICS, FIRST, LAST)
+    return panels.dense_panel(login_panel(spark, sf_dir), ["org_login"], C.LOGIN_PANEL_METRICS, FIRST, LAST)
 
 
 query("a1_org_month_panel", LOGIN_PANEL + "select * from panel")(login_panel)
@@ -163,9 +161,9 @@ def commits_in_pushes(spark, sf_dir):
 @query("a7_push_sizes", cte("raw_event") + TYPED + """
 select event_org_id, cast(sum(commits_in_push) as bigint) as commits from typed group by 1""")
 def push_sizes(spark, sf_dir):
-    size = X.push_size(F.col("type"), F.col("payload"))
-    key = X.as_bigint(F.col("org.id")).alias("event_org_id")
-    return raw_events(spark, sf_dir).groupBy(key).agg(F.sum(size).alias("commits"))
+    events = X.json_scalars(raw_events(spark, sf_dir), "payload", size="$.size")
+    commits = X.push_size(F.col("type"), F.col("size"), F.col("payload"))
+    return events.groupBy(X.as_bigint(F.col("org.id")).alias("event_org_id")).agg(F.sum(commits).alias("commits"))
 
 
 _SUMS = ", ".join(f"cast(sum({m}) as bigint) as {m}" for m in C.LOGIN_ADDITIVE_METRICS)

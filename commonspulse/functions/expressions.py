@@ -5,19 +5,27 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commonspulse import constants as C
 
 
-def json_scalar(text: Column, path: str) -> Column:
-    """The value at ``path`` if it is a JSON scalar; null for objects and arrays."""
-    value = F.get_json_object(text, path)
-    nested = (
-        value.startswith("{") & F.json_object_keys(value).isNotNull()
-    ) | (value.startswith("[") & F.json_array_length(value).isNotNull())
-    return F.when(~nested, value)
+def scalar_text(value: Column) -> Column:
+    """An extracted JSON value if it is a scalar; null for objects and arrays."""
+    is_object = value.startswith("{") & F.json_object_keys(value).isNotNull()
+    is_array = value.startswith("[") & F.json_array_length(value).isNotNull()
+    return F.when(~(is_object | is_array), value)
+
+
+def json_scalars(rows: DataFrame, text: str, **paths: str) -> DataFrame:
+    """``rows`` with one column per path, holding the scalar there or null.
+
+    The values are extracted in one step and tested in the next, so no path is
+    evaluated twice.
+    """
+    found = rows.withColumns({name: F.get_json_object(text, path) for name, path in paths.items()})
+    return found.withColumns({name: scalar_text(F.col(name)) for name in paths})
 
 
 def json_array_size(text: Column, path: str) -> Column:
@@ -105,13 +113,11 @@ def push_commits(kind: Column, payload: Column) -> Column:
     ).otherwise(F.lit(0)).cast("bigint")
 
 
-def push_size(kind: Column, payload: Column) -> Column:
-    """Commits announced by a push: its size field, else the list length, else 0."""
+def push_size(kind: Column, size: Column, payload: Column) -> Column:
+    """Commits announced by a push: its ``size`` value, else the list length, else 0."""
     return F.when(
         kind == "PushEvent",
         F.coalesce(
-            as_bigint(json_scalar(payload, "$.size")),
-            json_array_size(payload, "$.commits").cast("bigint"),
-            F.lit(0).cast("bigint"),
+            as_bigint(size), json_array_size(payload, "$.commits").cast("bigint"), F.lit(0).cast("bigint")
         ),
     ).otherwise(F.lit(0).cast("bigint"))

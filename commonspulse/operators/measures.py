@@ -1,9 +1,9 @@
 """Research measures strictly before a cutoff, for many (organization, cutoff) pairs at once.
 
 A fact is never paired with every cutoff of its organization.  Facts are
-counted per organization and day, running sums over days give the count before
-the day of each cutoff, and only days that contain a cutoff within the day keep
-exact times.
+counted per organization and day; only days that a cutoff splits keep exact
+times.  One running sum per organization over these counts is read off at each
+cutoff.
 """
 
 from __future__ import annotations
@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from commonspulse.functions.expressions import dummy, log_plus_one
 
-COUNTS = ("repos", "original_repos", "forked_repos", "commits", "issues", "pulls")
+# What is counted, one kind per counted row; the repository counts come first.
+PORTFOLIO = ("original_repos", "forked_repos", "other_repos")
+FACTS = ("commits", "issues", "pulls")
+COUNTS = ("repos", "original_repos", "forked_repos", *FACTS)
 
 
 def cutoff_measures(targets: DataFrame, organizations: DataFrame, repositories: DataFrame,
@@ -25,13 +28,23 @@ def cutoff_measures(targets: DataFrame, organizations: DataFrame, repositories:
     ``open_source_washer`` one.
     """
     wanted = targets.select(F.lower("login").alias("org_key"), "cutoff").distinct()
-    # Only organizations somebody asked for go on.
-    asked = wanted.select("org_key").distinct()
-    orgs = organizations.select("org_id", F.lower("login").alias("org_key")).join(asked, "org_key", "left_semi")
-    scoped = repositories.join(orgs, "org_id").select("repo_id", "org_key", "is_fork", "created_at")
-
+    orgs = organizations.select("org_id", F.lower("login").alias("org_key"))
+    marks = wanted.join(orgs, "org_key").select("org_key", "org_id", F.col("cutoff").alias("moment"))
+    scoped = repositories.select("repo_id", "org_id", "is_fork", "created_at").join(
+        marks.select("org_id"), "org_id", "left_semi"
+    )
+    split_days = (
+        marks.where(F.col("moment") > F.to_date("moment").cast("timestamp"))
+        .select("org_id", F.to_date("moment").alias("day")).distinct()
+    )
     facts = _timed(commits, issues, pulls)
-    counted = _before(wanted, _per_day(scoped, facts), _within_cut_days(scoped, facts, wanted))
+    counted = _before(
+        marks,
+        _per_day(scoped, facts).join(split_days, ["org_id", "day"], "left_anti"),
+        _within_days(scoped, facts, split_days),
+    )
+    # A fork flag is required; a row without one still counts as a repository.
+    counted = counted.withColumn("repos", sum((F.col(c) for c in PORTFOLIO), F.lit(0)))
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS]
     measured = (
         targets.withColumn("org_key", F.lower("login"))
@@ -50,81 +63,61 @@ def cutoff_measures(targets: DataFrame, organizations: DataFrame, repositories:
 
 
 def _timed(commits: DataFrame, issues: DataFrame, pulls: DataFrame) -> DataFrame:
-    """All facts as ``repo_id``, time, day and a mark in the column of their kind."""
-    def marked(rows: DataFrame, name: str, moment: Column) -> DataFrame:
-        return rows.select("repo_id", moment.alias("moment"), F.lit(1).alias(name))
+    """All facts as ``repo_id``, kind, time and day."""
+    def of_kind(rows: DataFrame, kind: str, moment: Column) -> DataFrame:
+        return rows.select("repo_id", F.lit(kind).alias("kind"), moment.alias("moment"))
 
     return (
-        marked(commits, "commits", F.coalesce("author_time", "event_time"))
-        .unionByName(marked(issues, "issues", F.col("created_at")), allowMissingColumns=True)
-        .unionByName(marked(pulls, "pulls", F.col("created_at")), allowMissingColumns=True)
+        of_kind(commits, "commits", F.coalesce("author_time", "event_time"))
+        .unionByName(of_kind(issues, "issues", F.col("created_at")))
+        .unionByName(of_kind(pulls, "pulls", F.col("created_at")))
         .where(F.col("moment").isNotNull())
         .withColumn("day", F.to_date("moment"))
     )
 
 
-def _repository_marks(scoped: DataFrame) -> DataFrame:
+def _created(scoped: DataFrame) -> DataFrame:
+    kind = F.when(F.col("is_fork"), "forked_repos").when(~F.col("is_fork"), "original_repos")
     return scoped.where(F.col("created_at").isNotNull()).select(
-        "org_key", F.col("created_at").alias("moment"), F.to_date("created_at").alias("day"),
-        F.lit(1).alias("repos"),
-        F.when(~F.col("is_fork"), 1).alias("original_repos"),
-        F.when(F.col("is_fork"), 1).alias("forked_repos"),
+        "org_id", F.coalesce(kind, F.lit("other_repos")).alias("kind"),
+        F.col("created_at").alias("moment"), F.to_date("created_at").alias("day"), F.lit(1).alias("n"),
     )
 
 
 def _per_day(scoped: DataFrame, facts: DataFrame) -> DataFrame:
-    """Counts per organization and day; facts shrink per repository and day before the join."""
-    kinds = ("commits", "issues", "pulls")
-    shrunk = facts.groupBy("repo_id", "day").agg(*[F.count(c).alias(c) for c in kinds])
-    rows = shrunk.join(scoped.select("repo_id", "org_key"), "repo_id").drop("repo_id")
-    own = _repository_marks(scoped).drop("moment")
-    return rows.unionByName(own, allowMissingColumns=True).groupBy("org_key", "day").agg(
-        *[F.sum(c).alias(c) for c in COUNTS]
-    )
+    """Counts per organization, kind and day; facts shrink per repository and day before the join."""
+    shrunk = facts.groupBy("repo_id", "kind", "day").agg(F.count(F.lit(1)).alias("n"))
+    rows = shrunk.join(scoped.select("repo_id", "org_id"), "repo_id").drop("repo_id")
+    both = rows.unionByName(_created(scoped).drop("moment"))
+    return both.groupBy("org_id", "kind", "day").agg(F.sum("n").alias("n"))
 
 
-def _within_cut_days(scoped: DataFrame, facts: DataFrame, wanted: DataFrame) -> DataFrame:
+def _within_days(scoped: DataFrame, facts: DataFrame, split_days: DataFrame) -> DataFrame:
     """Counts by exact time, only on days that a cutoff splits."""
-    cut_days = (
-        wanted.select("org_key", F.to_date("cutoff").alias("day"), "cutoff")
-        .where(F.col("cutoff") > F.col("day").cast("timestamp"))
-        .select("org_key", "day").distinct()
-    )
-    split_repos = scoped.select("repo_id", "org_key").join(cut_days, "org_key")
-    rows = facts.join(split_repos, ["repo_id", "day"]).drop("repo_id")
-    own = _repository_marks(scoped).join(cut_days, ["org_key", "day"], "left_semi")
-    return rows.unionByName(own, allowMissingColumns=True).groupBy("org_key", "day", "moment").agg(
-        *[F.sum(c).alias(c) for c in COUNTS]
-    )
+    split_repos = scoped.select("repo_id", "org_id").join(split_days, "org_id")
+    rows = facts.join(split_repos, ["repo_id", "day"]).select("org_id", "kind", "moment", F.lit(1).alias("n"))
+    own = _created(scoped).join(split_days, ["org_id", "day"], "left_semi").drop("day")
+    return rows.unionByName(own).groupBy("org_id", "kind", "moment").agg(F.sum("n").alias("n"))
 
 
-def _before(wanted: DataFrame, per_day: DataFrame, within_days: DataFrame) -> DataFrame:
-    """Running counts read off at each cutoff.
+def _before(marks: DataFrame, per_day: DataFrame, within_days: DataFrame) -> DataFrame:
+    """Counts strictly before each mark, one column per kind.
 
-    The windows see one row per day of an organization, and the distinct times
-    of one organization on one day: both are bounded by the calendar, not by
-    the number of facts.
+    One kind of one organization is a row per day plus the distinct times of
+    its split days: bounded by the calendar, not by the number of facts.
     """
-    days = per_day.unionByName(
-        wanted.select("org_key", F.to_date("cutoff").alias("day")), allowMissingColumns=True
-    ).groupBy("org_key", "day").agg(*[F.sum(c).alias(c) for c in COUNTS])
-    earlier = Window.partitionBy("org_key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    base = days.select("org_key", "day", *[F.sum(c).over(earlier).alias(f"base_{c}") for c in COUNTS])
-
-    marks = wanted.select("org_key", F.to_date("cutoff").alias("day"), F.col("cutoff").alias("moment"),
-                          F.lit(True).alias("mark"))
-    within = within_days.unionByName(marks, allowMissingColumns=True)
-    # At equal times the cutoff comes first: the comparison is strict.
-    running = (
-        Window.partitionBy("org_key", "day").orderBy("moment", F.col("mark").desc_nulls_last())
+    kinds = (*PORTFOLIO, *FACTS)
+    days = per_day.withColumn("moment", F.col("day").cast("timestamp")).drop("day")
+    asked = marks.withColumn("kind", F.explode(F.array(*map(F.lit, kinds))))
+    rows = days.unionByName(within_days).unionByName(asked, allowMissingColumns=True)
+    # At equal times the cutoff, which has no count, comes first: it is exclusive.
+    earlier = (
+        Window.partitionBy("org_id", "kind").orderBy("moment", F.col("n").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    same_day = (
-        within.select("org_key", "day", "moment", "mark",
-                      *[F.sum(c).over(running).alias(f"day_{c}") for c in COUNTS])
-        .where("mark").withColumnRenamed("moment", "cutoff")
-    )
-    return same_day.join(base, ["org_key", "day"]).select(
-        "org_key", "cutoff",
-        *[(F.coalesce(f"base_{c}", F.lit(0)) + F.coalesce(f"day_{c}", F.lit(0))).alias(c) for c in COUNTS],
+    running = rows.select("org_key", "kind", "moment", "n", F.sum("n").over(earlier).alias("before"))
+    return (
+        running.where(F.col("n").isNull())
+        .groupBy("org_key", F.col("moment").alias("cutoff"))
+        .agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("before"))), F.lit(0)).alias(k) for k in kinds])
     )

@@ -1,8 +1,10 @@
 """Organization-by-month panels and their period summaries.
 
-Both panels aggregate events that partial aggregation shrinks before any
-shuffle.  The two distinct counts group by (organization, month, id) first, so
-the rows of one busy organization spread over all tasks.
+Counts and sums shrink to one row per organization and month before any
+shuffle.  The two distinct counts are a second, narrow pass that reads ids only
+and groups by (organization, month, id) first, so the rows of one busy
+organization spread over all tasks.  In one grouping Spark would instead carry
+every count along with every id.
 """
 
 from __future__ import annotations
@@ -14,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commonspulse import constants as C
-from commonspulse.functions.expressions import flag, json_scalar, month_of, push_commits, push_size, as_bigint
-from commonspulse.operators.filters import login_panel_types, with_org_login
+from commonspulse.functions.expressions import as_bigint, month_of, month_text, push_commits, push_size, scalar_text
+from commonspulse.operators.filters import login_panel_types, months_between, with_org_login
 from commonspulse.sources.months import month_bounds
 
 # Targets up to this many ids are broadcast and filter events before the
@@ -23,6 +25,18 @@ from commonspulse.sources.months import month_bounds
 BROADCAST_TARGETS = 1_000_000
 
 
+def _counted(rows: DataFrame, keys: Sequence[str], counts: dict[str, Column],
+             distinct: dict[str, str], order: Sequence[str]) -> DataFrame:
+    """Aggregates per key, and how many different non-null values each ``distinct`` column has."""
+    added = rows.groupBy(*keys).agg(*[value.alias(name) for name, value in counts.items()])
+    names = list(distinct)
+    ids = F.array(*[F.struct(F.lit(n).alias("slot"), F.col(distinct[n]).alias("id")) for n in names])
+    different = rows.select(*keys, F.inline(ids)).where(F.col("id").isNotNull()).distinct()
+    counted = different.groupBy(*keys).agg(*[F.count_if(F.col("slot") == n).alias(n) for n in names])
+    whole = added.join(counted, list(keys), "left")
+    return whole.select(*keys, *[F.coalesce(m, F.lit(0)).alias(m) if m in names else m for m in order])
+
+
 def login_month_panel(events: DataFrame) -> DataFrame:
     """Eleven metrics per lower-case organization login and month.
 
@@ -51,19 +65,17 @@ def login_month_panel(events: DataFrame) -> DataFrame:
         hit = kind == event
         return F.count_if(hit if value is None else hit & (detail == value))
 
-    return rows.groupBy("org_login", "month").agg(
-        F.count(F.lit(1)).alias("public_events"),
-        F.count_distinct("repo_id").alias("active_repositories"),
-        F.count_distinct("actor_id").alias("distinct_actors"),
-        seen("PushEvent").alias("push_events"),
-        F.sum("commits").alias("commits_in_pushes"),
-        seen("IssuesEvent", "opened").alias("issues_opened"),
-        seen("PullRequestEvent", "opened").alias("pull_requests_opened"),
-        seen("CreateEvent", "repository").alias("repositories_created"),
-        seen("ForkEvent").alias("fork_events"),
-        seen("WatchEvent", "started").alias("star_events"),
-        seen("ReleaseEvent", "published").alias("release_events"),
-    )
+    return _counted(rows, ["org_login", "month"], {
+        "public_events": F.count(F.lit(1)),
+        "push_events": seen("PushEvent"),
+        "commits_in_pushes": F.sum("commits"),
+        "issues_opened": seen("IssuesEvent", "opened"),
+        "pull_requests_opened": seen("PullRequestEvent", "opened"),
+        "repositories_created": seen("CreateEvent", "repository"),
+        "fork_events": seen("ForkEvent"),
+        "star_events": seen("WatchEvent", "started"),
+        "release_events": seen("ReleaseEvent", "published"),
+    }, {"active_repositories": "repo_id", "distinct_actors": "actor_id"}, C.LOGIN_PANEL_METRICS)
 
 
 def attribute_forks(typed: DataFrame) -> DataFrame:
@@ -113,22 +125,28 @@ def target_month_panel(events: DataFrame, targets: DataFrame | None = None) -> D
 def _slim_events(events: DataFrame) -> DataFrame:
     """What the target panel needs of an event, with few JSON paths per event type."""
     kind, payload = F.col("type"), F.col("payload")
-    detail = (
-        F.when(kind == "CreateEvent", F.get_json_object(payload, "$.ref_type"))
-        .when(kind.isin("IssuesEvent", "IssueCommentEvent", "PullRequestEvent", "WatchEvent",
-                        "ReleaseEvent"), F.get_json_object(payload, "$.action"))
+
+    def at(path: str, *kinds: str) -> Column:
+        return F.when(kind.isin(*kinds), F.get_json_object(payload, path))
+
+    detail = F.coalesce(
+        at("$.ref_type", "CreateEvent"),
+        at("$.action", "IssuesEvent", "IssueCommentEvent", "PullRequestEvent", "WatchEvent", "ReleaseEvent"),
     )
-    merged = F.lower(F.get_json_object(payload, "$.pull_request.merged")) == "true"
-    return events.select(
-        kind.alias("kind"),
+    found = events.select(
+        kind.alias("kind"), "payload", "created_at", "actor", "repo", "org", detail.alias("detail"),
+        at("$.pull_request.merged", "PullRequestEvent").alias("merged"),
+        at("$.forkee.owner.id", "ForkEvent").alias("owner"),
+        at("$.size", "PushEvent").alias("size"),
+    )
+    return found.select(
+        "kind", "detail",
         F.col("actor.id").alias("actor_id"),
         F.col("repo.id").alias("repo_id"),
         as_bigint(F.col("org.id")).alias("event_org_id"),
-        F.when(kind == "ForkEvent", as_bigint(json_scalar(payload, "$.forkee.owner.id")))
-        .alias("fork_destination_org_id"),
-        detail.alias("detail"),
-        push_size(kind, payload).alias("commits"),
-        F.when(kind == "PullRequestEvent", merged).alias("merged"),
+        as_bigint(scalar_text(F.col("owner"))).alias("fork_destination_org_id"),
+        push_size(F.col("kind"), scalar_text(F.col("size")), F.col("payload")).alias("commits"),
+        (F.lower("merged") == "true").alias("merged"),
         month_of(F.col("created_at")).alias("month"),
     )
 
@@ -146,42 +164,58 @@ def _target_metrics(attributed: DataFrame) -> DataFrame:
         hit = kind == event
         return F.count_if(hit if value is None else hit & (detail == value))
 
-    return rows.groupBy("organization_id", "month").agg(
-        F.count_if("own").alias("public_events"),
-        F.count_distinct("repo_id").alias("active_repositories"),
-        F.count_distinct("actor_id").alias("distinct_actors"),
-        seen("PushEvent").alias("push_events"),
-        F.coalesce(F.sum("commits"), F.lit(0)).alias("commits_in_pushes"),
-        seen("IssuesEvent", "opened").alias("issues_opened"),
-        seen("IssuesEvent", "closed").alias("issues_closed"),
-        seen("IssueCommentEvent", "created").alias("issue_comments_created"),
-        seen("PullRequestEvent", "opened").alias("pull_requests_opened"),
-        seen("PullRequestEvent", "closed").alias("pull_requests_closed"),
-        F.count_if((kind == "PullRequestEvent") & (detail == "closed") & F.col("merged"))
-        .alias("pull_requests_merged"),
-        seen("CreateEvent", "repository").alias("original_repositories_created"),
-        F.count_if(~F.col("own")).alias("forked_repositories_created"),
-        seen("ForkEvent").alias("forks_received"),
-        seen("WatchEvent", "started").alias("stars_received"),
-        seen("ReleaseEvent", "published").alias("releases_published"),
-    )
-
-
-def dense_panel(entities: DataFrame, observed: DataFrame, keys: Sequence[str], metrics: Sequence[str],
-                start: str | date, end: str | date) -> DataFrame:
+    return _counted(rows, ["organization_id", "month"], {
+        "public_events": F.count_if("own"),
+        "push_events": seen("PushEvent"),
+        "commits_in_pushes": F.coalesce(F.sum("commits"), F.lit(0)),
+        "issues_opened": seen("IssuesEvent", "opened"),
+        "issues_closed": seen("IssuesEvent", "closed"),
+        "issue_comments_created": seen("IssueCommentEvent", "created"),
+        "pull_requests_opened": seen("PullRequestEvent", "opened"),
+        "pull_requests_closed": seen("PullRequestEvent", "closed"),
+        "pull_requests_merged": F.count_if(
+            (kind == "PullRequestEvent") & (detail == "closed") & F.col("merged")),
+        "original_repositories_created": seen("CreateEvent", "repository"),
+        "forked_repositories_created": F.count_if(~F.col("own")),
+        "forks_received": seen("ForkEvent"),
+        "stars_received": seen("WatchEvent", "started"),
+        "releases_published": seen("ReleaseEvent", "published"),
+    }, {"active_repositories": "repo_id", "distinct_actors": "actor_id"}, C.TARGET_PANEL_METRICS)
+
+
+def months_seen(observed: DataFrame, keys: Sequence[str], metrics: Sequence[str],
+                *more: Column) -> DataFrame:
+    """One row per entity: a map from month to metrics, never larger than the months there are."""
+    entry = F.struct(F.col("month"), F.struct(*[F.coalesce(m, F.lit(0)).alias(m) for m in metrics]))
+    return observed.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("seen"), *more)
+
+
+def filled_months(first: date, last: date, metrics: Sequence[str], text: bool = False) -> Column:
+    """Array of one struct per month of the range from ``seen``, zero where nothing was observed."""
+    def item(month: Column) -> Column:
+        values = F.col("seen")[month]
+        return F.struct(
+            (month_text(month) if text else month).alias("month"),
+            *[F.coalesce(values[m], F.lit(0).cast("bigint")).alias(m) for m in metrics],
+        )
+
+    return F.transform(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month")), item)
+
+
+def dense_panel(observed: DataFrame, keys: Sequence[str], metrics: Sequence[str], start: str | date,
+                end: str | date, entities: DataFrame | None = None) -> DataFrame:
     """Every entity in every month of the range; months without a row are zero.
 
-    The months of each entity come from a sequence in its own row, so nothing
-    is crossed; the observed rows join on (entity, month).
+    Without ``entities`` they are those of the panel.  The months of an entity
+    are filled in within its row and then unfolded: nothing is crossed, and the
+    only join is one row per entity.
     """
     first, last = month_bounds(start, end)
-    months = F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month"))
-    grid = entities.select("*", F.explode(months).alias("month"))
-    # A row marker is not needed: an absent row has null metrics, which become 0.
-    values = observed.select(*keys, "month", *metrics)
-    return grid.join(values, [*keys, "month"], "left").select(
-        *entities.columns, "month", *[F.coalesce(m, F.lit(0).cast("bigint")).alias(m) for m in metrics]
-    )
+    rows = months_seen(months_between(observed, first, last), keys, metrics)
+    names = list(keys)
+    if entities is not None:
+        rows, names = entities.join(rows, list(keys), "left"), entities.columns
+    return rows.select(*names, F.inline(filled_months(first, last, metrics)))
 
 
 def period_totals(panel: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from commonspulse import constants as C
 from commonspulse.functions.expressions import (
     as_bigint,
-    json_scalar,
+    json_scalars,
     month_of,
     push_size,
     setup_eligible,
@@ -203,22 +203,22 @@ def pull_rows(landed: DataFrame) -> DataFrame:
 
 def typed_events(events: DataFrame) -> DataFrame:
     """Eleven typed columns per event; write them once and the JSON is parsed once."""
-    kind, payload = F.col("type"), F.col("payload")
-    return events.select(
+    kind = F.col("type")
+    found = json_scalars(
+        events, "payload", event_action="$.action", ref_type="$.ref_type", _size="$.size",
+        _owner="$.forkee.owner.id", _merged="$.pull_request.merged",
+    )
+    return found.select(
         F.col("id").alias("event_id"),
         kind.alias("event_type"),
         F.col("actor.id").alias("actor_id"),
         F.col("repo.id").alias("repo_id"),
         as_bigint(F.col("org.id")).alias("event_org_id"),
-        F.when(
-            kind == "ForkEvent", as_bigint(json_scalar(payload, "$.forkee.owner.id"))
-        ).alias("fork_destination_org_id"),
-        json_scalar(payload, "$.action").alias("event_action"),
-        json_scalar(payload, "$.ref_type").alias("ref_type"),
-        push_size(kind, payload).alias("commits_in_push"),
-        F.when(
-            kind == "PullRequestEvent", F.lower(json_scalar(payload, "$.pull_request.merged"))
-        ).alias("pull_request_merged"),
+        F.when(kind == "ForkEvent", as_bigint(F.col("_owner"))).alias("fork_destination_org_id"),
+        "event_action",
+        "ref_type",
+        push_size(kind, F.col("_size"), F.col("payload")).alias("commits_in_push"),
+        F.when(kind == "PullRequestEvent", F.lower("_merged")).alias("pull_request_merged"),
         month_of(F.col("created_at")).alias("month"),
     )
 

@@ -7,7 +7,6 @@ sequence inside the row, so the dense panel is never multiplied out.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -16,14 +15,10 @@ from pyspark.sql import functions as F
 from commonspulse import constants as C
 from commonspulse.functions.expressions import month_text, safe_login, shard_of
 from commonspulse.operators.filters import months_between
-from commonspulse.operators.panels import activity_summary_columns, dense_panel
+from commonspulse.operators.panels import activity_summary_columns, dense_panel, filled_months, months_seen
 from commonspulse.sources.months import month_bounds
 
 
-def _months(first: date, last: date) -> Column:
-    return F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month"))
-
-
 def _period(first: date, last: date) -> Column:
     count = (last.year - first.year) * 12 + last.month - first.month + 1
     return F.struct(
@@ -32,33 +27,14 @@ def _period(first: date, last: date) -> Column:
     )
 
 
-def _observed_months(metrics: Sequence[str]) -> Column:
-    return F.map_from_entries(F.collect_list(F.struct(F.col("month"), F.struct(*metrics)))).alias("observed")
-
-
-def _monthly(first: date, last: date, metrics: Sequence[str]) -> Column:
-    """Array of one struct per month, zero where nothing was observed."""
-    def item(month: Column) -> Column:
-        seen = F.col("observed")[month]
-        return F.struct(
-            month_text(month).alias("month"),
-            *[F.coalesce(seen[m], F.lit(0).cast("bigint")).alias(m) for m in metrics],
-        )
-
-    return F.transform(_months(first, last), item)
-
-
 def login_documents(panel: DataFrame, start: str | date, end: str | date) -> DataFrame:
     """``(org_login, shard, safe_login, document)`` for organizations with a row in the range."""
     first, last = month_bounds(start, end)
-    totals = [F.sum(m).alias(f"total_{m}") for m in C.LOGIN_ADDITIVE_METRICS]
+    totals = [F.coalesce(F.sum(m), F.lit(0)).alias(f"total_{m}") for m in C.LOGIN_ADDITIVE_METRICS]
     summary = activity_summary_columns()
     names = ["months_with_activity", *[f"{f}_monthly_{m}" for m in C.NON_ADDITIVE_METRICS for f in ("sum", "max")]]
-    metrics = [F.coalesce(m, F.lit(0)).alias(m) for m in C.LOGIN_PANEL_METRICS]
-    grouped = (
-        months_between(panel, first, last).select("org_login", "month", *metrics)
-        .groupBy("org_login").agg(_observed_months(C.LOGIN_PANEL_METRICS), *totals, *summary)
-    )
+    rows = months_between(panel, first, last)
+    grouped = months_seen(rows, ["org_login"], C.LOGIN_PANEL_METRICS, *totals, *summary)
     document = F.struct(
         F.lit(C.LOGIN_DOCUMENT_VERSION).alias("schema_version"),
         F.struct(F.col("org_login").alias("login")).alias("organization"),
@@ -71,7 +47,7 @@ def login_documents(panel: DataFrame, start: str | date, end: str | date) -> Dat
         ).alias("coverage"),
         F.struct(*[F.col(f"total_{m}").alias(m) for m in C.LOGIN_ADDITIVE_METRICS]).alias("totals"),
         F.struct(*names).alias("monthly_activity_summary"),
-        _monthly(first, last, C.LOGIN_PANEL_METRICS).alias("monthly"),
+        filled_months(first, last, C.LOGIN_PANEL_METRICS, text=True).alias("monthly"),
     )
     name = safe_login(F.col("org_login"))
     return grouped.select("org_login", shard_of(name).alias("shard"), name.alias("safe_login"),
@@ -100,13 +76,9 @@ def file_name_collisions(documents: DataFrame) -> DataFrame:
 def target_documents(targets: DataFrame, panel: DataFrame, start: str | date, end: str | date) -> DataFrame:
     """``(organization_id, document)`` for every target, active or not."""
     first, last = month_bounds(start, end)
-    metrics = [F.coalesce(m, F.lit(0)).alias(m) for m in C.TARGET_PANEL_METRICS]
-    grouped = (
-        months_between(panel, first, last).select("organization_id", "month", *metrics)
-        .groupBy("organization_id")
-        .agg(_observed_months(C.TARGET_PANEL_METRICS),
-             *[F.sum(m).alias(f"total_{m}") for m in C.TARGET_ADDITIVE_METRICS])
-    )
+    totals = [F.sum(m).alias(f"total_{m}") for m in C.TARGET_ADDITIVE_METRICS]
+    rows = months_between(panel, first, last)
+    grouped = months_seen(rows, ["organization_id"], C.TARGET_PANEL_METRICS, *totals)
     document = F.struct(
         "organization_id", "historical_login",
         _period(first, last).alias("period"),
@@ -117,7 +89,7 @@ def target_documents(targets: DataFrame, panel: DataFrame, start: str | date, en
             F.lit(False).alias("persistent_database_created"),
         ).alias("coverage"),
         F.struct(*[F.coalesce(f"total_{m}", F.lit(0)).alias(m) for m in C.TARGET_ADDITIVE_METRICS]).alias("totals"),
-        _monthly(first, last, C.TARGET_PANEL_METRICS).alias("monthly"),
+        filled_months(first, last, C.TARGET_PANEL_METRICS, text=True).alias("monthly"),
     )
     return targets.join(grouped, "organization_id", "left").select(
         "organization_id", document.alias("document")
@@ -132,8 +104,8 @@ def document_text(documents: DataFrame, pretty: bool = False) -> DataFrame:
 
 def target_csv_rows(targets: DataFrame, panel: DataFrame, start: str | date, end: str | date) -> DataFrame:
     """One row per target and month, months as text; a missing login stays null and is written empty."""
-    rows = dense_panel(targets.select("organization_id", "historical_login"), panel,
-                       ["organization_id"], C.TARGET_PANEL_METRICS, start, end)
+    rows = dense_panel(panel, ["organization_id"], C.TARGET_PANEL_METRICS, start, end,
+                       targets.select("organization_id", "historical_login"))
     return rows.withColumn("month", month_text(F.col("month")))
 
 
