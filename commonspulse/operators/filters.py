@@ -34,19 +34,40 @@ def of_organization(events: DataFrame, org: str) -> DataFrame:
     return events.where(repo.startswith(wanted + "/") | (tag == wanted))
 
 
+def _owner_and_tag() -> tuple[Column, Column]:
+    name = F.lower(F.col("repo.name"))
+    owner = F.when(F.instr(name, "/") > 0, F.substring_index(name, "/", 1))
+    return owner, F.lower(F.col("org.login"))
+
+
 def of_organizations(events: DataFrame, logins: DataFrame) -> DataFrame:
     """The same match for a table of logins: one row per event and matched login.
 
     Owner and tag of an event are at most two different keys, so the events
     grow by at most two before an equality join.
     """
-    name = F.lower(F.col("repo.name"))
-    owner = F.when(F.instr(name, "/") > 0, F.substring_index(name, "/", 1))
-    keys = F.array_compact(F.array_distinct(F.array(owner, F.lower(F.col("org.login")))))
+    keys = F.array_compact(F.array_distinct(F.array(*_owner_and_tag())))
     wanted = logins.select(F.lower("login").alias("matched_org")).distinct()
     return events.withColumn("matched_org", F.explode(keys)).join(wanted, "matched_org", "left_semi")
 
 
+def of_any_organization(events: DataFrame, logins: DataFrame) -> DataFrame:
+    """Events that match at least one login, each once.
+
+    Events without a tag look up their owner twice, so they do not meet on one
+    null key.
+    """
+    owner, tag = _owner_and_tag()
+    wanted = logins.select(F.lower("login").alias("_login")).distinct()
+    by_owner, by_tag = (wanted.select(F.col("_login").alias(k), F.lit(True).alias(f"{k}_hit")) for k in ("_owner", "_tag"))
+    keyed = events.withColumns({"_owner": F.coalesce(owner, tag), "_tag": F.coalesce(tag, owner)})
+    return (
+        keyed.join(by_owner, "_owner", "left").join(by_tag, "_tag", "left")
+        .where(F.coalesce("_owner_hit", "_tag_hit", F.lit(False)))
+        .select(*events.columns)
+    )
+
+
 def in_window(rows: DataFrame, since: Column | datetime | None, until: Column | datetime | None,
               column: str = "created_at") -> DataFrame:
     """Drop rows before ``since`` or after ``until``; both bounds and null times stay."""

@@ -94,8 +94,14 @@ def _per_day(scoped: DataFrame, facts: DataFrame) -> DataFrame:
 
 def _within_days(scoped: DataFrame, facts: DataFrame, split_days: DataFrame) -> DataFrame:
     """Counts by exact time, only on days that a cutoff splits."""
-    split_repos = scoped.select("repo_id", "org_id").join(split_days, "org_id")
-    rows = facts.join(split_repos, ["repo_id", "day"]).select("org_id", "kind", "moment", F.lit(1).alias("n"))
+    # At most one row per calendar day, so this side is always small.
+    days = F.broadcast(split_days.select("day").distinct())
+    rows = (
+        facts.join(days, "day", "left_semi")
+        .join(scoped.select("repo_id", "org_id"), "repo_id")
+        .join(split_days, ["org_id", "day"], "left_semi")
+        .select("org_id", "kind", "moment", F.lit(1).alias("n"))
+    )
     own = _created(scoped).join(split_days, ["org_id", "day"], "left_semi").drop("day")
     return rows.unionByName(own).groupBy("org_id", "kind", "moment").agg(F.sum("n").alias("n"))
 

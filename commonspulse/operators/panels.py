@@ -192,14 +192,19 @@ def months_seen(observed: DataFrame, keys: Sequence[str], metrics: Sequence[str]
 
 def filled_months(first: date, last: date, metrics: Sequence[str], text: bool = False) -> Column:
     """Array of one struct per month of the range from ``seen``, zero where nothing was observed."""
-    def item(month: Column) -> Column:
-        values = F.col("seen")[month]
+    def found(month: Column) -> Column:
+        return F.struct(month.alias("month"), F.col("seen")[month].alias("values"))
+
+    def item(entry: Column) -> Column:
+        month = entry["month"]
         return F.struct(
             (month_text(month) if text else month).alias("month"),
-            *[F.coalesce(values[m], F.lit(0).cast("bigint")).alias(m) for m in metrics],
+            *[F.coalesce(entry["values"][m], F.lit(0).cast("bigint")).alias(m) for m in metrics],
         )
 
-    return F.transform(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month")), item)
+    # One lookup per month, then the metrics of what it found.
+    months = F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month"))
+    return F.transform(F.transform(months, found), item)
 
 
 def dense_panel(observed: DataFrame, keys: Sequence[str], metrics: Sequence[str], start: str | date,

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from commonspulse.operators.filters import archive_types, of_organization, of_organizations
+from commonspulse.operators.filters import archive_types, of_any_organization, of_organization
 from commonspulse.operators.merge import absent_rows
 from commonspulse.operators.projections import archive_commit_rows, event_rows
 from commonspulse.streaming.ingest import COMMIT_ORDER, EVENT_ORDER
@@ -38,7 +38,7 @@ def load_archive(events: DataFrame, stored: Mapping[str, DataFrame], organizatio
     if isinstance(organizations, str):
         chosen = of_organization(kept, organizations)
     else:
-        chosen = of_organizations(kept, organizations).drop("matched_org")
+        chosen = of_any_organization(kept, organizations)
     matched = Observation()
     rows = event_rows(chosen.observe(matched, F.count(F.lit(1)).alias("matches")), collected_at)
     commits = archive_commit_rows(chosen, collected_at, keep=("archive_hour", "id"))

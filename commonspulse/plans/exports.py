@@ -11,10 +11,11 @@ import json
 import os
 import sys
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -58,32 +59,44 @@ def _manifest_file(manifest: DataFrame, path: str, **more: object) -> dict:
     return row
 
 
+@contextmanager
+def _kept(panel: DataFrame) -> Iterator[None]:
+    """Keep the panel on the executors while its several outputs are written."""
+    panel.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield
+    finally:
+        panel.unpersist()
+
+
 def export_login_json(panel: DataFrame, root: str, start: str | date, end: str | date) -> dict:
     """One compact document per organization below its shard, and the manifest last."""
-    rows = D.document_text(D.one_per_file(D.login_documents(panel, start, end)))
-    name = F.concat_ws("/", "shard", F.concat("safe_login", F.lit(".json")))
-    write_named_files(rows.select(name.alias("file"), "body"), root)
-    return _manifest_file(D.login_manifest(panel, start, end), os.path.join(root, "manifest.json"))
+    with _kept(panel):
+        rows = D.document_text(D.one_per_file(D.login_documents(panel, start, end)))
+        name = F.concat_ws("/", "shard", F.concat("safe_login", F.lit(".json")))
+        write_named_files(rows.select(name.alias("file"), "body"), root)
+        return _manifest_file(D.login_manifest(panel, start, end), os.path.join(root, "manifest.json"))
 
 
 def export_targets(targets: DataFrame, panel: DataFrame, root: str, start: str | date, end: str | date) -> dict:
     """A document per target, the combined CSV and the manifest."""
-    unknown = D.unknown_ids(panel, targets).limit(5).collect()
-    if unknown:
-        raise ValueError(f"Panel rows for ids that are no target: {[r[0] for r in unknown]}")
-    rows = D.document_text(D.target_documents(targets, panel, start, end), pretty=True)
-    name = F.concat(F.col("organization_id").cast("string"), F.lit(".json"))
-    write_named_files(rows.select(name.alias("file"), "body"), root)
-    write_csv(D.target_csv_rows(targets, panel, start, end), os.path.join(root, C.TARGET_CSV_NAME))
-
-    names = D.target_file_names(targets)
-    listed = [r[0] for r in names.orderBy("json_file").limit(MANIFEST_NAMES + 1).collect()]
-    if len(listed) > MANIFEST_NAMES:
-        names.write.mode("overwrite").text(os.path.join(root, "manifest_files"))
-        more = {"json_files_table": "manifest_files"}
-    else:
-        more = {"json_files": listed}
-    return _manifest_file(D.target_manifest(targets, start, end), os.path.join(root, "manifest.json"), **more)
+    with _kept(panel):
+        unknown = D.unknown_ids(panel, targets).limit(5).collect()
+        if unknown:
+            raise ValueError(f"Panel rows for ids that are no target: {[r[0] for r in unknown]}")
+        rows = D.document_text(D.target_documents(targets, panel, start, end), pretty=True)
+        name = F.concat(F.col("organization_id").cast("string"), F.lit(".json"))
+        write_named_files(rows.select(name.alias("file"), "body"), root)
+        write_csv(D.target_csv_rows(targets, panel, start, end), os.path.join(root, C.TARGET_CSV_NAME))
+
+        names = D.target_file_names(targets)
+        listed = [r[0] for r in names.orderBy("json_file").limit(MANIFEST_NAMES + 1).collect()]
+        if len(listed) > MANIFEST_NAMES:
+            names.write.mode("overwrite").text(os.path.join(root, "manifest_files"))
+            more = {"json_files_table": "manifest_files"}
+        else:
+            more = {"json_files": listed}
+        return _manifest_file(D.target_manifest(targets, start, end), os.path.join(root, "manifest.json"), **more)
 
 
 def write_csv(rows: DataFrame, path: str) -> None:

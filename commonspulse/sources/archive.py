@@ -109,12 +109,11 @@ def with_month(events: DataFrame) -> DataFrame:
 def write_month_table(events: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Raw events as Parquet, one partition per month.
 
-    Rows go to files by month and a hash of the id, so a busy month is written
-    by many tasks and a quiet one by few.
+    Rebalancing by month lets Spark split a busy month over as many tasks and
+    files as its size needs, and gather quiet months in few.
     """
-    rows = with_month(events)
-    spread = F.pmod(F.xxhash64("id"), F.lit(64))
-    rows.repartition("event_month", spread).write.mode(mode).partitionBy("event_month").parquet(path)
+    rows = with_month(events).hint("rebalance", F.col("event_month"))
+    rows.write.mode(mode).partitionBy("event_month").parquet(path)
 
 
 def scan_months(spark: SparkSession, path: str, start: str | date, end: str | date) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from commonspulse import schemas
-from commonspulse.operators.filters import archive_types, of_organizations
+from commonspulse.operators.filters import archive_types, of_any_organization
 from commonspulse.operators.merge import absent_rows
 from commonspulse.operators.projections import archive_commit_rows, event_rows
 from commonspulse.sources.tables import create_folder
@@ -62,9 +62,7 @@ def ingest_batch(root: str, organizations: DataFrame | None = None,
     def run(events: DataFrame, batch: int) -> None:
         chosen = archive_types(events)
         if organizations is not None:
-            matched = of_organizations(chosen, organizations)
-            # An event that matches two logins is still one event.
-            chosen = matched.drop("matched_org").distinct()
+            chosen = of_any_organization(chosen, organizations)
         chosen = chosen.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             append_absent(event_rows(chosen, collected_at), os.path.join(root, "gharchive_event"),

@@ -19,9 +19,6 @@ from commonspulse.operators.filters import login_panel_types, with_org_login
 from commonspulse.operators.panels import login_month_panel
 from commonspulse.sources.archive import with_month
 
-# Files per month and batch: a busy month is written by this many tasks.
-MONTH_SPREAD = 32
-
 
 def panel_batch(root: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that keeps ``root/panel`` equal to the panel of all events so far."""
@@ -31,9 +28,8 @@ def panel_batch(root: str) -> Callable[[DataFrame, int], None]:
         spark = events.sparkSession
         rows = with_month(with_org_login(login_panel_types(events)))
         columns = ["id", "type", "created_at", "actor", "repo", "org", "payload"]
-        spread = F.pmod(F.xxhash64("id"), F.lit(MONTH_SPREAD))
         (
-            rows.select(*columns, "event_month").repartition("event_month", spread)
+            rows.select(*columns, "event_month").hint("rebalance", F.col("event_month"))
             .write.mode("overwrite").partitionBy("event_month")
             .parquet(os.path.join(events_root, f"batch={batch}"))
         )

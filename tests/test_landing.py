@@ -148,3 +148,21 @@ def test_invalid_bytes_are_replaced(rows):
     text = base64.b64encode("naïve\n".encode() + b"\xff").decode()
     text = text[:4] + "\n" + text[4:]
     assert rows("c string", (text,)).select(decode_base64_text(F.col("c"))).first()[0] == "naïve\n�"
+
+
+def test_event_matching_two_logins_counts_once(rows):
+    frame = rows(EVENT, event("1", "PushEvent", "{}", org="tag", repo=(1, "own/x")), event("2", "PushEvent", "{}", org=None, repo=(1, "own/y")),
+                 event("3", "PushEvent", "{}", org="tag", repo=(1, None)), event("4", "PushEvent", "{}", org=None, repo=(1, None)))
+    found = filters.of_any_organization(frame, rows("login string", ("OWN",), ("Tag",), ("tag",)))
+    assert sorted(r["id"] for r in found.collect()) == ["1", "2", "3"]
+    assert found.columns == frame.columns
+
+
+def test_ranked_hits_are_cut_before_the_shuffle(rows):
+    from commonspulse.operators.search import ranked_hits
+    objects = [{"id": i, "full_name": f"o/{i}", "updated_at": f"2024-01-{1 + i % 9:02d}T00:00:00Z"} for i in range(30)]
+    results = typed_objects(rows(schemas.LANDED, *envelope("repository", *objects)), "repository").withColumn(
+        "query", F.when(F.col("o.id") == 29, "other").otherwise("q"))
+    hits = ranked_hits(results, 5)
+    assert [(r["rank"], r["repo_id"]) for r in hits.where("query = 'q'").orderBy("rank").collect()] == [(1, 8), (2, 17), (3, 26), (4, 7), (5, 16)]
+    assert "WindowGroupLimit" in hits._jdf.queryExecution().executedPlan().toString()

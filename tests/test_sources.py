@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from commonspulse import schemas
+from commonspulse.operators.panels import login_month_panel
 from commonspulse.sources import archive, landed, months, tables, targets
 
 
@@ -130,3 +131,20 @@ def test_small_inputs_are_spread_and_large_ones_left_alone(spark, tmp_path, monk
     assert tables.spread(spark.read.parquet(path), "id").rdd.getNumPartitions() == 8
     monkeypatch.setattr(tables, "BYTES_PER_CORE", 1)
     assert "Exchange" not in tables.spread(spark.read.parquet(path), "id")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_archive_hours_outside_the_range_are_not_opened(spark, archive_root):
+    rows = archive.read_hours(spark, archive_root, datetime(2025, 1, 1), datetime(2025, 1, 1, 2))
+    rows.collect()
+    read = rows._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().get("numFiles").get().value()
+    assert read == 2
+
+
+def test_panel_reads_the_payload_once(spark, rows, tmp_path):
+    events = rows(schemas.RAW_EVENT, ("1", "PushEvent", datetime(2024, 1, 1), (1, "a"), (1, "r"), ("1", "o"), "{}"))
+    archive.write_month_table(events, str(tmp_path / "m"))
+    panel = login_month_panel(archive.scan_months(spark, str(tmp_path / "m"), "2024-01", "2024-01"))
+    plan = panel._jdf.queryExecution().executedPlan().toString()
+    schemas_read = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert len(schemas_read) == 2 and sum("payload#" in line for line in schemas_read) == 1
+    assert all("PartitionFilters: [isnotnull(event_month" in line for line in schemas_read)
