@@ -16,9 +16,15 @@ from commonspulse.functions.expressions import dummy, log_plus_one
 # What is counted, one kind per counted row; the repository counts come first.
 PORTFOLIO = ("original_repos", "forked_repos", "other_repos")
 FACTS = ("commits", "issues", "pulls")
+KINDS = (*PORTFOLIO, *FACTS)
 COUNTS = ("repos", "original_repos", "forked_repos", *FACTS)
 
 
+def _kind(name: str) -> Column:
+    """A kind as a small number, which sorts and shuffles better than its name."""
+    return F.lit(KINDS.index(name))
+
+
 def cutoff_measures(targets: DataFrame, organizations: DataFrame, repositories: DataFrame,
                     commits: DataFrame, issues: DataFrame, pulls: DataFrame) -> DataFrame:
     """Twelve measures per row of ``targets(login, cutoff)``.
@@ -65,7 +71,7 @@ def cutoff_measures(targets: DataFrame, organizations: DataFrame, repositories:
 def _timed(commits: DataFrame, issues: DataFrame, pulls: DataFrame) -> DataFrame:
     """All facts as ``repo_id``, kind, time and day."""
     def of_kind(rows: DataFrame, kind: str, moment: Column) -> DataFrame:
-        return rows.select("repo_id", F.lit(kind).alias("kind"), moment.alias("moment"))
+        return rows.select("repo_id", _kind(kind).alias("kind"), moment.alias("moment"))
 
     return (
         of_kind(commits, "commits", F.coalesce("author_time", "event_time"))
@@ -77,9 +83,9 @@ def _timed(commits: DataFrame, issues: DataFrame, pulls: DataFrame) -> DataFrame
 
 
 def _created(scoped: DataFrame) -> DataFrame:
-    kind = F.when(F.col("is_fork"), "forked_repos").when(~F.col("is_fork"), "original_repos")
+    kind = F.when(F.col("is_fork"), _kind("forked_repos")).when(~F.col("is_fork"), _kind("original_repos"))
     return scoped.where(F.col("created_at").isNotNull()).select(
-        "org_id", F.coalesce(kind, F.lit("other_repos")).alias("kind"),
+        "org_id", kind.otherwise(_kind("other_repos")).alias("kind"),
         F.col("created_at").alias("moment"), F.to_date("created_at").alias("day"), F.lit(1).alias("n"),
     )
 
@@ -112,9 +118,8 @@ def _before(marks: DataFrame, per_day: DataFrame, within_days: DataFrame) -> Dat
     One kind of one organization is a row per day plus the distinct times of
     its split days: bounded by the calendar, not by the number of facts.
     """
-    kinds = (*PORTFOLIO, *FACTS)
     days = per_day.withColumn("moment", F.col("day").cast("timestamp")).drop("day")
-    asked = marks.withColumn("kind", F.explode(F.array(*map(F.lit, kinds))))
+    asked = marks.withColumn("kind", F.explode(F.array(*map(_kind, KINDS))))
     rows = days.unionByName(within_days).unionByName(asked, allowMissingColumns=True)
     # At equal times the cutoff, which has no count, comes first: it is exclusive.
     earlier = (
@@ -125,5 +130,5 @@ def _before(marks: DataFrame, per_day: DataFrame, within_days: DataFrame) -> Dat
     return (
         running.where(F.col("n").isNull())
         .groupBy("org_key", F.col("moment").alias("cutoff"))
-        .agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("before"))), F.lit(0)).alias(k) for k in kinds])
+        .agg(*[F.coalesce(F.sum(F.when(F.col("kind") == _kind(k), F.col("before"))), F.lit(0)).alias(k) for k in KINDS])
     )
