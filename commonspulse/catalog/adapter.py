@@ -142,6 +142,8 @@ def _shared(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; the first column spreads a small one."""
+    pin_utc(spark)
+
     def opened() -> DataFrame:
         schema = BASE_TABLES[name]
         rows = spark.read.schema(schema).parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -221,7 +223,8 @@ def archive_landing(spark: SparkSession, sf_dir: str) -> str:
         )
         broken = lines.where("type = 'WatchEvent'").withColumn("value", F.expr("substring(value, 1, 40)"))
         (
-            lines.unionByName(broken).drop("type").repartition("hour")
+            lines.unionByName(broken).drop("type")
+            .repartition(spark.sparkContext.defaultParallelism, "hour")
             .write.partitionBy("hour").option("compression", "gzip").text(path)
         )
 

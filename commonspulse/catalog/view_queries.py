@@ -37,18 +37,17 @@ def inner_joins(spark, sf_dir):
     return joined.select("login", "repo_id", "number")
 
 
-SUMMARY = cte(*FACTS, "repository_metric_snapshot") + LATEST + """, summary as (
-  select o.login, coalesce(rs.repositories, 0) as repositories,
-    coalesce(rs.original_repositories, 0) as original_repositories, coalesce(rs.forked_repositories, 0) as forked_repositories,
-    coalesce(cs.n, 0) as commits, coalesce(si.n, 0) as issues, coalesce(ps.n, 0) as pull_requests,
-    coalesce(rs.current_stars, 0) as current_stars
-  from organization o
-  left join (select org_id, count(*) as repositories, count(*) filter (where not is_fork) as original_repositories,
-      count(*) filter (where is_fork) as forked_repositories, cast(coalesce(sum(stargazers_count), 0) as bigint) as current_stars
-    from current_repository group by 1) rs using (org_id)
-  left join (select org_id, count(*) as n from commit_activity join repository using (repo_id) group by 1) cs using (org_id)
-  left join (select org_id, count(*) as n from issue join repository using (repo_id) group by 1) si using (org_id)
-  left join (select org_id, count(*) as n from pull_request join repository using (repo_id) group by 1) ps using (org_id)
+SUMMARY = cte(*FACTS, "repository_metric_snapshot") + LATEST + """, tallied as (
+  select c.*, (select count(*) from commit_activity f where f.repo_id = c.repo_id) as n_commits,
+    (select count(*) from issue f where f.repo_id = c.repo_id) as n_issues,
+    (select count(*) from pull_request f where f.repo_id = c.repo_id) as n_pulls
+  from current_repository c
+), summary as (
+  select login, count(repo_id) as repositories, count(repo_id) filter (where is_fork = false) as original_repositories,
+    count(repo_id) filter (where is_fork) as forked_repositories, cast(coalesce(sum(n_commits), 0) as bigint) as commits,
+    cast(coalesce(sum(n_issues), 0) as bigint) as issues, cast(coalesce(sum(n_pulls), 0) as bigint) as pull_requests,
+    cast(coalesce(sum(stargazers_count), 0) as bigint) as current_stars
+  from organization left join tallied using (org_id) group by org_id, login
 )
 """
 
@@ -93,17 +92,19 @@ def repository_current(spark, sf_dir):
                                          "forks_count", ntz("observed_at"))
 
 
-MONTHLY = cte(*FACTS) + """, months as (
-  select org_id, date_trunc('month', author_time) as month, count(*) as commits, 0 as issues, 0 as pull_requests
-  from commit_activity join repository using (repo_id) group by 1, 2
-  union all select org_id, date_trunc('month', i.created_at), 0, count(*), 0 from issue i join repository using (repo_id) group by 1, 2
-  union all select org_id, date_trunc('month', p.created_at), 0, 0, count(*) from pull_request p join repository using (repo_id) group by 1, 2
+MONTHLY = cte(*FACTS) + """, stacked as (
+  select 'commit' as kind, repo_id, author_time as moment from commit_activity
+  union all select 'issue', repo_id, created_at from issue
+  union all select 'pull', repo_id, created_at from pull_request
+), dated as (
+  select kind, org_id, cast(date_trunc('month', moment) as timestamp) as month
+  from stacked join repository using (repo_id) where moment is not null
 )
 """
 _MONTHLY_ROWS = """
-select login, cast(month as timestamp) as month, cast(sum(commits) as bigint) as commits,
-  cast(sum(issues) as bigint) as issues, cast(sum(pull_requests) as bigint) as pull_requests
-from months join organization using (org_id) where month is not null group by 1, 2"""
+select login, month, count(*) filter (where kind = 'commit') as commits, count(*) filter (where kind = 'issue') as issues,
+  count(*) filter (where kind = 'pull') as pull_requests
+from dated join organization using (org_id) group by login, month"""
 
 
 @query("w3_monthly_activity_view", MONTHLY + _MONTHLY_ROWS)
@@ -115,7 +116,7 @@ def monthly_activity(spark, sf_dir):
 
 
 @query("f15_known_months", MONTHLY + """
-select month, count(*) as entries from (select cast(month as timestamp) as month from months where month is not null) m group by 1""")
+select month, count(*) as entries from (select distinct kind, org_id, month from dated) d group by 1""")
 def known_months(spark, sf_dir):
     commits, issues, pulls, repos, _ = views(spark, sf_dir, *FACTS)
 

@@ -16,13 +16,11 @@ from commonspulse.operators.filters import keyword_matches
 
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
-    """The newest snapshot row of each repository."""
-    values = [c for c in snapshots.columns if c not in ("repo_id", "observed_at")]
-    newest = F.max_by(F.struct(*values), F.col("observed_at"))
-    return (
-        snapshots.groupBy("repo_id").agg(newest.alias("s"), F.max("observed_at").alias("observed_at"))
-        .select("repo_id", "s.*", "observed_at")
-    )
+    """The newest snapshot row of each repository; at most one row per repository and time."""
+    counts = [c for c in snapshots.columns if c not in ("repo_id", "observed_at")]
+    # One number per column keeps this a hash aggregate; a struct would need a sort.
+    newest = [F.max_by(c, "observed_at").alias(c) for c in counts]
+    return snapshots.groupBy("repo_id").agg(*newest, F.max("observed_at").alias("observed_at"))
 
 
 def repository_current(repositories: DataFrame, snapshots: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def load_landing(landed: Mapping[str, DataFrame], targets: DataFrame, stored: Ma
 
     files = setup_files(landed["setup"])
     latest_files = last_per_key(files, ["repo_id"], ["observed_at", "source"])
-    repos = filters.select_repositories(
+    chosen = filters.select_repositories(
         of_targets("repository").join(owners, "target"), F.col("repositories"),
         include_archived, include_forks, prefix="o.",
     )
@@ -60,20 +60,20 @@ def load_landing(landed: Mapping[str, DataFrame], targets: DataFrame, stored: Ma
         facts = latest_files.select("repo_id", F.col("source").isNotNull().alias("setup_py_present")).join(
             parsed, "repo_id"
         )
-        repos = repos.drop("repo_id").join(facts, F.col("o.id") == facts["repo_id"], "left").select(
-            *[c for c in repos.columns if c != "repo_id"],
+        repos = chosen.drop("repo_id").join(facts, F.col("o.id") == facts["repo_id"], "left").select(
+            *[c for c in chosen.columns if c != "repo_id"],
             F.coalesce("setup_py_present", F.lit(False)).alias("setup_py_present"),
             "dependencies",
             F.coalesce(F.size("dependencies"), F.lit(0)).alias("dependency_count"),
         )
     else:
-        repos = repos.drop("repo_id").select(
+        repos = chosen.drop("repo_id").select(
             "*", F.lit(None).cast("boolean").alias("setup_py_present"),
             F.lit(None).cast("array<struct<package_name: string, requirement: string>>").alias("dependencies"),
             F.lit(0).alias("dependency_count"),
         )
 
-    selected = repos.groupBy(F.col("o.id").alias("repo_id")).agg(F.min("since").alias("since"))
+    selected = chosen.groupBy(F.col("o.id").alias("repo_id")).agg(F.min("since").alias("since"))
 
     def of_selected(kind: str) -> DataFrame:
         return landed[kind].join(selected, "repo_id")
@@ -90,7 +90,7 @@ def load_landing(landed: Mapping[str, DataFrame], targets: DataFrame, stored: Ma
         "organization": newest(projections.organization_rows(accounts), "organization"),
         "repository": newest(projections.repository_rows(repos), "repository"),
         "repository_metric_snapshot": insert_ignore(
-            stored["repository_metric_snapshot"], projections.snapshot_rows(repos),
+            stored["repository_metric_snapshot"], projections.snapshot_rows(chosen),
             schemas.KEYS["repository_metric_snapshot"], ["stargazers_count", "forks_count"],
         ),
         "setup_dependency": newest(dependencies, "setup_dependency"),
