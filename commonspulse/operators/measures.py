@@ -1,9 +1,9 @@
 """Research measures strictly before a cutoff, for many (organization, cutoff) pairs at once.
 
 A fact is never paired with every cutoff of its organization.  Facts are
-counted per organization and day; only days that a cutoff splits keep exact
-times.  One running sum per organization over these counts is read off at each
-cutoff.
+counted per organization and day, and a running sum over days is read off at
+each cutoff.  Only days that a cutoff splits keep exact times, which are summed
+within the day.
 """
 
 from __future__ import annotations
@@ -44,11 +44,7 @@ def cutoff_measures(targets: DataFrame, organizations: DataFrame, repositories:
         .select("org_id", F.to_date("moment").alias("day")).distinct()
     )
     facts = _timed(commits, issues, pulls)
-    counted = _before(
-        marks,
-        _per_day(scoped, facts).join(split_days, ["org_id", "day"], "left_anti"),
-        _within_days(scoped, facts, split_days),
-    )
+    counted = _before(marks, _per_day(scoped, facts), _within_days(scoped, facts, split_days))
     # A fork flag is required; a row without one still counts as a repository.
     counted = counted.withColumn("repos", sum((F.col(c) for c in PORTFOLIO), F.lit(0)))
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS]
@@ -115,20 +111,27 @@ def _within_days(scoped: DataFrame, facts: DataFrame, split_days: DataFrame) ->
 def _before(marks: DataFrame, per_day: DataFrame, within_days: DataFrame) -> DataFrame:
     """Counts strictly before each mark, one column per kind.
 
-    One kind of one organization is a row per day plus the distinct times of
-    its split days: bounded by the calendar, not by the number of facts.
+    The first running sum sees the distinct times of one day of an
+    organization, the second one row per day: both are bounded by the calendar,
+    not by the number of facts.
     """
-    days = per_day.withColumn("moment", F.col("day").cast("timestamp")).drop("day")
-    asked = marks.withColumn("kind", F.explode(F.array(*map(_kind, KINDS))))
-    rows = days.unionByName(within_days).unionByName(asked, allowMissingColumns=True)
-    # At equal times the cutoff, which has no count, comes first: it is exclusive.
-    earlier = (
-        Window.partitionBy("org_id", "kind").orderBy("moment", F.col("n").asc_nulls_first())
+    # At equal times or days the mark, which has no count, comes first: it is exclusive.
+    mark_first = F.col("n").asc_nulls_first()
+    earlier_in_day = (
+        Window.partitionBy("org_id", "kind", "day").orderBy("moment", mark_first)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    running = rows.select("org_key", "kind", "moment", "n", F.sum("n").over(earlier).alias("before"))
+    earlier_days = (
+        Window.partitionBy("org_id", "kind").orderBy("day", mark_first)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    asked = marks.withColumn("kind", F.explode(F.array(*map(_kind, KINDS))))
+    times = within_days.unionByName(asked, allowMissingColumns=True).withColumn("day", F.to_date("moment"))
+    marked = times.select("*", F.sum("n").over(earlier_in_day).alias("in_day")).where(F.col("n").isNull())
+    days = per_day.unionByName(marked, allowMissingColumns=True)
+    before = F.coalesce("in_day", F.lit(0)) + F.coalesce("in_days", F.lit(0))
     return (
-        running.where(F.col("n").isNull())
+        days.select("*", F.sum("n").over(earlier_days).alias("in_days")).where(F.col("n").isNull())
         .groupBy("org_key", F.col("moment").alias("cutoff"))
-        .agg(*[F.coalesce(F.sum(F.when(F.col("kind") == _kind(k), F.col("before"))), F.lit(0)).alias(k) for k in KINDS])
+        .agg(*[F.coalesce(F.sum(F.when(F.col("kind") == _kind(k), before)), F.lit(0)).alias(k) for k in KINDS])
     )

@@ -148,3 +148,10 @@ def test_panel_reads_the_payload_once(spark, rows, tmp_path):
     schemas_read = [line for line in plan.splitlines() if "ReadSchema" in line]
     assert len(schemas_read) == 2 and sum("payload#" in line for line in schemas_read) == 1
     assert all("PartitionFilters: [isnotnull(event_month" in line for line in schemas_read)
+
+
+def test_mistyped_fields_do_not_lose_the_line(spark, tmp_path):
+    (tmp_path / "2025-01-01-3.json").write_text(
+        '{"id":"1","type":"PushEvent","created_at":"2025-01-01T03:00:00Z","repo":{"id":"x","name":"a/b"},"payload":{"a":1}}\n')
+    row = archive.read_archive(spark, str(tmp_path)).first()
+    assert (row["id"], row["repo"]["name"], row["repo"]["id"], row["payload"]) == ("1", "a/b", None, '{"a":1}')
