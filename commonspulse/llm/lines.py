@@ -146,7 +146,7 @@ def near_partners(docs: DataFrame, lines: DataFrame) -> DataFrame:
     firsts = saved(lines.filter("not again").join(paired, "hash", "left_semi").groupBy("hash")
                    .agg(F.min("doc").alias("doc"), F.min_by("line", "doc").alias("line")), "line-firsts")
     wanted = firsts.groupBy("doc").agg(F.collect_list("line").alias("wanted"))
-    texts = saved(docs.select(_doc().alias("doc"), "text").join(wanted, "doc", "left")
+    texts = saved(docs.select(_doc().alias("doc"), "text").join(wanted.hint("merge"), "doc", "left")
                   .mapInArrow(_pick, "doc long, line int, words string").dropDuplicates(["doc", "line"]), "line-texts")
     variants = saved(texts.mapInArrow(_variants, "key long, place int, doc long, line int"), "line-variants")
     shortened, whole = variants.filter("place >= 0"), variants.filter("place < 0").select("key", _order().alias("own"))
@@ -194,7 +194,7 @@ def _rebuilt(names: list[str], place: int):
 def dedup(docs: DataFrame) -> DataFrame:
     """The documents with their columns, ``text`` without the duplicate lines; those left without any word go."""
     gone = duplicates(docs).groupBy("doc").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc", "_doc")
-    joined = docs.join(gone, _doc() == F.col("_doc"), "left").drop("_doc")
+    joined = docs.join(gone.hint("merge"), _doc() == F.col("_doc"), "left").drop("_doc")
     text = docs.columns.index("text")
     had = F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
     out = joined.withColumn("_had", had & F.col("_gone").isNotNull()).select(*docs.columns, "_had", "_gone").mapInArrow(
