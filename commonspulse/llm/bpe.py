@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from commonspulse.llm.common import lists_of, pieces, read, saved
 
-BLOCK_WORDS = 4 << 20  # words of a block; more only if one text has more
+BLOCK_WORDS = 2 << 20  # words of a block; more only if one text has more
 MEMO_WORDS = 1 << 20  # words a task remembers at once; beyond, a word may be encoded again
 _LISTS = pa.list_(pa.int32())
 
@@ -48,42 +48,48 @@ def _unpack(packed: bytes) -> np.ndarray:
 
 
 def _pack_words(words: list[str]) -> bytes:
-    return zstandard.compress(b"".join(len(w).to_bytes(4, "little") + w for w in map(str.encode, words)), 3)
+    raw = [w.encode() for w in words]
+    sizes = _pack(np.fromiter(map(len, raw), np.uint32, len(raw)))
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.compress(b"".join(raw), 9)
 
 
 def _unpack_words(packed: bytes) -> list[str]:
-    raw, at, words = zstandard.decompress(packed), 0, []
-    while at < len(raw):
-        end = at + 4 + int.from_bytes(raw[at:at + 4], "little")
-        words.append(raw[at + 4:end].decode())
-        at = end
-    return words
+    split = 4 + int.from_bytes(packed[:4], "little")
+    sizes, raw = _unpack(packed[4:split]), zstandard.decompress(packed[split:])
+    ends = np.cumsum(sizes, dtype=np.int64).tolist()
+    return [raw[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def _cut(pattern: str, buckets: int, block_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One row a block with its documents and places (bucket null), one a bucket with the block's words of that hash."""
+    """One row a block with its documents and places (bucket null), one a bucket with the block's words of that hash.
+
+    Words are numbered by falling frequency, so that places pack well; ``buckets`` has each number's bucket.
+    """
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, task = regex.compile(pattern, regex.V1).findall, TaskContext.get().partitionId()
         number, known, docs, counts, places = task << 24, {}, [], [], []
 
         def block() -> pa.RecordBatch:
-            owned: list[list[str]] = [[] for _ in range(buckets)]
-            moved = np.empty(len(known), np.uint32)  # numbers in order of (bucket, appearance)
-            bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in known), np.int64, len(known))
-            moved[np.argsort(bucket, kind="stable")] = np.arange(len(known))
-            for word, b in zip(known, bucket.tolist(), strict=True):
-                owned[b].append(word)
-            full = [b for b in range(buckets) if owned[b]]
-            at = np.concatenate(places) if places else np.zeros(0, np.uint32)
-            size = len(full)
+            at = np.concatenate([*places, np.zeros(0, np.uint32)])
+            order = np.argsort(-np.bincount(at, minlength=len(known)), kind="stable")
+            rank = np.empty(len(known), np.uint32)
+            rank[order] = np.arange(len(known))
+            words = list(known)
+            owned: dict[int, list[str]] = {}
+            bucket = np.empty(len(known), np.uint32)
+            for k, i in enumerate(order.tolist()):
+                bucket[k] = b = xxhash.xxh3_64_intdigest(words[i]) % buckets
+                owned.setdefault(b, []).append(words[i])
+            size, full = len(owned), sorted(owned)
             return pa.RecordBatch.from_arrays([
                 pa.array([number] * (size + 1), pa.int64()), pa.array([None, *full], pa.int32()),
                 pa.array([docs, *[None] * size], pa.list_(pa.int64())), pa.array([counts, *[None] * size], pa.list_(pa.int32())),
-                pa.array([_pack(moved[at]), *(_pack_words(owned[b]) for b in full)], pa.binary()),
-            ], ["block", "bucket", "docs", "counts", "data"])
+                pa.array([_pack(bucket), *[None] * size], pa.binary()),
+                pa.array([_pack(rank[at]), *(_pack_words(owned[b]) for b in full)], pa.binary()),
+            ], ["block", "bucket", "docs", "counts", "buckets", "data"])
 
         words = 0
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=2 << 20):
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 found = find(text or "")
                 places.append(np.fromiter((known.setdefault(w, len(known)) for w in found), np.uint32, len(found)))
@@ -136,7 +142,9 @@ def _assemble(block: pa.Table, coded: pa.Table) -> pa.Table:
     words = lists_of(pa.array(np.concatenate(ids or [none]).astype(np.int32)), bounds)
     docs, parts = [], []
     for row in block.to_pylist():
-        at = _unpack(row["data"])
+        moved = np.empty(len(words), np.uint32)  # word numbers to places among the buckets' words
+        moved[np.argsort(_unpack(row["buckets"]), kind="stable")] = np.arange(len(words))
+        at = moved[_unpack(row["data"])]
         ends = np.concatenate([[0], np.cumsum(row["counts"], dtype=np.int64)])
         start = 0
         while start < len(row["docs"]):  # a few documents at a time: 32-bit offsets of lists hold
@@ -154,10 +162,10 @@ def encode(docs: DataFrame, path: str, pattern: str, block_words: int = BLOCK_WO
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = saved(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         _cut(pattern, buckets, block_words),
-        "block long, bucket int, docs array<long>, counts array<int>, data binary"), "bpe-blocks")
+        "block long, bucket int, docs array<long>, counts array<int>, buckets binary, data binary"), "bpe-blocks")
     coded = (cut.filter("bucket is not null").select("block", "bucket", "data").repartition(buckets, "bucket")
              .mapInArrow(_encode_words(path, pattern), "block long, bucket int, sizes binary, ids binary"))
-    return (cut.filter("bucket is null").select("block", "docs", "counts", "data").groupBy("block")
+    return (cut.filter("bucket is null").select("block", "docs", "counts", "buckets", "data").groupBy("block")
             .cogroup(coded.groupBy("block")).applyInArrow(_assemble, "doc_id long, ids array<int>"))
 
 
