@@ -149,7 +149,7 @@ def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     dirty = report(docs, items).filter("contaminated").select(F.col("doc").alias("_dirty")).distinct()
     key = F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))
-    return docs.join(dirty, key == F.col("_dirty"), "left_anti")
+    return docs.join(dirty.hint("merge"), key == F.col("_dirty"), "left_anti")
 
 
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

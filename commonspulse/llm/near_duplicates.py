@@ -231,9 +231,9 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE, block: int
                .select("key", "band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node"))
     task = ["key", "band", "lo", "hi"]
     rows = "key long, band int, lo int, hi int, own int, node long, n long, registers binary"
-    wanted = saved(members.join(nodes, "node").select(*(f.split()[0] for f in rows.split(", "))).repartition(*task)
+    wanted = saved(members.join(nodes.hint("merge"), "node").select(*(f.split()[0] for f in rows.split(", "))).repartition(*task)
                    .sortWithinPartitions(*task).mapInArrow(_promising(share), rows), "candidates")
-    texts = saved(docs.join(wanted.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = saved(docs.join(wanted.select(F.col("node").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
                   .withColumnRenamed("doc_id", "node").distinct(), "candidate-texts")
     edges = saved(wanted.join(texts, "node").select(*task, "own", "node", "n", "registers", "text").repartition(*task)
                   .sortWithinPartitions(*task).mapInArrow(_links(share), "a long, b long"), "links")
@@ -248,7 +248,7 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE, block: int
 def keep_first(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
     """The documents, with all their columns, that are the first of their component."""
     gone = near_duplicates(docs, share).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
