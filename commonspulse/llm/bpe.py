@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from commonspulse.llm.common import lists_of, pieces, read, saved
 
 BLOCK_WORDS = 2 << 20  # words of a block; more only if one text has more
-MEMO_WORDS = 1 << 20  # words a task remembers at once; beyond, a word may be encoded again
+MEMO_WORDS = 1 << 17  # words a task remembers at once; beyond, a word may be encoded again
 _LISTS = pa.list_(pa.int32())
 
 
@@ -39,7 +39,7 @@ def ranks(path: str) -> dict[bytes, int]:
 
 def _pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers by byte planes, compressed."""
-    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
+    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 9)
 
 
 def _unpack(packed: bytes) -> np.ndarray:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from commonspulse.session import scratch_dir
 
-PIECE_BYTES = 8 << 20  # text handled at once in a task
+PIECE_BYTES = 2 << 20  # text handled at once in a task
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 

@@ -31,7 +31,7 @@ from commonspulse.session import scratch_dir
 LIMIT = 16  # longest code in bits
 STRIDE = 256  # ids between checkpoints
 BLOCK_IDS = 1 << 18  # ids after which a block ends, at the end of a document
-MEMO_WORDS = 1 << 19  # words a task remembers at once
+MEMO_WORDS = 1 << 17  # words a task remembers at once
 END_ID = 1
 _BLOCK = "start long, docs array<long>, sizes array<int>, n_ids int, checkpoints array<int>, bits binary"
 

@@ -30,7 +30,7 @@ from commonspulse.llm.common import pieces, read
 SAMPLE = 400  # labelled documents per language that training may read, about
 UNITS, STEPS, BATCH, RATE = 16, 400, 256, 0.01
 RUN_BYTES = 32  # bytes of a sequence, without its blanks
-MEMO_RUNS = 1 << 19  # runs a task remembers at once
+MEMO_RUNS = 1 << 17  # runs a task remembers at once
 UNDEFINED = "und"
 Layer = dict[str, np.ndarray]
 

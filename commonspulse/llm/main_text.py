@@ -217,7 +217,5 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
 
-# The test pages hold one article each; what stands in it, by patterns.
-OP10_SQL = ""
 QUERIES = {"op10_main_text": op10_main_text}
 ORACLES: dict[str, str] = {}
