@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from commonspulse.session import pin_utc, scratch_dir
 from commonspulse.sources.archive import write_month_table
-from commonspulse.sources.tables import spread
 
 # Schemas of the given tables, so that opening one reads no file.
 BASE_TABLES = {
@@ -141,13 +140,11 @@ def _shared(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; the first column spreads a small one."""
+    """A given table."""
     pin_utc(spark)
 
     def opened() -> DataFrame:
-        schema = BASE_TABLES[name]
-        rows = spark.read.schema(schema).parquet(os.path.join(sf_dir, f"{name}.parquet"))
-        return spread(rows, schema.split()[0])
+        return spark.read.schema(BASE_TABLES[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
     return _shared(spark, sf_dir, f"{name}.parquet", opened)
 

@@ -186,11 +186,14 @@ def login_manifest(spark, sf_dir):
 select count(*) as organization_count, count(*) * 84 as monthly_row_count, cast(count(*) as int) as files,
   'organization_monthly.csv' as combined_csv, false as persistent_database_created from supplier""")
 def target_manifest(spark, sf_dir):
-    schema = ("organization_count bigint, monthly_row_count bigint, json_files array<string>, combined_csv string, "
+    schema = ("organization_count bigint, monthly_row_count bigint, json_files_table string, combined_csv string, "
               "persistent_database_created boolean")
-    rows = spark.read.schema(schema).option("multiLine", True).json(f"{_target_export(spark, sf_dir)}/manifest.json")
-    return rows.select("organization_count", "monthly_row_count", F.size("json_files").alias("files"),
-                       "combined_csv", "persistent_database_created")
+    root = _target_export(spark, sf_dir)
+    rows = spark.read.schema(schema).option("multiLine", True).json(f"{root}/manifest.json")
+    table = rows.first()["json_files_table"]
+    files = spark.read.text(f"{root}/{table}").distinct().agg(F.count("*").cast("int").alias("files"))
+    return rows.withColumn("files", F.lit(files.first()["files"])).select(
+        "organization_count", "monthly_row_count", "files", "combined_csv", "persistent_database_created")
 
 
 @query("k8_query_csv", LOGIN_PANEL + """
@@ -211,7 +214,7 @@ def run_log(spark, sf_dir):
     with runlog.audited_run(spark, f"{root}/collection_run", C.SOURCE_PANEL, "all") as run:
         run.counted(login_panel(spark, sf_dir)).write.parquet(f"{root}/panel")
     try:
-        with runlog.audited_run(spark, f"{root}/collection_run", "failing", "all"):
+        with runlog.audited_run(spark, f"{root}/collection_run", "failing", "all", error_width=4000):
             raise ValueError("x" * 5000)
     except ValueError:
         pass

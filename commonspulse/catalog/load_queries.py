@@ -190,7 +190,7 @@ def search_results(spark, sf_dir) -> DataFrame:
     return rows.withColumn("query", F.concat(F.lit("language:"), F.col("o.language")))
 
 
-@query("p9_search_hits", _HITS.format(1000))
+@query("p9_search_hits", _HITS.format("rank"))
 def search_hits(spark, sf_dir):
     return search.ranked_hits(search_results(spark, sf_dir)).drop("matched_at", "raw")
 

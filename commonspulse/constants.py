@@ -109,12 +109,8 @@ WHITE_SPACE = " \t\n\r\x0b\x0c"
 PACKAGE_NAME_PATTERN = r"^[A-Za-z0-9_.-]+"
 
 # Read-only SQL guard.
-READ_ONLY_PREFIXES = ("select", "with", "describe", "show", "summarize", "explain")
+READ_ONLY_PREFIXES = ("select", "with", "describe", "show", "explain")
 MUTATING_WORDS = ("insert", "update", "delete", "drop", "alter", "create", "copy")
 
-# Limits.
-ERROR_TEXT_LIMIT = 4000
-SEARCH_HIT_LIMIT = 1000
-
 LOGIN_ADDITIVE_METRICS = tuple(m for m in LOGIN_PANEL_METRICS if m not in NON_ADDITIVE_METRICS)
 TARGET_ADDITIVE_METRICS = tuple(m for m in TARGET_PANEL_METRICS if m not in NON_ADDITIVE_METRICS)

@@ -23,40 +23,54 @@ from commonspulse.functions.expressions import package_name, stripped
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+class _SetupCalls(ast.NodeVisitor):
+    """Gathers what ``install_requires`` is given in calls named ``setup``, plain or as an attribute."""
+
+    def __init__(self, constants: dict[str, list[str]]) -> None:
+        self.constants, self.texts = constants, []
+
+    def visit_Call(self, node: ast.Call) -> None:
+        match node.func:
+            case ast.Name(id="setup") | ast.Attribute(attr="setup"):
+                for keyword in node.keywords:
+                    match keyword:
+                        case ast.keyword(arg="install_requires", value=ast.Name(id=name)):
+                            self.texts.extend(self.constants.get(name, ()))
+                        case ast.keyword(arg="install_requires", value=value):
+                            self.texts.extend(string_literals(value) or ())
+        self.generic_visit(node)
+
+
+def string_literals(node: ast.AST | None) -> list[str] | None:
+    """The texts of a written-out list, tuple or set that holds nothing but texts."""
+    match node:
+        case ast.List(elts=parts) | ast.Tuple(elts=parts) | ast.Set(elts=parts):
+            if all(isinstance(p, ast.Constant) and isinstance(p.value, str) for p in parts):
+                return [ast.literal_eval(p) for p in parts]
+    return None
+
+
+def module_constants(module: ast.Module) -> dict[str, list[str]]:
+    """Names that the module's own statements bind to written-out texts; the last such binding counts."""
+    pairs = []
+    for statement in module.body:
+        match statement:
+            case ast.Assign(targets=targets, value=value):
+                pairs += [(target, value) for target in targets]
+            case ast.AnnAssign(target=target, value=value):
+                pairs.append((target, value))
+    return {t.id: texts for t, v in pairs if isinstance(t, ast.Name) and (texts := string_literals(v)) is not None}
+
+
 def literal_requirements(source: str | None) -> list[str]:
     """Requirement texts of every ``setup(install_requires=...)`` call, never executing code."""
     try:
-        tree = ast.parse(source or "")
+        module = ast.parse(source or "")
+        calls = _SetupCalls(module_constants(module))
+        calls.visit(module)
     except (SyntaxError, ValueError, RecursionError, MemoryError):
         return []
-    # The last literal list bound to a top-level name counts, wherever it stands.
-    bound = {}
-    for statement in tree.body:
-        names = getattr(statement, "targets", None) or [getattr(statement, "target", None)]
-        texts = _texts(getattr(statement, "value", None))
-        if isinstance(statement, (ast.Assign, ast.AnnAssign)) and texts is not None:
-            bound.update((n.id, texts) for n in names if isinstance(n, ast.Name))
-    found: list[str] = []
-    for call in ast.walk(tree):
-        if isinstance(call, ast.Call) and _called(call) == "setup":
-            for argument in (k.value for k in call.keywords if k.arg == "install_requires"):
-                texts = _texts(argument)
-                if texts is None:
-                    texts = bound.get(getattr(argument, "id", None), [])
-                found += texts
-    return found
-
-
-def _called(call: ast.Call) -> str | None:
-    return getattr(call.func, "id", None) or getattr(call.func, "attr", None)
-
-
-def _texts(node: ast.AST | None) -> list[str] | None:
-    """Strings of a literal list, tuple or set; None when any element is something else."""
-    if not isinstance(node, (ast.List, ast.Tuple, ast.Set)):
-        return None
-    values = [getattr(e, "value", None) if isinstance(e, ast.Constant) else None for e in node.elts]
-    return values if all(isinstance(v, str) for v in values) else None
+    return calls.texts
 
 
 @F.pandas_udf(ArrayType(StringType()))

@@ -20,10 +20,6 @@ from commonspulse.functions.expressions import as_bigint, month_of, month_text,
 from commonspulse.operators.filters import login_panel_types, months_between, with_org_login
 from commonspulse.sources.months import month_bounds
 
-# Targets up to this many ids are broadcast and filter events before the
-# aggregation; more of them filter the aggregated panel instead.
-BROADCAST_TARGETS = 1_000_000
-
 
 def _counted(rows: DataFrame, keys: Sequence[str], counts: dict[str, Column],
              distinct: dict[str, str], order: Sequence[str]) -> DataFrame:
@@ -33,7 +29,9 @@ def _counted(rows: DataFrame, keys: Sequence[str], counts: dict[str, Column],
     ids = F.array(*[F.struct(F.lit(n).alias("slot"), F.col(distinct[n]).alias("id")) for n in names])
     different = rows.select(*keys, F.inline(ids)).where(F.col("id").isNotNull()).distinct()
     counted = different.groupBy(*keys).agg(*[F.count_if(F.col("slot") == n).alias(n) for n in names])
-    whole = added.join(counted, list(keys), "left")
+    counted = counted.select(*[F.col(k).alias(f"_{k}") for k in keys], *names)
+    same = [added[k].eqNullSafe(counted[f"_{k}"]) for k in keys]  # a null month is a group like any other
+    whole = added.join(counted, same, "left")
     return whole.select(*keys, *[F.coalesce(m, F.lit(0)).alias(m) if m in names else m for m in order])
 
 
@@ -109,17 +107,13 @@ def targeted_events(typed: DataFrame, targets: DataFrame) -> DataFrame:
 def target_month_panel(events: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """Sixteen metrics per organization id and month, over events of every type.
 
-    ``targets`` limits the panel to its ids.  Up to ``BROADCAST_TARGETS`` ids
-    are counted, broadcast and applied to the events; a longer list is joined
-    with the finished panel, which is far smaller than the events.
+    ``targets`` limits the panel to its ids, before the aggregation; Spark
+    chooses how to join them from their size.
     """
     attributed = attribute_forks(_slim_events(events))
     if targets is None:
         return _target_metrics(attributed)
-    ids = targets.select("organization_id").distinct()
-    if ids.limit(BROADCAST_TARGETS + 1).count() <= BROADCAST_TARGETS:
-        return _target_metrics(attributed.join(F.broadcast(ids), "organization_id", "left_semi"))
-    return _target_metrics(attributed).join(ids, "organization_id", "left_semi")
+    return _target_metrics(of_targets(attributed, targets))
 
 
 def _slim_events(events: DataFrame) -> DataFrame:

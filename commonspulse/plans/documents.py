@@ -54,23 +54,13 @@ def login_documents(panel: DataFrame, start: str | date, end: str | date) -> Dat
                           document.alias("document"))
 
 
-def one_per_file(documents: DataFrame) -> DataFrame:
-    """Logins that share a file name leave one document: that of the last login."""
-    whole = F.struct(*documents.columns)
-    return (
-        documents.groupBy("shard", "safe_login").agg(F.max_by(whole, F.col("org_login")).alias("d"))
-        .select("d.*")
-    )
-
-
-def file_name_collisions(documents: DataFrame) -> DataFrame:
-    """File names wanted by more than one login."""
-    return (
-        documents.groupBy("shard", "safe_login")
-        .agg(F.count(F.lit(1)).alias("logins"), F.min("org_login").alias("first_login"),
-             F.max("org_login").alias("kept_login"))
-        .where("logins > 1")
-    )
+def named_apart(documents: DataFrame) -> DataFrame:
+    """A file name for every login: of logins that share one, the last keeps it and the others add a digest of theirs."""
+    logins = documents.select("shard", "safe_login", "org_login")
+    last = logins.groupBy("shard", "safe_login").agg(F.max("org_login").alias("_last"))
+    apart = F.concat_ws("-", "safe_login", F.sha2("org_login", 256))
+    return documents.join(last, ["shard", "safe_login"]).withColumn(
+        "safe_login", F.when(F.col("org_login") == F.col("_last"), F.col("safe_login")).otherwise(apart)).drop("_last")
 
 
 def target_documents(targets: DataFrame, panel: DataFrame, start: str | date, end: str | date) -> DataFrame:

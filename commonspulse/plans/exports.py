@@ -15,6 +15,7 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from datetime import date
 
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -25,17 +26,14 @@ from commonspulse.plans import documents as D
 # Executors get the file writer with the task and need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Target lists longer than this get their file names as a table beside the manifest.
-MANIFEST_NAMES = 10_000
-
 
 def write_file(path: str, text: str) -> None:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    temporary = f"{path}.{uuid.uuid4().hex}.tmp"
-    with open(temporary, "w", encoding="utf-8") as handle:
-        handle.write(text)
-        handle.write("\n")
-    os.replace(temporary, path)
+    store, place = FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (LocalFileSystem(), path)
+    store.create_dir(os.path.dirname(place), recursive=True)
+    beside = f"{place}.{uuid.uuid4().hex}.tmp"
+    with store.open_output_stream(beside) as out:
+        out.write(f"{text}\n".encode())
+    store.move(beside, place)
 
 
 def write_named_files(rows: DataFrame, root: str) -> None:
@@ -49,7 +47,7 @@ def write_named_files(rows: DataFrame, root: str) -> None:
 
 def write_document_lines(documents: DataFrame, path: str) -> None:
     """The same documents as JSON lines in one folder per shard, for very many organizations."""
-    D.document_text(documents).select("shard", "body").write.mode("overwrite").partitionBy("shard").text(path)
+    D.document_text(documents).select("shard", "body").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("shard").text(path)
 
 
 def _manifest_file(manifest: DataFrame, path: str, **more: object) -> dict:
@@ -72,7 +70,7 @@ def _kept(panel: DataFrame) -> Iterator[None]:
 def export_login_json(panel: DataFrame, root: str, start: str | date, end: str | date) -> dict:
     """One compact document per organization below its shard, and the manifest last."""
     with _kept(panel):
-        rows = D.document_text(D.one_per_file(D.login_documents(panel, start, end)))
+        rows = D.document_text(D.named_apart(D.login_documents(panel, start, end)))
         name = F.concat_ws("/", "shard", F.concat("safe_login", F.lit(".json")))
         write_named_files(rows.select(name.alias("file"), "body"), root)
         return _manifest_file(D.login_manifest(panel, start, end), os.path.join(root, "manifest.json"))
@@ -89,16 +87,12 @@ def export_targets(targets: DataFrame, panel: DataFrame, root: str, start: str |
         write_named_files(rows.select(name.alias("file"), "body"), root)
         write_csv(D.target_csv_rows(targets, panel, start, end), os.path.join(root, C.TARGET_CSV_NAME))
 
-        names = D.target_file_names(targets)
-        listed = [r[0] for r in names.orderBy("json_file").limit(MANIFEST_NAMES + 1).collect()]
-        if len(listed) > MANIFEST_NAMES:
-            names.write.mode("overwrite").text(os.path.join(root, "manifest_files"))
-            more = {"json_files_table": "manifest_files"}
-        else:
-            more = {"json_files": listed}
-        return _manifest_file(D.target_manifest(targets, start, end), os.path.join(root, "manifest.json"), **more)
+        D.target_file_names(targets).write.mode("overwrite").text(os.path.join(root, "manifest_files"))
+        return _manifest_file(D.target_manifest(targets, start, end), os.path.join(root, "manifest.json"),
+                              json_files_table="manifest_files")
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
     """CSV folder with a header in every part; null is written as nothing."""
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    rows.write.mode("overwrite").options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="").csv(path)

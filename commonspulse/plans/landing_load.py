@@ -73,7 +73,7 @@ def load_landing(landed: Mapping[str, DataFrame], targets: DataFrame, stored: Ma
             F.lit(0).alias("dependency_count"),
         )
 
-    selected = chosen.groupBy(F.col("o.id").alias("repo_id")).agg(F.min("since").alias("since"))
+    selected = chosen.groupBy(F.col("o.id").alias("repo_id")).agg(F.when(F.count_if(F.col("since").isNull()) == 0, F.min("since")).alias("since"))
 
     def of_selected(kind: str) -> DataFrame:
         return landed[kind].join(selected, "repo_id")

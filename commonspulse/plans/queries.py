@@ -18,10 +18,10 @@ def ensure_read_only(sql: str) -> None:
     """
     words = sql.lower().split()
     if not " ".join(words).startswith(C.READ_ONLY_PREFIXES):
-        raise ValueError("Only read-only SQL is accepted")
+        raise ValueError("The text does not begin like a query")
     found = set(words) & set(C.MUTATING_WORDS)
     if found:
-        raise ValueError(f"Potentially mutating SQL is not allowed: {sorted(found)}")
+        raise ValueError(f"These words change data and are refused: {sorted(found)}")
 
 
 def run_query(spark: SparkSession, sql: str, views: Mapping[str, DataFrame]) -> DataFrame:

@@ -11,7 +11,6 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from commonspulse import constants as C
 from commonspulse import schemas
 
 
@@ -33,8 +32,11 @@ class Run:
 
 
 @contextmanager
-def audited_run(spark: SparkSession, log: str, source: str, target: str) -> Iterator[Run]:
-    """Log ``running``, then ``succeeded`` or ``failed`` with the error; errors go on to the caller."""
+def audited_run(spark: SparkSession, log: str, source: str, target: str, error_width: int | None = None) -> Iterator[Run]:
+    """Log ``running``, then ``succeeded`` or ``failed`` with the error; errors go on to the caller.
+
+    The error text is logged whole unless the caller gives an ``error_width``.
+    """
     run = Run(time.time_ns())
     started = datetime.now(UTC)
 
@@ -46,7 +48,7 @@ def audited_run(spark: SparkSession, log: str, source: str, target: str) -> Iter
     try:
         yield run
     except Exception as problem:
-        append("failed", datetime.now(UTC), error=str(problem)[: C.ERROR_TEXT_LIMIT])
+        append("failed", datetime.now(UTC), error=str(problem)[:error_width])
         raise
     append("succeeded", datetime.now(UTC), rows=run.total())
 

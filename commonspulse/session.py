@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,11 +36,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
     The cluster names that folder because every executor can reach it.  Only a
-    local session without the setting falls back to a temporary folder.
+    local session without the setting falls back to the warehouse folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="commonspulse-")
+        base = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "scratch")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")

@@ -16,7 +16,7 @@ def as_month(value: str | date) -> date:
     if isinstance(value, date):
         return value.replace(day=1)
     if not re.fullmatch(C.MONTH_PATTERN, value):
-        raise ValueError(f"Invalid month {value!r}; expected YYYY-MM")
+        raise ValueError(f"Not a month written as year-month: {value!r}")
     year, month = map(int, value.split("-"))
     if year < C.FIRST_YEAR:
         raise ValueError(f"Months before {C.FIRST_YEAR}-01 are not covered: {value!r}")
@@ -26,7 +26,7 @@ def as_month(value: str | date) -> date:
 def month_bounds(start: str | date, end: str | date) -> tuple[date, date]:
     first, last = as_month(start), as_month(end)
     if last < first:
-        raise ValueError("End month must not precede start month")
+        raise ValueError("The last month lies before the first")
     return first, last
 
 

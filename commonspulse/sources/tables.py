@@ -10,26 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from commonspulse import schemas
 
 
-# Below this much input per core, file splits cannot keep the cores busy; below
-# the second size there is nothing to spread.
-BYTES_PER_CORE = 4 * 1024 * 1024
-WORTH_SPREADING = 64 * 1024
-
-
-def spread(rows: DataFrame, *by: str) -> DataFrame:
-    """Spread a small input over all cores; leave a large one as its file splits are.
-
-    A Parquet row group or a gzip file is read by one task.  An input of a few
-    of them would run on as few cores, however costly its columns are.  The
-    size is Spark's own estimate for the files, so no job runs here.
-    """
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if WORTH_SPREADING < size < cores * BYTES_PER_CORE:
-        return rows.repartition(cores, *by)
-    return rows
-
-
 def create_folder(spark: SparkSession, path: str, schema: str) -> None:
     """An empty table, unless the folder is there already."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)

@@ -19,14 +19,14 @@ def read_targets(spark: SparkSession, path: str, validate: bool = True) -> DataF
     ignored.  When an id repeats, its last row in the file wins.  An id that is
     no positive integer is an error naming the record.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.options(header=True, escape='"', multiLine=True).csv(path)
     columns = {name.strip().lower(): name for name in raw.columns}
     if not columns:
         raise ValueError("The target file has no header")
     id_column = _pick(columns, "organization_id", "org_id")
     login_column = _pick(columns, "historical_login", "login")
     if id_column is None:
-        raise ValueError("The target file must contain organization_id or org_id")
+        raise ValueError("No column names the target ids (organization_id, org_id)")
 
     login = F.btrim(F.col(f"`{login_column}`")) if login_column else F.lit("")
     rows = raw.select(
@@ -42,7 +42,7 @@ def read_targets(spark: SparkSession, path: str, validate: bool = True) -> DataF
             line = rows.where(F.col("_line") < first[0]["_line"]).count() + 2
             raise ValueError(f"Invalid organization_id at CSV line {line}: {first[0]['_text']!r}")
         if rows.isEmpty():
-            raise ValueError("The target file contains no organization ids")
+            raise ValueError("No target is listed below the header")
 
     last = F.max_by(F.struct("historical_login"), F.col("_line"))
     return (

@@ -77,13 +77,6 @@ def test_target_panel(events, rows):
     assert {r["organization_id"] for r in panel.collect()} == {1, 2}
 
 
-def test_many_targets_filter_the_finished_panel(events, rows, monkeypatch):
-    targets = rows("organization_id bigint, historical_login string", (1, "acme"), (2, None))
-    small = sorted(panels.target_month_panel(events, targets).collect())
-    monkeypatch.setattr(panels, "BROADCAST_TARGETS", 1)
-    assert sorted(panels.target_month_panel(events, targets).collect()) == small
-
-
 def test_typed_events_drop_nested_values(events):
     typed = {r["event_id"]: r for r in projections.typed_events(events).collect()}
     assert typed["6"]["event_action"] is None and typed["5"]["event_action"] == "opened"
@@ -131,13 +124,20 @@ def test_file_names(rows):
         ("a-b", "a-"), ("x", "x_"), ("unknown", "un"), ("unknown", "un"), ("ab", "ab")]
 
 
-def test_colliding_names_keep_the_last_login(rows):
+def test_colliding_names_leave_every_login_a_file(rows):
     panel = rows("org_login string, month date, " + ", ".join(f"{m} bigint" for m in C.LOGIN_PANEL_METRICS),
                  *[(login, date(2025, 1, 1), *[1] * 11) for login in ("a.b", "a_b", "c")])
-    docs = documents.login_documents(panel, "2025-01", "2025-01")
-    kept = {r["safe_login"]: r["org_login"] for r in documents.one_per_file(docs).collect()}
-    assert kept == {"a-b": "a_b", "c": "c"}
-    assert [tuple(r) for r in documents.file_name_collisions(docs).collect()] == [("a-", "a-b", 2, "a.b", "a_b")]
+    named = {r["org_login"]: r["safe_login"] for r in documents.named_apart(
+        documents.login_documents(panel, "2025-01", "2025-01")).collect()}
+    assert named["a_b"] == "a-b" and named["c"] == "c"
+    assert named["a.b"].startswith("a-b-") and len(set(named.values())) == 3
+
+
+def test_null_month_keeps_its_distinct_counts(events):
+    undated = events.withColumn("created_at", F.lit(None).cast("timestamp"))
+    found = panels.target_month_panel(undated).collect()
+    assert found and all(r["month"] is None for r in found)
+    assert any(r["distinct_actors"] > 0 for r in found)
 
 
 def test_hot_organization_equals_brute_force(rows):

@@ -125,14 +125,6 @@ def test_tables_are_created_once(spark, tmp_path):
     assert tables.read_table(spark, root, "setup_dependency").count() == 1
 
 
-def test_small_inputs_are_spread_and_large_ones_left_alone(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    spark.range(200_000).coalesce(1).write.parquet(path)
-    assert tables.spread(spark.read.parquet(path), "id").rdd.getNumPartitions() == 8
-    monkeypatch.setattr(tables, "BYTES_PER_CORE", 1)
-    assert "Exchange" not in tables.spread(spark.read.parquet(path), "id")._jdf.queryExecution().executedPlan().toString()
-
-
 def test_archive_hours_outside_the_range_are_not_opened(spark, archive_root):
     rows = archive.read_hours(spark, archive_root, datetime(2025, 1, 1), datetime(2025, 1, 1, 2))
     rows.collect()
@@ -155,3 +147,10 @@ def test_mistyped_fields_do_not_lose_the_line(spark, tmp_path):
         '{"id":"1","type":"PushEvent","created_at":"2025-01-01T03:00:00Z","repo":{"id":"x","name":"a/b"},"payload":{"a":1}}\n')
     row = archive.read_archive(spark, str(tmp_path)).first()
     assert (row["id"], row["repo"]["name"], row["repo"]["id"], row["payload"]) == ("1", "a/b", None, '{"a":1}')
+
+
+def test_target_file_with_quotes_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "wanted.csv"
+    path.write_text('login,org_id\n"a ""b"" c",31\n"one\ntwo",32\n', encoding="utf-8")
+    found = {r["organization_id"]: r["historical_login"] for r in targets.read_targets(spark, str(path)).collect()}
+    assert found == {31: 'a "b" c', 32: "one\ntwo"}
