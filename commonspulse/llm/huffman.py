@@ -14,6 +14,8 @@ written (nulls first, ties by text); further columns are left out; an empty tabl
 
 from __future__ import annotations
 
+import itertools
+import os
 import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -31,7 +33,8 @@ from commonspulse.session import scratch_dir
 LIMIT = 16  # longest code in bits
 STRIDE = 256  # ids between checkpoints
 BLOCK_IDS = 1 << 18  # ids after which a block ends, at the end of a document
-MEMO_WORDS = 1 << 17  # words a task remembers at once
+AT_ONCE = 4096  # words given to the tokenizer at once
+TEXT_BYTES = 6 << 20  # of a piece whose distinct words are encoded together
 END_ID = 1
 _BLOCK = "start long, docs array<long>, sizes array<int>, n_ids int, checkpoints array<int>, bits binary"
 
@@ -115,28 +118,33 @@ def decode_block(bits: bytes, checkpoints: np.ndarray, n_ids: int, table: tuple[
     return out.ravel()[:n_ids]
 
 
+def encode_words(coder, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words, and where each word's begin and end."""
+    flat, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    for start in range(0, len(words), AT_ONCE):
+        ids = [x.ids for x in coder.encode_batch_fast(words[start:start + AT_ONCE], add_special_tokens=False)]
+        sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat.append(np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes[-1].sum())))
+    return np.concatenate(flat), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
+
 def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Ids of each text with the end id, and how many ids of the partition stand before it.
 
-    The tokenizer drops white space and joins nothing across it, so each distinct word is encoded once.
+    The tokenizer drops white space and joins nothing across it, so each distinct word of a piece is encoded once.
     """
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
         coder = Tokenizer.from_file(path)
         coder.encode_special_tokens = True
-        task, at, known = TaskContext.get().partitionId(), 0, {}
-        for batch in pieces(batches):
+        task, at = TaskContext.get().partitionId(), 0
+        for batch in pieces(batches, most=TEXT_BYTES):
             lists = pc.ascii_split_whitespace(pc.fill_null(batch.column("text"), ""))
             coded = lists.flatten().dictionary_encode()
-            distinct = coded.dictionary.to_pylist()
-            fresh = [w for w in distinct if w not in known]
-            for word, found in zip(fresh, coder.encode_batch(fresh, add_special_tokens=False), strict=True):
-                known[word] = np.array(found.ids, np.uint32)
-            ids = [known[w] for w in distinct]
-            bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
-            words = lists_of(pa.array(np.concatenate([*ids, np.zeros(0, np.uint32)])), bounds)
-            chosen = words.take(coded.indices)
+            ids, bounds = encode_words(coder, coded.dictionary.to_pylist())
+            chosen = lists_of(pa.array(ids), bounds).take(coded.indices)
             flat, ends = chosen.flatten().to_numpy(), chosen.offsets.to_numpy()
             ends = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
             parts = [np.append(flat[a:b], np.uint32(end_id)) for a, b in zip(ends[:-1], ends[1:], strict=True)]
@@ -147,8 +155,6 @@ def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
                 batch.column("doc_id"), pa.array([task] * batch.num_rows, pa.int32()), pa.array(before, pa.int64()),
                 _narrow(parts, sizes),
             ], ["doc_id", "part", "before", "ids"])
-            if len(known) > MEMO_WORDS:
-                known = {}
 
     return tokenize
 
