@@ -38,6 +38,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
+            pa.default_memory_pool().release_unused()
             start = stop
 
 

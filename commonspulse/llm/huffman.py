@@ -34,7 +34,7 @@ LIMIT = 16  # longest code in bits
 STRIDE = 256  # ids between checkpoints
 BLOCK_IDS = 1 << 18  # ids after which a block ends, at the end of a document
 AT_ONCE = 4096  # words given to the tokenizer at once
-TEXT_BYTES = 6 << 20  # of a piece whose distinct words are encoded together
+TEXT_BYTES = 4 << 20  # of a piece whose distinct words are encoded together
 END_ID = 1
 _BLOCK = "start long, docs array<long>, sizes array<int>, n_ids int, checkpoints array<int>, bits binary"
 
