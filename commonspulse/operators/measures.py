@@ -36,15 +36,9 @@ def cutoff_measures(targets: DataFrame, organizations: DataFrame, repositories:
     wanted = targets.select(F.lower("login").alias("org_key"), "cutoff").distinct()
     orgs = organizations.select("org_id", F.lower("login").alias("org_key"))
     marks = wanted.join(orgs, "org_key").select("org_key", "org_id", F.col("cutoff").alias("moment"))
-    scoped = repositories.select("repo_id", "org_id", "is_fork", "created_at").join(
-        marks.select("org_id"), "org_id", "left_semi"
-    )
-    split_days = (
-        marks.where(F.col("moment") > F.to_date("moment").cast("timestamp"))
-        .select("org_id", F.to_date("moment").alias("day")).distinct()
-    )
-    facts = _timed(commits, issues, pulls)
-    counted = _before(marks, _per_day(scoped, facts), _within_days(scoped, facts, split_days))
+    scoped = repositories.select("repo_id", "org_id").join(marks.select("org_id"), "org_id", "left_semi")
+    facts = _timed(repositories, commits, issues, pulls)
+    counted = _before(marks, _per_moment(scoped, facts, _split_days(marks)))
     # A fork flag is required; a row without one still counts as a repository.
     counted = counted.withColumn("repos", sum((F.col(c) for c in PORTFOLIO), F.lit(0)))
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS]
@@ -64,74 +58,61 @@ def cutoff_measures(targets: DataFrame, organizations: DataFrame, repositories:
     )
 
 
-def _timed(commits: DataFrame, issues: DataFrame, pulls: DataFrame) -> DataFrame:
-    """All facts as ``repo_id``, kind, time and day."""
-    def of_kind(rows: DataFrame, kind: str, moment: Column) -> DataFrame:
-        return rows.select("repo_id", _kind(kind).alias("kind"), moment.alias("moment"))
+def _timed(repositories: DataFrame, commits: DataFrame, issues: DataFrame, pulls: DataFrame) -> DataFrame:
+    """All facts, the creation of repositories among them, as ``repo_id``, kind and time."""
+    def of_kind(rows: DataFrame, kind: Column, moment: Column) -> DataFrame:
+        return rows.select("repo_id", kind.alias("kind"), moment.alias("moment"))
 
+    created = F.when(F.col("is_fork"), _kind("forked_repos")).when(~F.col("is_fork"), _kind("original_repos"))
     return (
-        of_kind(commits, "commits", F.coalesce("author_time", "event_time"))
-        .unionByName(of_kind(issues, "issues", F.col("created_at")))
-        .unionByName(of_kind(pulls, "pulls", F.col("created_at")))
+        of_kind(commits, _kind("commits"), F.coalesce("author_time", "event_time"))
+        .unionByName(of_kind(issues, _kind("issues"), F.col("created_at")))
+        .unionByName(of_kind(pulls, _kind("pulls"), F.col("created_at")))
+        .unionByName(of_kind(repositories, created.otherwise(_kind("other_repos")), F.col("created_at")))
         .where(F.col("moment").isNotNull())
-        .withColumn("day", F.to_date("moment"))
     )
 
 
-def _created(scoped: DataFrame) -> DataFrame:
-    kind = F.when(F.col("is_fork"), _kind("forked_repos")).when(~F.col("is_fork"), _kind("original_repos"))
-    return scoped.where(F.col("created_at").isNotNull()).select(
-        "org_id", kind.otherwise(_kind("other_repos")).alias("kind"),
-        F.col("created_at").alias("moment"), F.to_date("created_at").alias("day"), F.lit(1).alias("n"),
+def _split_days(marks: DataFrame) -> DataFrame:
+    """Days of an organization on which a cutoff falls between midnights."""
+    return (
+        marks.where(F.col("moment") > F.to_date("moment").cast("timestamp"))
+        .select("org_id", F.to_date("moment").alias("day"), F.lit(True).alias("split")).distinct()
     )
 
 
-def _per_day(scoped: DataFrame, facts: DataFrame) -> DataFrame:
-    """Counts per organization, kind and day; facts shrink per repository and day before the join."""
-    shrunk = facts.groupBy("repo_id", "kind", "day").agg(F.count(F.lit(1)).alias("n"))
-    rows = shrunk.join(scoped.select("repo_id", "org_id"), "repo_id").drop("repo_id")
-    both = rows.unionByName(_created(scoped).drop("moment"))
-    return both.groupBy("org_id", "kind", "day").agg(F.sum("n").alias("n"))
+def _coarse(rows: DataFrame, days: DataFrame, keys: list[str]) -> DataFrame:
+    """Times cut down to their day, but for the days in ``days``."""
+    moment = F.when(F.col("split"), F.col("moment")).otherwise(F.to_date("moment").cast("timestamp"))
+    return rows.withColumn("day", F.to_date("moment")).join(days, keys, "left").withColumn("moment", moment).drop("day", "split")
 
 
-def _within_days(scoped: DataFrame, facts: DataFrame, split_days: DataFrame) -> DataFrame:
-    """Counts by exact time, only on days that a cutoff splits."""
+def _per_moment(scoped: DataFrame, facts: DataFrame, split_days: DataFrame) -> DataFrame:
+    """Counts per organization, kind and day; by exact time on days that a cutoff of the organization splits.
+
+    Facts shrink per repository and day before the join.
+    """
     # At most one row per calendar day, so this side is always small.
-    days = F.broadcast(split_days.select("day").distinct())
-    rows = (
-        facts.join(days, "day", "left_semi")
-        .join(scoped.select("repo_id", "org_id"), "repo_id")
-        .join(split_days, ["org_id", "day"], "left_semi")
-        .select("org_id", "kind", "moment", F.lit(1).alias("n"))
-    )
-    own = _created(scoped).join(split_days, ["org_id", "day"], "left_semi").drop("day")
-    return rows.unionByName(own).groupBy("org_id", "kind", "moment").agg(F.sum("n").alias("n"))
+    any_day = F.broadcast(split_days.select("day", "split").distinct())
+    shrunk = _coarse(facts, any_day, ["day"]).groupBy("repo_id", "kind", "moment").agg(F.count(F.lit(1)).alias("n"))
+    owned = shrunk.join(scoped, "repo_id").select("org_id", "kind", "moment", "n")
+    return _coarse(owned, split_days, ["org_id", "day"]).groupBy("org_id", "kind", "moment").agg(F.sum("n").alias("n"))
 
 
-def _before(marks: DataFrame, per_day: DataFrame, within_days: DataFrame) -> DataFrame:
+def _before(marks: DataFrame, per_moment: DataFrame) -> DataFrame:
     """Counts strictly before each mark, one column per kind.
 
-    The first running sum sees the distinct times of one day of an
-    organization, the second one row per day: both are bounded by the calendar,
-    not by the number of facts.
+    The running sum of an organization sees one row per day, the distinct times of its split days and its marks.
     """
-    # At equal times or days the mark, which has no count, comes first: it is exclusive.
-    mark_first = F.col("n").asc_nulls_first()
-    earlier_in_day = (
-        Window.partitionBy("org_id", "kind", "day").orderBy("moment", mark_first)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    earlier_days = (
-        Window.partitionBy("org_id", "kind").orderBy("day", mark_first)
+    # At equal times the mark, which has no count, comes first: it is exclusive.
+    earlier = (
+        Window.partitionBy("org_id", "kind").orderBy("moment", F.col("n").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     asked = marks.withColumn("kind", F.explode(F.array(*map(_kind, KINDS))))
-    times = within_days.unionByName(asked, allowMissingColumns=True).withColumn("day", F.to_date("moment"))
-    marked = times.select("*", F.sum("n").over(earlier_in_day).alias("in_day")).where(F.col("n").isNull())
-    days = per_day.unionByName(marked, allowMissingColumns=True)
-    before = F.coalesce("in_day", F.lit(0)) + F.coalesce("in_days", F.lit(0))
+    summed = per_moment.unionByName(asked, allowMissingColumns=True).select(
+        "*", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     return (
-        days.select("*", F.sum("n").over(earlier_days).alias("in_days")).where(F.col("n").isNull())
-        .groupBy("org_key", F.col("moment").alias("cutoff"))
-        .agg(*[F.coalesce(F.sum(F.when(F.col("kind") == _kind(k), before)), F.lit(0)).alias(k) for k in KINDS])
+        summed.where(F.col("n").isNull()).groupBy("org_key", F.col("moment").alias("cutoff"))
+        .agg(*[F.coalesce(F.sum(F.when(F.col("kind") == _kind(k), F.col("before"))), F.lit(0)).alias(k) for k in KINDS])
     )
