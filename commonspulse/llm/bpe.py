@@ -28,6 +28,8 @@ from commonspulse.llm.common import lists_of, pieces, read, saved
 
 BLOCK_WORDS = 2 << 20  # words of a block; more only if one text has more
 MEMO_WORDS = 1 << 17  # words a task remembers at once; beyond, a word may be encoded again
+NARROW = 192  # packed numbers below take one byte
+WIDE = NARROW + ((255 - NARROW) << 8)  # and below this one two
 _LISTS = pa.list_(pa.int32())
 
 
@@ -47,10 +49,28 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def _pack_places(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers, most of them small: first bytes, second bytes and what is beyond two bytes, each compressed."""
+    two, wide = (numbers >= NARROW) & (numbers < WIDE), numbers >= WIDE
+    first = np.where(numbers < NARROW, numbers, np.where(two, NARROW + ((numbers - NARROW) >> 8), 255)).astype(np.uint8)
+    parts = [zstandard.compress(x.tobytes(), 12) for x in (first, ((numbers[two] - NARROW) & 255).astype(np.uint8))]
+    return b"".join([*(len(x).to_bytes(4, "little") for x in parts), *parts, _pack(numbers[wide] - WIDE)])
+
+
+def _unpack_places(packed: bytes) -> np.ndarray:
+    a = 8 + int.from_bytes(packed[:4], "little")
+    b = a + int.from_bytes(packed[4:8], "little")
+    first, second = (np.frombuffer(zstandard.decompress(x), np.uint8).astype(np.int64) for x in (packed[8:a], packed[a:b]))
+    numbers, two = first.copy(), (first >= NARROW) & (first < 255)
+    numbers[two] = NARROW + ((first[two] - NARROW) << 8) + second
+    numbers[first == 255] = WIDE + _unpack(packed[b:]).astype(np.int64)
+    return numbers
+
+
 def _pack_words(words: list[str]) -> bytes:
     raw = [w.encode() for w in words]
     sizes = _pack(np.fromiter(map(len, raw), np.uint32, len(raw)))
-    return len(sizes).to_bytes(4, "little") + sizes + zstandard.compress(b"".join(raw), 9)
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.compress(b"".join(raw), 15)
 
 
 def _unpack_words(packed: bytes) -> list[str]:
@@ -63,7 +83,8 @@ def _unpack_words(packed: bytes) -> list[str]:
 def _cut(pattern: str, buckets: int, block_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """One row a block with its documents and places (bucket null), one a bucket with the block's words of that hash.
 
-    Words are numbered by falling frequency, so that places pack well; ``buckets`` has each number's bucket.
+    Words are numbered by falling frequency, so that places pack well, and words that occur once in the order of their
+    places, where 0 stands for the next of them; ``buckets`` has each number's bucket.
     """
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, task = regex.compile(pattern, regex.V1).findall, TaskContext.get().partitionId()
@@ -71,9 +92,10 @@ def _cut(pattern: str, buckets: int, block_words: int) -> Callable[[Iterator[pa.
 
         def block() -> pa.RecordBatch:
             at = np.concatenate([*places, np.zeros(0, np.uint32)])
-            order = np.argsort(-np.bincount(at, minlength=len(known)), kind="stable")
-            rank = np.empty(len(known), np.uint32)
-            rank[order] = np.arange(len(known))
+            times = np.bincount(at, minlength=len(known))
+            order = np.argsort(-times, kind="stable")
+            place = np.empty(len(known), np.int64)
+            place[order] = np.where(times[order] > 1, np.arange(1, len(known) + 1), 0)
             words = list(known)
             owned: dict[int, list[str]] = {}
             bucket = np.empty(len(known), np.uint32)
@@ -85,7 +107,7 @@ def _cut(pattern: str, buckets: int, block_words: int) -> Callable[[Iterator[pa.
                 pa.array([number] * (size + 1), pa.int64()), pa.array([None, *full], pa.int32()),
                 pa.array([docs, *[None] * size], pa.list_(pa.int64())), pa.array([counts, *[None] * size], pa.list_(pa.int32())),
                 pa.array([_pack(bucket), *[None] * size], pa.binary()),
-                pa.array([_pack(rank[at]), *(_pack_words(owned[b]) for b in full)], pa.binary()),
+                pa.array([_pack_places(place[at]), *(_pack_words(owned[b]) for b in full)], pa.binary()),
             ], ["block", "bucket", "docs", "counts", "buckets", "data"])
 
         words = 0
@@ -144,7 +166,10 @@ def _assemble(block: pa.Table, coded: pa.Table) -> pa.Table:
     for row in block.to_pylist():
         moved = np.empty(len(words), np.uint32)  # word numbers to places among the buckets' words
         moved[np.argsort(_unpack(row["buckets"]), kind="stable")] = np.arange(len(words))
-        at = moved[_unpack(row["data"])]
+        numbers = _unpack_places(row["data"])
+        once = np.flatnonzero(numbers == 0)  # each stands for the next word that occurs once
+        numbers[once] = len(words) - len(once) + 1 + np.arange(len(once))
+        at = moved[numbers - 1]
         ends = np.concatenate([[0], np.cumsum(row["counts"], dtype=np.int64)])
         start = 0
         while start < len(row["docs"]):  # a few documents at a time: 32-bit offsets of lists hold
