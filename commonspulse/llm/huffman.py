@@ -34,6 +34,7 @@ LIMIT = 16  # longest code in bits
 STRIDE = 256  # ids between checkpoints
 BLOCK_IDS = 1 << 18  # ids after which a block ends, at the end of a document
 AT_ONCE = 4096  # words given to the tokenizer at once
+MEMO_WORDS = 1 << 18  # words a task remembers at most; beyond, a word is encoded again
 TEXT_BYTES = 4 << 20  # of a piece whose distinct words are encoded together
 END_ID = 1
 _BLOCK = "start long, docs array<long>, sizes array<int>, n_ids int, checkpoints array<int>, bits binary"
@@ -131,7 +132,8 @@ def encode_words(coder, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Ids of each text with the end id, and how many ids of the partition stand before it.
 
-    The tokenizer drops white space and joins nothing across it, so each distinct word of a piece is encoded once.
+    The tokenizer drops white space and joins nothing across it, so each distinct word of a piece is encoded once, and
+    words that a piece repeats are remembered for the next ones.
     """
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
@@ -140,11 +142,25 @@ def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
         coder = Tokenizer.from_file(path)
         coder.encode_special_tokens = True
         task, at = TaskContext.get().partitionId(), 0
+        none = lists_of(pa.array([], pa.uint32()), np.zeros(1, np.int64))
+        known: dict[str, int] = {}  # places in ``table``
+        table = none
         for batch in pieces(batches, most=TEXT_BYTES):
             lists = pc.ascii_split_whitespace(pc.fill_null(batch.column("text"), ""))
             coded = lists.flatten().dictionary_encode()
-            ids, bounds = encode_words(coder, coded.dictionary.to_pylist())
-            chosen = lists_of(pa.array(ids), bounds).take(coded.indices)
+            words, indices = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            where = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+            fresh, held = np.flatnonzero(where < 0), len(table)
+            where[fresh] = held + np.arange(len(fresh))
+            ids, bounds = encode_words(coder, [words[i] for i in fresh])
+            table = pa.concat_arrays([table, lists_of(pa.array(ids, pa.uint32()), bounds)])
+            chosen = table.take(pa.array(where[indices]))
+            repeated = fresh[np.bincount(indices, minlength=len(words))[fresh] > 1]
+            if held + len(repeated) > MEMO_WORDS:
+                known, table = {}, none
+            else:
+                known.update((words[i], held + k) for k, i in enumerate(repeated))
+                table = table.take(pa.array(np.concatenate([np.arange(held), where[repeated]])))
             flat, ends = chosen.flatten().to_numpy(), chosen.offsets.to_numpy()
             ends = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
             parts = [np.append(flat[a:b], np.uint32(end_id)) for a, b in zip(ends[:-1], ends[1:], strict=True)]
