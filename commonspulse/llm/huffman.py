@@ -34,9 +34,11 @@ LIMIT = 16  # longest code in bits
 STRIDE = 256  # ids between checkpoints
 BLOCK_IDS = 1 << 18  # ids after which a block ends, at the end of a document
 AT_ONCE = 4096  # words given to the tokenizer at once
-MEMO_WORDS = 1 << 18  # words a task remembers at most; beyond, a word is encoded again
+MEMO_PARTS = 1 << 18  # parts of words a task remembers at most; beyond, a part is encoded again
 TEXT_BYTES = 4 << 20  # of a piece whose distinct words are encoded together
 END_ID = 1
+_UNCOMBINED = r"^[\x00-\x7F\x{80}-\x{12F}\x{131}-\x{2FF}]*$"  # without U+0130, which becomes two characters
+_LETTER, _MARK = r"[a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]", r"[!-&(-/:-@\[-`{-~]"
 _BLOCK = "start long, docs array<long>, sizes array<int>, n_ids int, checkpoints array<int>, bits binary"
 
 
@@ -129,11 +131,23 @@ def encode_words(coder, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(flat), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
 
+def parts_of(words: pa.Array) -> pa.ListArray:
+    """Each word cut where the tokenizer cuts it anyway: between a plain letter and a mark next to it, but for apostrophes.
+
+    Both sides begin and end a match of the tokenizer's pattern and neither changes the other's normal form.  ASCII
+    letters become lower case if all of the word is below U+0300, so that it has no marks to combine with.
+    """
+    cut = pc.if_else(pc.match_substring_regex(words, _UNCOMBINED), pc.ascii_lower(words), words)
+    for before, after in ((_LETTER, _MARK), (_MARK, _LETTER)):
+        cut = pc.replace_substring_regex(cut, pattern=f"({before})({after})", replacement=r"\1 \2")
+    return pc.ascii_split_whitespace(cut)
+
+
 def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Ids of each text with the end id, and how many ids of the partition stand before it.
 
-    The tokenizer drops white space and joins nothing across it, so each distinct word of a piece is encoded once, and
-    words that a piece repeats are remembered for the next ones.
+    The tokenizer drops white space and joins nothing across it, so each distinct word of a piece is put together once
+    from its parts; a part is encoded once and remembered for the next pieces.
     """
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
@@ -148,19 +162,21 @@ def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
         for batch in pieces(batches, most=TEXT_BYTES):
             lists = pc.ascii_split_whitespace(pc.fill_null(batch.column("text"), ""))
             coded = lists.flatten().dictionary_encode()
-            words, indices = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-            where = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+            split = parts_of(coded.dictionary)
+            parts = split.flatten().dictionary_encode()
+            names, indices = parts.dictionary.to_pylist(), parts.indices.to_numpy()
+            where = np.fromiter((known.get(w, -1) for w in names), np.int64, len(names))
             fresh, held = np.flatnonzero(where < 0), len(table)
             where[fresh] = held + np.arange(len(fresh))
-            ids, bounds = encode_words(coder, [words[i] for i in fresh])
+            ids, bounds = encode_words(coder, [names[i] for i in fresh])
             table = pa.concat_arrays([table, lists_of(pa.array(ids, pa.uint32()), bounds)])
-            chosen = table.take(pa.array(where[indices]))
-            repeated = fresh[np.bincount(indices, minlength=len(words))[fresh] > 1]
-            if held + len(repeated) > MEMO_WORDS:
-                known, table = {}, none
-            else:
-                known.update((words[i], held + k) for k, i in enumerate(repeated))
-                table = table.take(pa.array(np.concatenate([np.arange(held), where[repeated]])))
+            of_parts = table.take(pa.array(where[indices]))
+            of_words = lists_of(of_parts.flatten(), of_parts.offsets.to_numpy()[split.offsets.to_numpy()])
+            chosen = of_words.take(coded.indices)
+            known.update((names[i], held + k) for k, i in enumerate(fresh))
+            if len(known) > MEMO_PARTS:  # what stands in several words of this piece stays
+                again = np.flatnonzero(np.bincount(indices, minlength=len(names)) > 1)
+                known, table = {names[i]: k for k, i in enumerate(again)}, table.take(pa.array(where[again]))
             flat, ends = chosen.flatten().to_numpy(), chosen.offsets.to_numpy()
             ends = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
             parts = [np.append(flat[a:b], np.uint32(end_id)) for a, b in zip(ends[:-1], ends[1:], strict=True)]
