@@ -6,6 +6,7 @@ from commonspulse.catalog import (  # noqa: F401
     load_queries,
     panel_queries,
     view_queries,
+    warehouse_queries,
 )
 from commonspulse.catalog.registry import ORACLES, QUERIES
 

@@ -12,6 +12,7 @@ from commonspulse.operators import filters, measures, merge, panels
 from commonspulse.operators import views as V
 from commonspulse.operators.dependencies import setup_dependencies
 from commonspulse.plans.queries import run_query
+from commonspulse.plans.warehouse import with_views
 
 FACTS = ("commit_activity", "issue", "pull_request", "repository", "organization")
 
@@ -58,7 +59,17 @@ def innovation_summary(spark, sf_dir):
 
 
 query("a11_innovation_summary", SUMMARY + "select * from summary")(innovation_summary)
-query("w4_innovation_summary_view", SUMMARY + "select * from summary")(innovation_summary)
+
+
+def warehouse(spark, sf_dir):
+    """The given rows as warehouse tables, with the named views."""
+    names = (*FACTS, "repository_metric_snapshot")
+    return with_views(dict(zip(names, views(spark, sf_dir, *names), strict=True)))
+
+
+@query("w4_innovation_summary_view", SUMMARY + "select * from summary")
+def innovation_summary_view(spark, sf_dir):
+    return run_query(spark, "select * from organization_innovation_summary", warehouse(spark, sf_dir))
 
 
 @query("j2_preaggregated_left_joins", SUMMARY + "select login, commits, issues, pull_requests from summary")
@@ -83,8 +94,6 @@ def current(spark, sf_dir):
 _CURRENT = cte("repository", "repository_metric_snapshot") + LATEST
 
 
-@query("w2_repository_current_view", _CURRENT + """
-select repo_id, org_id, name, is_fork, stargazers_count, forks_count, observed_at from current_repository""")
 @query("j3_repository_current", _CURRENT + """
 select repo_id, org_id, name, is_fork, stargazers_count, forks_count, observed_at from current_repository""")
 def repository_current(spark, sf_dir):
@@ -92,6 +101,14 @@ def repository_current(spark, sf_dir):
                                          "forks_count", ntz("observed_at"))
 
 
+@query("w2_repository_current_view", _CURRENT + """
+select repo_id, org_id, name, is_fork, stargazers_count, forks_count, observed_at from current_repository""")
+def repository_current_view(spark, sf_dir):
+    return run_query(spark, """
+        select repo_id, org_id, name, is_fork, stargazers_count, forks_count, cast(observed_at as timestamp_ntz) as observed_at
+        from repository_current""", warehouse(spark, sf_dir))
+
+
 MONTHLY = cte(*FACTS) + """, stacked as (
   select 'commit' as kind, repo_id, author_time as moment from commit_activity
   union all select 'issue', repo_id, created_at from issue
@@ -107,7 +124,6 @@ select login, month, count(*) filter (where kind = 'commit') as commits, count(*
 from dated join organization using (org_id) group by login, month"""
 
 
-@query("w3_monthly_activity_view", MONTHLY + _MONTHLY_ROWS)
 @query("q3_stored_query_monthly", MONTHLY + _MONTHLY_ROWS)
 @query("a10_monthly_activity", MONTHLY + _MONTHLY_ROWS)
 def monthly_activity(spark, sf_dir):
@@ -115,6 +131,13 @@ def monthly_activity(spark, sf_dir):
     return rows.withColumn("month", ntz("month"))
 
 
+@query("w3_monthly_activity_view", MONTHLY + _MONTHLY_ROWS)
+def monthly_activity_view(spark, sf_dir):
+    return run_query(spark, """
+        select login, cast(month as timestamp_ntz) as month, commits, issues, pull_requests
+        from organization_monthly_activity""", warehouse(spark, sf_dir))
+
+
 @query("f15_known_months", MONTHLY + """
 select month, count(*) as entries from (select distinct kind, org_id, month from dated) d group by 1""")
 def known_months(spark, sf_dir):

@@ -131,19 +131,22 @@ def reconcile_commits(existing: DataFrame, api: DataFrame, archive: DataFrame,
     return best.select("api", "stored", "archive").select(*picked)
 
 
-def key_violations(rows: DataFrame, keys: Sequence[str], not_null: Sequence[str] = ()) -> DataFrame:
-    """Broken key and not-null rules as ``(rule, subject, rows)``; empty when all hold."""
-    label = f"unique({', '.join(keys)})"
-    repeated = (
+def repeated_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that several rows have, as ``(rule, subject, rows)``."""
+    return (
         rows.groupBy(*keys).count().where("count > 1")
-        .select(F.lit(label).alias("rule"), F.to_json(F.struct(*keys)).alias("subject"),
+        .select(F.lit(f"unique({', '.join(keys)})").alias("rule"), F.to_json(F.struct(*keys)).alias("subject"),
                 F.col("count").alias("rows"))
     )
-    required = list(dict.fromkeys([*keys, *not_null]))
+
+
+def missing_values(rows: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Columns that have nulls though they must not, as ``(rule, subject, rows)``."""
     nulls = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
     counted = F.array(*[F.struct(F.lit(c).alias("subject"), F.col(c).alias("rows")) for c in required])
-    missing = (
-        nulls.select(F.inline(counted)).where("rows > 0")
-        .select(F.lit("not null").alias("rule"), "subject", "rows")
-    )
-    return repeated.unionByName(missing)
+    return nulls.select(F.inline(counted)).where("rows > 0").select(F.lit("not null").alias("rule"), "subject", "rows")
+
+
+def key_violations(rows: DataFrame, keys: Sequence[str], not_null: Sequence[str] = ()) -> DataFrame:
+    """Broken key and not-null rules as ``(rule, subject, rows)``; empty when all hold."""
+    return repeated_keys(rows, keys).unionByName(missing_values(rows, list(dict.fromkeys([*keys, *not_null]))))
