@@ -96,12 +96,15 @@ def csv_targets(spark, sf_dir):
 select 'organization' as kind, count(*) as objects, count(distinct org_id) as ids from org_object
 union all select 'repository', count(*), count(distinct repo_id) from repo_object
 union all select 'issue', count(*), count(distinct issue_id) from issue_object
-union all select 'pull', count(*), count(distinct pull_id) from pull_object""")
+union all select 'pull', count(*), count(distinct pull_id) from pull_object
+union all select 'commit', count(*), count(distinct concat(repo_id, '/', sha)) from commit_object
+union all select 'setup', count(*), count(distinct p_partkey) from part where p_size % 5 <> 0""")
 def api_objects(spark, sf_dir):
     root, parts = landing_folder(spark, sf_dir), None
-    for kind in ("organization", "repository", "issue", "pull"):
+    ids = {"commit": F.concat_ws("/", "repo_id", "o.sha"), "setup": F.when(F.col("o").isNotNull(), F.col("repo_id"))}
+    for kind in schemas.API_OBJECTS:
         rows = landed.read_api_json(spark, kind, f"{root}/{kind}")
-        part = rows.agg(F.count("o").alias("objects"), F.count_distinct("o.id").alias("ids")).select(
+        part = rows.agg(F.count("o").alias("objects"), F.count_distinct(ids.get(kind, F.col("o.id"))).alias("ids")).select(
             F.lit(kind).alias("kind"), "objects", "ids")
         parts = part if parts is None else parts.unionByName(part)
     return parts

@@ -253,12 +253,13 @@ def issues_only(spark, sf_dir):
 
 
 @query("f8_repository_selection", OBJECTS + """
-select repo_id, name from repo_object where not archived and not is_fork
-  and lower(name) in (select 'repo-' || cast(p_partkey as varchar) from part where p_type = 'ECONOMY')""")
+select repo_id, name from repo_object left join part on p_partkey = repo_id
+where not archived and not is_fork and (p_partkey is null or p_type = 'ECONOMY' and lower(name) = 'repo-' || cast(p_partkey as varchar))""")
 def repository_selection(spark, sf_dir):
-    wanted = base(spark, sf_dir, "part").where("p_type = 'ECONOMY'").select(
-        F.col("p_partkey").alias("repo_id"), F.array(F.concat(F.lit("REPO-"), F.col("p_partkey"))).alias("names"))
-    rows = landed(spark, sf_dir, "repository").join(wanted, "repo_id")
+    """Rows with a list that has their name, rows with one that has not, and rows without a list, which all pass."""
+    lists = base(spark, sf_dir, "part").select(F.col("p_partkey").alias("repo_id"), F.array(F.when(
+        F.col("p_type") == "ECONOMY", F.concat(F.lit("REPO-"), F.col("p_partkey"))).otherwise(F.lit("other"))).alias("names"))
+    rows = landed(spark, sf_dir, "repository").join(lists, "repo_id", "left")
     chosen = filters.select_repositories(rows, F.col("names"), False, False, prefix="o.")
     return chosen.select(F.col("o.id").alias("repo_id"), F.col("o.name").alias("name"))
 

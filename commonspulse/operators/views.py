@@ -112,10 +112,10 @@ def eligible_dependencies(repositories: DataFrame, organizations: DataFrame,
                           dependencies: DataFrame) -> DataFrame:
     """Repositories passing the setup screen, with their requirements ordered by package."""
     pair = F.struct("package_name", "requirement")
-    listed = dependencies.groupBy("repo_id").agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
+    chosen = repositories.where("python_setup_eligible")
+    listed = dependencies.join(chosen.select("repo_id"), "repo_id", "left_semi").groupBy("repo_id").agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
     return (
-        repositories.where("python_setup_eligible")
-        .join(listed, "repo_id")
+        chosen.join(listed, "repo_id")
         .join(organizations.select("org_id", "login"), "org_id")
         .select("login", "full_name", "dependency_count",
                 F.transform("pairs", lambda p: p["requirement"]).alias("dependencies"))
