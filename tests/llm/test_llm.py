@@ -11,6 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from checking import compare, connect
@@ -353,3 +354,16 @@ def test_pipeline_stages_chain(spark):
     dirty = {r["doc_id"] for r in contamination.report(docs, spark.read.parquet(f"{SF_DIR}/benchmark.parquet")).filter("contaminated").collect()}
     assert {r["doc_id"] for r in cleaned.select("doc_id").collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()} - dirty
     assert corpus_pipeline.run(spark, SF_DIR).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_parts_of_words_encode_like_whole_words():
+    coder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    coder.encode_special_tokens = True
+    draw = random.Random(3)
+    signs = ["a", "B", "É", "é", "̸", "=", "'", "'S", "'ll", ".", "##", "1", "İ", "ŉ", "H̱", "Σ", "한", "<|endoftext|>"]
+    words = ["".join(draw.choices(signs, k=draw.randint(1, 9))) for _ in range(5000)]
+    found = huffman.parts_of(pa.array(words)).to_pylist()
+    assert sum(len(parts) > 1 for parts in found) > 1000
+    for word, parts in zip(words, found, strict=True):
+        ids = [i for part in parts for i in coder.encode(part, add_special_tokens=False).ids]
+        assert ids == coder.encode(word, add_special_tokens=False).ids, word
