@@ -12,13 +12,14 @@ result, so its turns meet in one task; pairs are spread by their id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from commonspulse.llm.common import read
 
 OPEN, AFTER, CLOSE = "<|", "|>\n", "<|end|>\n"  # around role and text of a turn
 TRAINED = "assistant"
+RANGES = 64  # of ids, each in order by itself
 _SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -70,18 +71,44 @@ def preferences(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
         mask(rest("chosen")).alias("chosen_mask"), mask(rest("rejected")).alias("rejected_mask"))
 
 
+def followers(ids: DataFrame) -> DataFrame:
+    """(pair_id, next): each of the distinct ids with the one after it in order; the last has none.
+
+    Ids are dealt into ranges at percentiles, so no task holds them all; the last of a range takes the least id of the
+    ranges after it, of which there are ``RANGES`` at most.
+    """
+    cuts = ids.agg(F.percentile_approx("pair_id", F.array(*(F.lit(k / RANGES) for k in range(1, RANGES))), F.lit(10 * RANGES))).first()[0]
+    at = F.lit(0)
+    if cuts:
+        at = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c <= F.col("pair_id")))
+    placed = ids.withColumn("range", at)
+    least = placed.groupBy("range").agg(F.min("pair_id").alias("least"))
+    after = least.filter("range > 0").select(F.explode(F.sequence(F.lit(0), F.col("range") - 1)).alias("range"), "least").groupBy("range").agg(
+        F.min("least").alias("after"))
+    inner = placed.withColumn("inner", F.lead("pair_id").over(Window.partitionBy("range").orderBy("pair_id")))
+    return inner.join(after, "range", "left").select("pair_id", F.coalesce("inner", "after").alias("next")).filter("next is not null")
+
+
 def swapped_replies(turns: DataFrame) -> DataFrame:
-    """The same conversations with their last reply replaced by the last reply of the neighbour (ids 2k and 2k + 1)."""
+    """The same conversations with their last reply replaced by the last reply of the neighbour (ids 2k and 2k + 1).
+
+    Where the neighbour has none, the next conversation in order of ids that has a reply gives it.  A conversation stays
+    as it is if there is none after it either, or if it has no reply itself.
+    """
+    turns = turns.filter(F.col("pair_id").isNotNull())
     replies = turns.filter(F.col("role") == TRAINED).groupBy("pair_id").agg(
         F.max("turn").alias("last"), F.max_by(F.coalesce("text", F.lit("")), F.struct("turn", "text")).alias("reply"))
     others = replies.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.col("reply").alias("other"))
-    given = turns.join(replies.drop("reply").join(others, "pair_id"), "pair_id")
+    alone = replies.join(others, "pair_id", "left_anti").select("pair_id")
+    later = followers(replies.select("pair_id")).join(alone, "pair_id", "left_semi").select(F.col("next").alias("pair_id"), F.col("pair_id").alias("to"))
+    others = others.unionByName(later.join(replies, "pair_id").select(F.col("to").alias("pair_id"), F.col("reply").alias("other")))
+    given = turns.join(replies.drop("reply").join(others, "pair_id"), "pair_id", "left")
     here = (F.col("role") == TRAINED) & (F.col("turn") == F.col("last"))
     return given.select("pair_id", "turn", "role", F.when(here, F.col("other")).otherwise(F.col("text")).alias("text"))
 
 
 def op6_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation against itself with its neighbour's last reply."""
+    """Every conversation against itself with its neighbour's last reply, or the next one's; equal sides where there is none."""
     turns = read(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long").alias("pair_id"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
     told = preferences(turns, swapped_replies(turns))
