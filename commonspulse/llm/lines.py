@@ -1,9 +1,9 @@
 """Near-duplicate lines by a deletion neighbourhood: of lines within one word of each other the earliest stays.
 
-A line is what stands between line breaks; its words are lower-cased and parted by white space.  Lines of fewer than
-``MIN_WORDS`` words are left alone.  Two lines are duplicates if one word inserted, left out or replaced turns one into
-the other, so at five words or more they agree in four fifths.  A line goes if an earlier one (by ``doc_id``, then place)
-is its duplicate or equal to it.
+A line is what stands between line breaks; its words are lower-cased and parted by white space.  Two lines of at least
+``MIN_WORDS`` words are duplicates if one word inserted, left out or replaced turns one into the other, so at five words
+they agree in four fifths.  A line goes if an earlier one (by ``doc_id``, then place) is its duplicate or equal to it;
+for equal lines ``equal_words`` words are enough, which is one in the query and the pipeline.
 
 1. Each line gives a hash and keys of its halves.  One edit leaves a half as it is, so lines that share no key have no
    partner; only the others give variants.  Equal lines are settled by their hash.
@@ -65,27 +65,31 @@ def _words_of(lines: pa.Array) -> tuple[Hasher, np.ndarray]:
     return Hasher(hash_strings(words)), bounds
 
 
-def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, line, hash, again, keys) of every line with enough words."""
-    for batch in pieces(batches):
-        lists = pc.split_pattern(pc.fill_null(batch.column("text"), ""), "\n")
-        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        hasher, at = _words_of(lists.flatten())
-        owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-        place = np.arange(len(owner)) - bounds[owner]
-        rows = np.flatnonzero(np.diff(at) >= MIN_WORDS)
-        a, b = at[rows], at[rows + 1]
-        n = b - a
-        full = hasher.range(a, b)
-        order = np.lexsort((place[rows], full, owner[rows]))
-        again = np.zeros(len(rows), bool)
-        same = (full[order][1:] == full[order][:-1]) & (owner[rows][order][1:] == owner[rows][order][:-1])
-        again[order[1:][same]] = True
-        other = np.where(n % 2 == 0, hasher.range(a, a + (n - 1) // 2, 1), hasher.range(b - n // 2, b, 2))
-        yield pa.RecordBatch.from_arrays([
-            batch.column("doc").take(pa.array(owner[rows])), pa.array(place[rows], pa.int32()), pa.array(full), pa.array(again),
-            pa.array(hasher.range(a, a + n // 2, 1)), pa.array(hasher.range(b - (n + 1) // 2, b, 2)), pa.array(other),
-        ], ["doc", "line", "hash", "again", "head", "tail", "other"])
+def _line_keys(least: int):
+    """(doc, line, hash, again, keys) of every line of ``least`` words; those too short for an edit have no keys."""
+    def line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            lists = pc.split_pattern(pc.fill_null(batch.column("text"), ""), "\n")
+            bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            hasher, at = _words_of(lists.flatten())
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
+            place = np.arange(len(owner)) - bounds[owner]
+            rows = np.flatnonzero(np.diff(at) >= least)
+            a, b = at[rows], at[rows + 1]
+            n = b - a
+            full = hasher.range(a, b)
+            order = np.lexsort((place[rows], full, owner[rows]))
+            again = np.zeros(len(rows), bool)
+            same = (full[order][1:] == full[order][:-1]) & (owner[rows][order][1:] == owner[rows][order][:-1])
+            again[order[1:][same]] = True
+            other = np.where(n % 2 == 0, hasher.range(a, a + (n - 1) // 2, 1), hasher.range(b - n // 2, b, 2))
+            keys = (hasher.range(a, a + n // 2, 1), hasher.range(b - (n + 1) // 2, b, 2), other)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc").take(pa.array(owner[rows])), pa.array(place[rows], pa.int32()), pa.array(full), pa.array(again),
+                *(pa.array(key, mask=n < MIN_WORDS) for key in keys),
+            ], ["doc", "line", "hash", "again", "head", "tail", "other"])
+
+    return line_keys
 
 
 def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +144,7 @@ def _doc() -> Column:
 
 def near_partners(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(hash, kept_doc, kept_line): distinct lines with an earlier line one word away."""
-    keys = lines.select("hash", F.explode(F.array("head", "tail", "other")).alias("half"))
+    keys = lines.filter("head is not null").select("hash", F.explode(F.array("head", "tail", "other")).alias("half"))
     shared = keys.groupBy("half").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).filter("a < b").select("half")
     paired = keys.join(shared, "half", "left_semi").select("hash").distinct()
     firsts = saved(lines.filter("not again").join(paired, "hash", "left_semi").groupBy("hash")
@@ -166,10 +170,10 @@ def near_partners(docs: DataFrame, lines: DataFrame) -> DataFrame:
             .select("hash", "kept.kept_doc", "kept.kept_line"))
 
 
-def duplicates(docs: DataFrame) -> DataFrame:
-    """(doc, line, near): the lines to remove, equal to an earlier line or one word from it."""
+def duplicates(docs: DataFrame, equal_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, line, near): the lines to remove, equal to an earlier line (from ``equal_words`` words on) or one word from it."""
     lines = saved(docs.select(_doc().alias("doc"), F.col("text").cast("string")).mapInArrow(
-        _line_keys, "doc long, line int, hash long, again boolean, head long, tail long, other long"), "line-keys")
+        _line_keys(min(equal_words, MIN_WORDS)), "doc long, line int, hash long, again boolean, head long, tail long, other long"), "line-keys")
     near = near_partners(docs, lines).select("hash", F.lit(True).alias("near"))
     repeated = lines.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.max("again").alias("twice"))
     settled = repeated.join(near, "hash", "left").filter("near or twice or first < last")
@@ -191,9 +195,9 @@ def _rebuilt(names: list[str], place: int):
     return rebuilt
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, equal_words: int = MIN_WORDS) -> DataFrame:
     """The documents with their columns, ``text`` without the duplicate lines; those left without any word go."""
-    gone = duplicates(docs).groupBy("doc").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc", "_doc")
+    gone = duplicates(docs, equal_words).groupBy("doc").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc", "_doc")
     joined = docs.join(gone.hint("merge"), _doc() == F.col("_doc"), "left").drop("_doc")
     text = docs.columns.index("text")
     had = F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
@@ -204,7 +208,7 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every removed line: its document, place, and whether it differs from the earlier one."""
-    return duplicates(read(spark, sf_dir, "documents")).select(F.col("doc").alias("doc_id"), F.col("line").alias("line_no"), "near")
+    return duplicates(read(spark, sf_dir, "documents"), 1).select(F.col("doc").alias("doc_id"), F.col("line").alias("line_no"), "near")
 
 
 _LINES_SQL = f"""

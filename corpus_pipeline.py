@@ -19,7 +19,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove lines that repeat an earlier one; documents that have no word left go."""
-    kept = lines.dedup(docs)
+    kept = lines.dedup(docs, equal_words=1)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

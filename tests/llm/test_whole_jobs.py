@@ -1,10 +1,11 @@
 """What operators once left out without notice: each test fails on the narrower job."""
 
+import corpus_pipeline
 import pytest
 from checking import connect
 from pyspark.sql import functions as F
 
-from commonspulse.llm import chat
+from commonspulse.llm import chat, lines
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -39,3 +40,29 @@ def test_preferences_keep_what_the_check_has_and_add_the_rest(spark):
     assert set(cursor.fetchall()) <= rows
     every = spark.read.parquet(f"{SF_DIR}/conversations.parquet").filter(F.col("conv_id").isNotNull()).select("conv_id").distinct().count()
     assert len(rows) == every == found.count()
+
+
+def test_equal_lines_go_whatever_their_length(spark):
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    seen, equal, rows = set(), set(), given.select("doc_id", "text").orderBy("doc_id").collect()
+    for doc, text in rows:
+        for k, line in enumerate((text or "").split("\n")):
+            words = " ".join(line.lower().split())
+            if words and words in seen:
+                equal.add((doc, k))
+            seen.add(words)
+    found = {(r["doc_id"], r["line_no"]): r["near"] for r in lines.op1_line_dedup(spark, SF_DIR).collect()}
+    checked = set(connect(SF_DIR).execute(lines.OP1_SQL).fetchall())
+    assert equal <= set(found)
+    assert checked <= {(*at, near) for at, near in found.items()}
+    texts = {doc: (text or "").split("\n") for doc, text in rows}
+    more = set(found) - {row[:2] for row in checked}
+    assert more and more <= equal and all(len(texts[doc][k].split()) < lines.MIN_WORDS and not found[doc, k] for doc, k in more)
+
+
+def test_pipeline_removes_short_and_unspaced_lines(spark):
+    rows = [(1, "All rights reserved.\nfirst", "en", "s", 9), (2, "second\nall  rights reserved.", "en", "s", 9), (3, "今日は良い天気ですね。\nthird", "ja", "s", 9),
+            (4, "今日は良い天気ですね。\nfourth\n\n", "ja", "s", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, SF_DIR).collect()}
+    assert kept == {1: rows[0][1], 2: "second", 3: rows[2][1], 4: "fourth\n\n"}
