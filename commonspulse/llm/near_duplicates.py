@@ -1,6 +1,6 @@
 """Near-duplicate documents by HyperMinHash: compressed registers, banding, corrected estimates, exact links, components.
 
-A document's set is its distinct shingles of ``SHINGLE`` words (A-Z lower-cased).  One 64-bit hash per shingle: the first
+A document's set is its distinct shingles of ``SHINGLE`` words, or another width (A-Z lower-cased).  One 64-bit hash per shingle: the first
 bits choose a bucket, whose register keeps the smallest remaining hash as its count of leading zeros and the next
 ``MANTISSA`` bits.  Documents with equal sets are one node from there on.  Registers are banded; nodes that share a band
 are candidates, and an estimate from the registers, corrected for equal registers of different hashes, comes before the
@@ -24,7 +24,7 @@ SHARE = (85, 100)  # intersection to union, at least
 BUCKET_BITS, MANTISSA = 7, 10
 BUCKETS = 1 << BUCKET_BITS
 ROWS = 4  # registers of a band
-SLACK = 0.2  # how far below the share an estimate may lie: over six standard errors of 128 registers
+SLACK = 0.2  # how far below the share an estimate may lie: over five standard errors of 128 registers at 0.8, six at 0.85
 
 
 def shingle_sets(text: pa.Array, width: int = SHINGLE) -> list[np.ndarray]:
@@ -88,20 +88,23 @@ def _registers(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BUCKETS)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signatures(width: int):
     """Size and 128-bit digest of each document's set, and its registers."""
-    for batch in pieces(batches):
-        sets = shingle_sets(batch.column("text"))
-        low = np.zeros(len(sets), np.uint64)
-        high = np.zeros(len(sets), np.uint64)
-        with np.errstate(over="ignore"):
-            for k, s in enumerate(sets):
-                low[k] = np.bitwise_xor.reduce(mixed(s + np.uint64(len(s)))) if len(s) else 0
-                high[k] = np.add.reduce(mixed(s ^ np.uint64(0xA0761D6478BD642F)))
-        yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array(signed(low)), pa.array(signed(high)),
-            pa.array([registers(s).tobytes() for s in sets], pa.binary()),
-        ], ["doc_id", "n_shingles", "low", "high", "registers"])
+    def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            sets = shingle_sets(batch.column("text"), width)
+            low = np.zeros(len(sets), np.uint64)
+            high = np.zeros(len(sets), np.uint64)
+            with np.errstate(over="ignore"):
+                for k, s in enumerate(sets):
+                    low[k] = np.bitwise_xor.reduce(mixed(s + np.uint64(len(s)))) if len(s) else 0
+                    high[k] = np.add.reduce(mixed(s ^ np.uint64(0xA0761D6478BD642F)))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array(signed(low)), pa.array(signed(high)),
+                pa.array([registers(s).tobytes() for s in sets], pa.binary()),
+            ], ["doc_id", "n_shingles", "low", "high", "registers"])
+
+    return signatures
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,11 +171,11 @@ def _promising(share: tuple[int, int]):
     return promising
 
 
-def _links(share: tuple[int, int]):
+def _links(share: tuple[int, int], width: int):
     """Links of a task, confirmed on full sets; none between members that are linked already."""
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for task in _tasks(batches):
-            regs, sets, groups = _registers(task.column("registers")), shingle_sets(task.column("text")), Groups(task.num_rows)
+            regs, sets, groups = _registers(task.column("registers")), shingle_sets(task.column("text"), width), Groups(task.num_rows)
             found = []
             for x, partners in _partners(task, regs, share):
                 for y in partners.tolist():
@@ -206,7 +209,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
-def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE, block: int = 512) -> DataFrame:
+def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE, block: int = 512, width: int = SHINGLE) -> DataFrame:
     """Per document ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
 
     Band groups of more than ``block`` nodes are dealt into blocks, and each pair of blocks is one task, so no task
@@ -218,7 +221,7 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE, block: int
     table gives an empty table.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed_docs = saved(docs.mapInArrow(_signatures, "doc_id long, n_shingles long, low long, high long, registers binary"), "signatures")
+    signed_docs = saved(docs.mapInArrow(_signatures(width), "doc_id long, n_shingles long, low long, high long, registers binary"), "signatures")
     usable = signed_docs.filter("n_shingles > 0 and doc_id is not null")
     first = usable.groupBy("low", "high").agg(F.min("doc_id").alias("node"))
     nodes = saved(usable.join(first, ["low", "high"]).filter("doc_id = node").select("node", F.col("n_shingles").alias("n"), "registers")
@@ -236,7 +239,7 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE, block: int
     texts = saved(docs.join(wanted.select(F.col("node").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
                   .withColumnRenamed("doc_id", "node").distinct(), "candidate-texts")
     edges = saved(wanted.join(texts, "node").select(*task, "own", "node", "n", "registers", "text").repartition(*task)
-                  .sortWithinPartitions(*task).mapInArrow(_links(share), "a long, b long"), "links")
+                  .sortWithinPartitions(*task).mapInArrow(_links(share, width), "a long, b long"), "links")
     found = components(edges)
     named = first.join(found, "node", "left").select("low", "high", F.coalesce("component", "node").alias("component"))
     same = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
@@ -245,9 +248,9 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE, block: int
             .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
-def keep_first(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
+def keep_first(docs: DataFrame, share: tuple[int, int] = SHARE, width: int = SHINGLE) -> DataFrame:
     """The documents, with all their columns, that are the first of their component."""
-    gone = near_duplicates(docs, share).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = near_duplicates(docs, share, width=width).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
 
 

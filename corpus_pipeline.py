@@ -9,6 +9,7 @@ from commonspulse.llm import bpe, contamination, language, lines, near_duplicate
 from commonspulse.llm.common import read, saved
 
 MIN_SCORE = 0.3  # of the predicted language; four languages give the best one 0.25 at least
+NEAR_WORDS, NEAR_SHARE = 5, (80, 100)  # of the near_dedup stage; op5 has its own
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +25,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first document of each group of near duplicates."""
-    return near_duplicates.keep_first(docs)
+    """Keep the first document of each group of near duplicates: ``NEAR_SHARE`` of their shingles of ``NEAR_WORDS`` words."""
+    return near_duplicates.keep_first(docs, NEAR_SHARE, NEAR_WORDS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

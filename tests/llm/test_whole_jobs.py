@@ -1,11 +1,13 @@
 """What operators once left out without notice: each test fails on the narrower job."""
 
 import corpus_pipeline
+import numpy as np
+import pyarrow as pa
 import pytest
 from checking import connect
 from pyspark.sql import functions as F
 
-from commonspulse.llm import chat, lines
+from commonspulse.llm import chat, lines, near_duplicates
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -66,3 +68,28 @@ def test_pipeline_removes_short_and_unspaced_lines(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, SF_DIR).collect()}
     assert kept == {1: rows[0][1], 2: "second", 3: rows[2][1], 4: "fourth\n\n"}
+
+
+def test_pipeline_near_dedup_goes_by_five_words_and_four_fifths(spark):
+    base = [f"w{k}" for k in range(400)]
+    texts = [" ".join(base), " ".join(base[:330]), " ".join(base[60:360]), " ".join(f"v{k}" for k in range(400)),
+             " ".join(f"x{k}" if k % 11 == 5 else f"v{k}" for k in range(400))]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    sets = near_duplicates.shingle_sets(pa.array(texts), 5)
+    share = {(a, b): len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) for a in range(5) for b in range(a)}
+    assert {pair for pair, s in share.items() if s >= 0.8} == {(1, 0)} and share[1, 0] < 0.85
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect())
+    assert kept == [0, 2, 3, 4]
+    assert near_duplicates.keep_first(docs).count() == 5  # op5's own figures stay
+
+
+def test_bands_and_slack_at_four_fifths():
+    draw = np.random.default_rng(7)
+    lost = low = 0
+    for _ in range(400):
+        both, one, other = (draw.integers(0, 2 ** 64, n, np.uint64) for n in (1600, 200, 200))
+        a, b = (near_duplicates.registers(np.unique(np.concatenate([both, x]))) for x in (one, other))
+        same = a.view(np.uint64) == b.view(np.uint64)
+        lost += not (same & (a.view(np.uint64) > 0)).any()
+        low += near_duplicates.estimates(a, b[None])[0] < 0.8 - near_duplicates.SLACK
+    assert (lost, low) == (0, 0)
