@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -143,6 +144,18 @@ def parts_of(words: pa.Array) -> pa.ListArray:
     return pc.ascii_split_whitespace(cut)
 
 
+def split_words(words: pa.Array, added: list[str]) -> pa.ListArray:
+    """``parts_of`` each word; a word that may hold one of the tokenizer's ``added`` tokens stays whole, for the library to find them."""
+    split = parts_of(words)
+    if not added:
+        return split
+    whole = pc.match_substring_regex(words, "|".join(map(re.escape, added)), ignore_case=True)
+    if not pc.any(whole).as_py():
+        return split
+    return pa.array([[word] if keep else parts for word, keep, parts in zip(words.to_pylist(), whole.to_pylist(), split.to_pylist(), strict=True)],
+                    pa.list_(pa.string()))
+
+
 def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Ids of each text with the end id, and how many ids of the partition stand before it.
 
@@ -154,7 +167,7 @@ def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
         from tokenizers import Tokenizer
 
         coder = Tokenizer.from_file(path)
-        coder.encode_special_tokens = True
+        added = [token.content for token in coder.get_added_tokens_decoder().values()]
         task, at = TaskContext.get().partitionId(), 0
         none = lists_of(pa.array([], pa.uint32()), np.zeros(1, np.int64))
         known: dict[str, int] = {}  # places in ``table``
@@ -162,7 +175,7 @@ def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
         for batch in pieces(batches, most=TEXT_BYTES):
             lists = pc.ascii_split_whitespace(pc.fill_null(batch.column("text"), ""))
             coded = lists.flatten().dictionary_encode()
-            split = parts_of(coded.dictionary)
+            split = split_words(coded.dictionary, added)
             parts = split.flatten().dictionary_encode()
             names, indices = parts.dictionary.to_pylist(), parts.indices.to_numpy()
             where = np.fromiter((known.get(w, -1) for w in names), np.int64, len(names))

@@ -1,13 +1,18 @@
 """What operators once left out without notice: each test fails on the narrower job."""
 
+import zlib
+
 import corpus_pipeline
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from checking import connect
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from commonspulse.llm import chat, lines, near_duplicates
+from commonspulse.llm import chat, huffman, lines, near_duplicates
+from commonspulse.session import scratch_dir
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -93,3 +98,17 @@ def test_bands_and_slack_at_four_fifths():
         lost += not (same & (a.view(np.uint64) > 0)).any()
         low += near_duplicates.estimates(a, b[None])[0] < 0.8 - near_duplicates.SLACK
     assert (lost, low) == (0, 0)
+
+
+def test_added_tokens_have_the_ids_of_the_plain_library_call(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coder = Tokenizer.from_file(path)
+    texts = ["see <|endoftext|> here", "x<|endoftext|>y.z <|startoftext|><|endoftext|>", "É.<|ENDOFTEXT|>, <|StartOfText|>it's", "<| endoftext |> <|endoftext|", "<|endoftext|>\u0338 a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    at, expected = 0, []
+    for k, text in enumerate(texts):
+        ids = [*coder.encode(text, add_special_tokens=False).ids, huffman.END_ID]
+        expected.append((k, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert coder.encode(texts[0], add_special_tokens=False).ids == [862, 49407, 763]
+    assert sorted(map(tuple, huffman.digests(docs, path, scratch_dir(spark, "h")).collect())) == expected
