@@ -8,11 +8,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from commonspulse.session import scratch_dir
 
 PIECE_BYTES = 2 << 20  # text handled at once in a task
+HOT_SHARE = 1 << 10  # a key with one in so many rows is hot; there are no more hot keys than that
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -27,6 +29,19 @@ def saved(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def looked_up(frame: DataFrame, table: DataFrame, key: str, narrow: Column | None = None) -> DataFrame:
+    """Inner join of ``frame`` (read three times, so saved) with ``table``, which has one row a key.
+
+    Hot keys, at most ``HOT_SHARE`` of them whatever the size of either side, meet their row by broadcast, so their rows
+    stay where they are; all others are shuffled.  ``narrow`` tells rows of ``table`` that are small enough to be sent.
+    """
+    total = frame.count()
+    counts = frame.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") * HOT_SHARE >= total).select(key)
+    hot = (table if narrow is None else table.filter(narrow)).join(F.broadcast(counts), key, "left_semi")
+    rest = frame.join(F.broadcast(hot.select(key)), key, "left_anti").join(table, key)
+    return frame.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of text; a longer text is a batch of its own."""
     for batch in batches:
