@@ -106,8 +106,8 @@ def reassigned(x: np.ndarray, entries: np.ndarray, held: Bounds, move: np.ndarra
     if len(rows):
         fresh = measured(x[rows], entries, b)
         entry[rows], upper[rows], near[rows], lower[rows] = fresh
-    # Kept as single precision, again on the safe side.
-    lower -= np.abs(np.where(np.isfinite(lower), lower, 0)) * SLACK
+    # Kept as single precision, again on the safe side; no distance is below zero.
+    lower = np.maximum(lower * (1 - SLACK), 0)
     return Bounds(entry, (upper * (1 + SLACK)).astype(np.float32), near, lower.astype(np.float32)), need.astype(np.uint8)
 
 
@@ -136,6 +136,15 @@ def _kept(column: pa.Array, kind: type, parts: int) -> np.ndarray:
     return flat.reshape(len(rows), parts, flat.shape[1] // parts)
 
 
+def _halved(lower: np.ndarray) -> np.ndarray:
+    """The upper half of each number's bits: two bytes of a bound that is never larger."""
+    return (lower.view(np.uint32) >> 16).astype(np.uint16)
+
+
+def _widened(halves: np.ndarray) -> np.ndarray:
+    return (halves.astype(np.uint32) << 16).view(np.float32)
+
+
 def _binary(values: np.ndarray) -> pa.Array:
     return pa.array([row.tobytes() for row in np.ascontiguousarray(values)], pa.binary())
 
@@ -152,7 +161,8 @@ def _assign(books: np.ndarray, b: int, before: np.ndarray | None) -> Callable[[I
                 found, needs = [], np.full((len(x), parts), 255, np.uint8)
                 if before is not None:
                     entry, upper, near, lower = (_kept(batch.column(c), kind, parts) for c, kind in (
-                        ("entry", np.uint8), ("upper", np.float32), ("near", np.uint8), ("lower", np.float32)))
+                        ("entry", np.uint8), ("upper", np.float32), ("near", np.uint8), ("lower", np.uint16)))
+                    lower = _widened(lower)
                 for p in range(parts):
                     if before is None:
                         found.append(measured(x[:, p], books[p], b))
@@ -160,7 +170,8 @@ def _assign(books: np.ndarray, b: int, before: np.ndarray | None) -> Callable[[I
                         held = Bounds(entry[:, p, 0], upper[:, p, 0].astype(float), near[:, p], lower[:, p])
                         one, needs[:, p] = reassigned(x[:, p], books[p], held, moved(before[p], books[p]), b)
                         found.append(one)
-                columns = [_binary(np.stack([getattr(f, c) for f in found], axis=1)) for c in ("entry", "upper", "near", "lower")]
+                columns = [np.stack([getattr(f, c) for f in found], axis=1) for c in ("entry", "upper", "near", "lower")]
+                columns = [_binary(c) for c in (*columns[:3], _halved(columns[3]))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("vec_id", "label", "v")), *columns, _binary(needs)],
                                                  ["vec_id", "label", "v", "entry", "upper", "near", "lower", "need"])
 
@@ -230,8 +241,9 @@ def encode(embeddings: DataFrame, parts: int = PARTS, entries: int = ENTRIES, ro
     b, before, state, kept = max(1, entries // 4), None, vectors, []
     for step in range(rounds + 1 if first else 0):
         kept.append(b)
-        state = saved(state.mapInArrow(_assign(books, b, before), _STATE), "code-bounds")
-        if step < rounds:
+        state = state.mapInArrow(_assign(books, b, before), _STATE)
+        if step < rounds:  # the last round's bounds are of no more use
+            state = saved(state, "code-bounds")
             before, books = books, _moved_books(state, books)
             b = _adapted(state, b, entries) if step else b
 
