@@ -6,6 +6,7 @@ many, so sizes are counted one after the other, each over the places that the si
 
 1. A word's id is a hash of language and word.  It is checked on the table of all words that no two share one; if two
    do, the job takes another seed.  So n-grams of ids stand for n-grams of words exactly.
+   Up to ``MOST_WORDS`` frequent words are then numbered by rank, which packs n-grams tighter; more keep their ids.
 2. Tasks count packed n-grams: an invertible permutation spreads their bits, the leading bits (the quotient) say where
    an entry stands and the rest (the full remainder) is kept, so a filter is lossless.  An entry costs its remainder,
    two bits of place and one byte of count (more for larger counts).
@@ -42,9 +43,10 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 HELD = 1 << 20  # entries that a task gathers before it sends them
 SHARD = 1 << 21  # n-grams of the corpus for each shard
 BITS_EACH, MOST_BITS = 16, 1 << 28  # of the table of frequent n-grams: per entry, and at most
+MOST_WORDS = 1 << 22  # whose ids are sent to the tasks, 8 bytes each
 LONG_WORD = 1 << 12  # characters; longer words are never broadcast
-_MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
-_UNMIX = tuple(np.uint64(pow(m, -1, 1 << 64)) for m in _MIX)
+_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+_UNMIX = tuple(np.uint64(pow(int(m), -1, 1 << 64)) for m in _MIX)
 _START = np.uint64(0x9E3779B97F4A7C15)
 
 _KIND = np.zeros(256, np.uint8)  # of a byte: 0 of a word, 1 between words, 2 between pieces
@@ -114,35 +116,59 @@ def word_counts(blocks: DataFrame) -> tuple[DataFrame, int]:
 # --- counting quotient filters
 
 
-def permuted(ids: np.ndarray) -> np.ndarray:
-    """Rows of ids with their bits spread over all of them; ``restored`` undoes it."""
-    out = ids.copy()
-    with np.errstate(over="ignore"):
-        last = np.full(len(ids), _START)
-        for k in range(ids.shape[1]):
-            last = out[:, k] = mixed(out[:, k] ^ last)
-        if ids.shape[1] > 1:
-            out[:, 0] = mixed(out[:, 0] ^ last)
-    return out
+def lanes_of(size: int, width: int) -> list[int]:
+    """How many ids of ``width`` bits go into each 64-bit number of an n-gram."""
+    each = max(1, 64 // width)
+    return [min(each, size - k) for k in range(0, size, each)]
+
+
+def packed(ids: np.ndarray, width: int) -> np.ndarray:
+    """Rows of ids side by side in as few numbers as hold them."""
+    out, at = [], 0
+    for count in lanes_of(ids.shape[1], width):
+        lane = np.zeros(len(ids), np.uint64)
+        for k in range(at, at + count):
+            lane = (lane << np.uint64(width % 64)) | ids[:, k]
+        out.append(lane)
+        at += count
+    return np.stack(out, axis=1)
+
 
+def unpacked(lanes: np.ndarray, size: int, width: int) -> np.ndarray:
+    out, mask = [], np.uint64((1 << width) - 1)
+    for k, count in enumerate(lanes_of(size, width)):
+        out += [(lanes[:, k] >> np.uint64(width * (count - 1 - i))) & mask for i in range(count)]
+    return np.stack(out, axis=1)
 
-def _unmixed(x: np.ndarray) -> np.ndarray:
-    for shift, factor in ((31, _UNMIX[1]), (27, _UNMIX[0]), (30, None)):
-        y = x ^ (x >> np.uint64(shift))
-        while shift < 32:
-            shift *= 2
-            y = y ^ (y >> np.uint64(shift)) if shift < 64 else y
-        x = y * factor if factor is not None else y
-    return x
+
+def _spread(x: np.ndarray, bits: int, back: bool = False) -> np.ndarray:
+    """A permutation of the numbers of ``bits`` bits, or its inverse: halves are mixed into each other and multiplied."""
+    mask, half = np.uint64((1 << bits) - 1), np.uint64((bits + 1) // 2)
+    for factor in (_UNMIX[::-1] if back else _MIX):
+        x = ((x ^ (x >> half)) * factor) & mask
+    return x ^ (x >> half)
+
+
+def permuted(lanes: np.ndarray, bits: list[int]) -> np.ndarray:
+    """Packed n-grams with their bits spread over all of them; ``restored`` undoes it."""
+    out = lanes.copy()
+    with np.errstate(over="ignore"):
+        last = np.full(len(lanes), _START)
+        for k, own in enumerate(bits):
+            last = out[:, k] = _spread(out[:, k] ^ (last & np.uint64((1 << own) - 1)), own)
+        if len(bits) > 1:
+            out[:, 0] = _spread(out[:, 0] ^ (last & np.uint64((1 << bits[0]) - 1)), bits[0])
+    return out
 
 
-def restored(keys: np.ndarray) -> np.ndarray:
+def restored(keys: np.ndarray, bits: list[int]) -> np.ndarray:
     out = keys.copy()
     with np.errstate(over="ignore"):
-        if keys.shape[1] > 1:
-            out[:, 0] = _unmixed(out[:, 0]) ^ out[:, -1]
-        for k in range(keys.shape[1] - 1, -1, -1):
-            out[:, k] = _unmixed(out[:, k]) ^ (out[:, k - 1] if k else _START)
+        if len(bits) > 1:
+            out[:, 0] = _spread(out[:, 0], bits[0], True) ^ (out[:, -1] & np.uint64((1 << bits[0]) - 1))
+        for k in range(len(bits) - 1, -1, -1):
+            before = out[:, k - 1] if k else _START
+            out[:, k] = _spread(out[:, k], bits[k], True) ^ (before & np.uint64((1 << bits[k]) - 1))
     return out
 
 
@@ -160,31 +186,33 @@ def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[at], np.add.reduceat(counts, at)
 
 
-def pack(keys: np.ndarray, counts: np.ndarray, shard_bits: int) -> bytes:
+def pack(keys: np.ndarray, counts: np.ndarray, bits: list[int], shard_bits: int) -> bytes:
     """A filter of sorted distinct keys that share their first ``shard_bits`` bits, which are left out.
 
     Quotients are two bit rows (which occur, and which entry is the last of its quotient); remainders keep as many bytes
     as they need; counts take a byte, those of 255 and more stand after them.
     """
-    n, lanes = keys.shape
-    q = min(max(n.bit_length() - 1, 0), 64 - shard_bits - 1)
-    rest = 64 - shard_bits - q
-    lead = keys[:, 0] & np.uint64((1 << (64 - shard_bits)) - 1)
-    quotient = (lead >> np.uint64(rest)).astype(np.int64)
+    n, left = len(keys), bits[0] - shard_bits
+    q = min(max(n.bit_length() - 1, 0), left)
+    rest = left - q
+    lead = keys[:, 0] & np.uint64((1 << left) - 1)
+    quotient = (lead >> np.uint64(rest)).astype(np.int64) if rest < 64 else np.zeros(n, np.int64)
     occupied = np.zeros(1 << q, np.uint8)
     occupied[quotient] = 1
     ends = np.append(quotient[1:] != quotient[:-1], True)
-    width = -(-rest // 8)
-    remainder = (lead & np.uint64((1 << rest) - 1)).astype("<u8")[:, None].view(np.uint8)[:, :width]
+    lanes = [_bytes(lead & np.uint64((1 << rest) - 1), rest), *(_bytes(keys[:, k], own) for k, own in enumerate(bits) if k)]
     small, large = np.minimum(counts, 255).astype(np.uint8), counts[counts >= 255].astype("<i8")
-    return b"".join([struct.pack("<qbbb", n, lanes, q, shard_bits), np.packbits(occupied).tobytes(), np.packbits(ends).tobytes(),
-                     remainder.tobytes(), keys[:, 1:].astype("<u8").tobytes(), small.tobytes(), large.tobytes()])
+    return b"".join([struct.pack("<qb", n, q), np.packbits(occupied).tobytes(), np.packbits(ends).tobytes(), *lanes, small.tobytes(), large.tobytes()])
+
+
+def _bytes(numbers: np.ndarray, bits: int) -> bytes:
+    return numbers.astype("<u8")[:, None].view(np.uint8)[:, :-(-bits // 8)].tobytes()
 
 
-def unpack(raw: bytes, shard: int) -> tuple[np.ndarray, np.ndarray]:
+def unpack(raw: bytes, bits: list[int], shard_bits: int, shard: int) -> tuple[np.ndarray, np.ndarray]:
     """The keys and counts of a filter."""
-    n, lanes, q, shard_bits = struct.unpack_from("<qbbb", raw)
-    at = struct.calcsize("<qbbb")
+    n, q = struct.unpack_from("<qb", raw)
+    at = struct.calcsize("<qb")
 
     def take(count: int, kind: str = "u1") -> np.ndarray:
         nonlocal at
@@ -192,17 +220,20 @@ def unpack(raw: bytes, shard: int) -> tuple[np.ndarray, np.ndarray]:
         at += found.nbytes
         return found
 
+    def numbers(own: int) -> np.ndarray:
+        out, width = np.zeros((n, 8), np.uint8), -(-own // 8)
+        out[:, :width] = take(n * width).reshape(n, width)
+        return out.view("<u8")[:, 0].astype(np.uint64)
+
     occupied = np.flatnonzero(np.unpackbits(take(-(-(1 << q) // 8)), count=1 << q))
     ends = np.unpackbits(take(-(-n // 8)), count=n)
-    rest = 64 - shard_bits - q
-    width = -(-rest // 8)
-    lead = np.zeros((n, 8), np.uint8)
-    lead[:, :width] = take(n * width).reshape(n, width)
-    quotient = occupied[np.cumsum(ends) - ends].astype(np.uint64)
-    first = lead.view("<u8")[:, 0] | (quotient << np.uint64(rest))
+    rest = bits[0] - shard_bits - q
+    first = numbers(rest)
+    if q:
+        first = first | (occupied[np.cumsum(ends) - ends].astype(np.uint64) << np.uint64(rest))
     if shard_bits:
-        first = first | np.uint64(shard << (64 - shard_bits))
-    keys = np.hstack([first[:, None], take(n * (lanes - 1), "<u8").reshape(n, lanes - 1)]).astype(np.uint64)
+        first = first | np.uint64(shard << (bits[0] - shard_bits))
+    keys = np.stack([first, *(numbers(own) for own in bits[1:])], axis=1)
     counts = take(n).astype(np.int64)
     counts[counts == 255] = take(int((counts == 255).sum()), "<i8")
     return keys, counts
@@ -211,8 +242,8 @@ def unpack(raw: bytes, shard: int) -> tuple[np.ndarray, np.ndarray]:
 class Counter:
     """Gathers n-grams and gives them back as filters, one for each shard."""
 
-    def __init__(self, lanes: int, shard_bits: int) -> None:
-        self.shard_bits, self.lanes = shard_bits, lanes
+    def __init__(self, bits: list[int], shard_bits: int) -> None:
+        self.bits, self.shard_bits = bits, shard_bits
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = self.fresh = 0  # entries in order, and those that came since
 
@@ -225,7 +256,7 @@ class Counter:
         return self.size > HELD // 2
 
     def settle(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = (np.concatenate([p[k] for p in self.parts]) for k in (0, 1)) if self.parts else (np.zeros((0, self.lanes), np.uint64), np.zeros(0, np.int64))
+        keys, counts = (np.concatenate([p[k] for p in self.parts]) for k in (0, 1)) if self.parts else (np.zeros((0, len(self.bits)), np.uint64), np.zeros(0, np.int64))
         self.parts = [merged(keys, counts)]
         self.size, self.fresh = len(self.parts[0][0]), 0
         return self.parts[0]
@@ -235,10 +266,10 @@ class Counter:
         self.parts, self.size = [], 0
         if not len(keys):
             return
-        shards = (keys[:, 0] >> np.uint64(64 - self.shard_bits)).astype(np.int64) if self.shard_bits else np.zeros(len(keys), np.int64)
+        shards = (keys[:, 0] >> np.uint64(self.bits[0] - self.shard_bits)).astype(np.int64) if self.shard_bits else np.zeros(len(keys), np.int64)
         at = np.flatnonzero(np.diff(shards, prepend=-1))
         for a, b in zip(at, np.append(at[1:], len(keys)), strict=True):
-            yield int(shards[a]), pack(keys[a:b], counts[a:b], self.shard_bits)
+            yield int(shards[a]), pack(keys[a:b], counts[a:b], self.bits, self.shard_bits)
 
 
 # --- n-grams, size by size
@@ -269,27 +300,50 @@ def seen_table(frequent: DataFrame) -> Seen:
     return Seen(table.view(np.uint8))
 
 
-def _numbered(seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Ids of the words that may be frequent, and codes of these; -1 for all others."""
+class Numbering(NamedTuple):
+    """How tasks number the words that may be frequent: by rank among ``known``, or by their ids where ``seen`` lets them."""
+
+    known: np.ndarray | None
+    seen: Seen | None
+    width: int  # bits of a number
+
+
+def numbering(singles: DataFrame) -> Numbering:
+    """Ranks for up to ``MOST_WORDS`` frequent words, whose ids are then sent; beyond, ids of 64 bits stand for themselves."""
+    count = singles.count()
+    if count <= MOST_WORDS:
+        return Numbering(np.sort(singles.select("id").toPandas()["id"].to_numpy(np.int64).view(np.uint64)), None, max(1, count.bit_length()))
+    return Numbering(None, seen_table(singles.select("id").mapInArrow(_probes, "probe long")), 64)
+
+
+def _numbered(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Numbers of the words that may be frequent, and codes of these; -1 for all others."""
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen, _ = sent.value
         for batch in batches:
             ids = batch.column("ids")
             flat, bounds = ids.flatten().to_numpy(zero_copy_only=False).view(np.uint64), ids.offsets.to_numpy() - ids.offsets[0].as_py()
             rows = []
             for k, codes in enumerate(batch.column("codes")):
                 own = flat[bounds[k]:bounds[k + 1]]
-                kept = seen.value.has(mixed(own))
-                number = np.append(np.where(kept, np.cumsum(kept) - 1, -1), -1).astype(np.int32)
-                rows.append((own[kept].tobytes(), number[np.frombuffer(codes.as_buffer(), np.int32)].tobytes()))
+                if known is None:
+                    kept, number = seen.has(mixed(own)), own
+                else:
+                    number = np.searchsorted(known, own)
+                    kept = np.append(known, 0)[number] == own if len(known) else np.zeros(len(own), bool)
+                    kept &= number < len(known)
+                code = np.append(np.where(kept, np.cumsum(kept) - 1, -1), -1).astype(np.int32)
+                rows.append((number[kept].astype(np.uint64).tobytes(), code[np.frombuffer(codes.as_buffer(), np.int32)].tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], ["ids", "codes"])
 
     return numbered
 
 
-def _counted(size: int, shard_bits: int, seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _counted(size: int, width: int, shard_bits: int, seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Filters of the n-grams of a size; from size three on, only those whose two shorter ones may be frequent."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(size, shard_bits)
+        bits = [width * count for count in lanes_of(size, width)]
+        counter = Counter(bits, shard_bits)
 
         def sent() -> pa.RecordBatch:
             rows = list(counter.filters())
@@ -310,25 +364,28 @@ def _counted(size: int, shard_bits: int, seen) -> Callable[[Iterator[pa.RecordBa
                 at = np.flatnonzero(held)
                 if len(at):
                     grams = np.stack([ids[at + k] for k in range(size)], axis=1)
-                    if counter.add(*merged(permuted(grams), np.ones(len(at), np.int64))):
+                    if counter.add(*merged(permuted(packed(grams, width), bits), np.ones(len(at), np.int64))):
                         yield sent()
         yield sent()
 
     return counted
 
 
-def _added(size: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Merges the filters of each shard as they come in; n-grams of ``least`` occurrences leave with their ids."""
+def _added(size: int, shard_bits: int, sent, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Merges the filters of each shard as they come in; n-grams of ``least`` occurrences leave with their words' ids."""
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, _, width = sent.value
+        bits = [width * count for count in lanes_of(size, width)]
         shards: dict[int, Counter] = {}
         for batch in batches:
             for shard, raw in zip(batch.column("shard").to_pylist(), batch.column("filter").to_pylist(), strict=True):
-                shards.setdefault(shard, Counter(size, 0)).add(*unpack(raw, shard))
+                shards.setdefault(shard, Counter(bits, 0)).add(*unpack(raw, bits, shard_bits, shard))
         for shard in list(shards):
             keys, counts = shards.pop(shard).settle()
             keys, counts = keys[counts >= least], counts[counts >= least]
-            ids = restored(keys)
-            probes = np.concatenate([window_hashes(row, size) for row in ids]) if len(ids) else np.zeros(0, np.uint64)
+            numbers = unpacked(restored(keys, bits), size, width)
+            probes = np.concatenate([window_hashes(row, size) for row in numbers]) if len(numbers) else np.zeros(0, np.uint64)
+            ids = numbers if known is None else known[numbers.astype(np.int64)]
             yield pa.RecordBatch.from_arrays([
                 pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * size, pa.int32()), pa.array(ids.view(np.int64).ravel())),
                 pa.array(counts), pa.array(probes.view(np.int64))], ["ids", "f", "probe"])
@@ -342,19 +399,18 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     blocks = saved(blocks_of(docs), "word-blocks")
     words, seed = word_counts(blocks)
     total = words.agg(F.sum("f")).first()[0] or 0
-    # Unsigned mixing of a word's id is done alike in the tasks; see ``_numbered``.
     singles = words.filter(F.col("f") >= least)
+    told = numbering(singles)
+    sent = spark.sparkContext.broadcast(told)
     levels = [singles.select(F.array("id").alias("ids"), "f")]
-    probes = singles.select("id").mapInArrow(_probes, "probe long")
-    seen = spark.sparkContext.broadcast(seen_table(probes))
     ids = F.transform(F.arrays_zip("langs", "words"), lambda x: word_id(x["langs"], x["words"], seed))
-    numbered = saved(blocks.select(ids.alias("ids"), "codes").mapInArrow(_numbered(seen), "ids binary, codes binary"), "word-codes")
+    numbered = saved(blocks.select(ids.alias("ids"), "codes").mapInArrow(_numbered(sent), "ids binary, codes binary"), "word-codes")
     parts = max(1, -(-total // SHARD))
-    shard_bits = (parts - 1).bit_length()
     seen = None
     for size in range(2, longest + 1):
-        found = saved(numbered.mapInArrow(_counted(size, shard_bits, seen), "shard long, filter binary").repartition(parts, "shard").mapInArrow(
-            _added(size, least), "ids array<long>, f long, probe long"), "phrases")
+        shard_bits = min((parts - 1).bit_length(), told.width * lanes_of(size, told.width)[0] - 1)
+        found = saved(numbered.mapInArrow(_counted(size, told.width, shard_bits, seen), "shard long, filter binary").repartition(parts, "shard").mapInArrow(
+            _added(size, shard_bits, sent, least), "ids array<long>, f long, probe long"), "phrases")
         levels.append(found.select("ids", "f"))
         if size < longest:
             table = seen_table(found)

@@ -269,22 +269,25 @@ def test_phrases_of_an_empty_table(spark):
 
 def test_filters_are_lossless(monkeypatch):
     rng = np.random.default_rng(9)
-    for lanes, n, shard_bits in [(1, 1, 0), (2, 1000, 3), (5, 5000, 0), (3, 0, 2)]:
-        ids = rng.integers(0, 1 << 64, (n, lanes), np.uint64)
-        assert (collocations.restored(collocations.permuted(ids)) == ids).all()
-        grams, times = np.concatenate([ids, ids[:n // 3]]), rng.integers(1, 400, n + n // 3)
+    for size, width, n, shard_bits in [(1, 64, 1, 0), (2, 64, 1000, 3), (5, 64, 5000, 0), (3, 64, 0, 2), (2, 4, 900, 3), (5, 17, 3000, 4), (4, 1, 500, 3), (3, 22, 1, 5)]:
+        bits = [width * c for c in collocations.lanes_of(size, width)]
+        ids = rng.integers(0, 1 << width, (n, size), np.uint64)
+        lanes = collocations.packed(ids, width)
+        assert (collocations.restored(collocations.permuted(lanes, bits), bits) == lanes).all()
+        assert (collocations.unpacked(lanes, size, width) == ids).all()
+        grams, times = np.concatenate([lanes, lanes[:n // 3]]), rng.integers(1, 400, n + n // 3)
         expected = collections.Counter()
         for gram, c in zip(grams.tolist(), times.tolist(), strict=True):
             expected[tuple(gram)] += c
-        counter = collocations.Counter(lanes, shard_bits)
+        counter = collocations.Counter(bits, shard_bits)
         monkeypatch.setattr(collocations, "HELD", 200)
         for a in range(0, len(grams), 97):
-            counter.add(collocations.permuted(grams[a:a + 97]), times[a:a + 97])
+            counter.add(collocations.permuted(grams[a:a + 97], bits), times[a:a + 97])
         told = {}
         for shard, raw in counter.filters():
-            keys, counts = collocations.unpack(raw, shard)
+            keys, counts = collocations.unpack(raw, bits, shard_bits, shard)
             assert (keys[1:, 0] >= keys[:-1, 0]).all()
-            told |= dict(zip(map(tuple, collocations.restored(keys).tolist()), counts.tolist(), strict=True))
+            told |= dict(zip(map(tuple, collocations.restored(keys, bits).tolist()), counts.tolist(), strict=True))
         assert told == expected
 
 
@@ -292,7 +295,16 @@ def test_keys_alike_in_their_first_lane_stay_apart():
     keys = np.array([[7, 1], [7, 2], [7, 1], [3, 9], [7, 2], [7, 1]], np.uint64)
     found, counts = collocations.merged(keys, np.ones(6, np.int64))
     assert found.tolist() == [[3, 9], [7, 1], [7, 2]] and counts.tolist() == [1, 3, 2]
-    assert [x.tolist() for x in collocations.unpack(collocations.pack(found, counts, 0), 0)] == [found.tolist(), counts.tolist()]
+    raw = collocations.pack(found, counts, [64, 64], 0)
+    assert [x.tolist() for x in collocations.unpack(raw, [64, 64], 0, 0)] == [found.tolist(), counts.tolist()]
+
+
+def test_phrases_of_more_words_than_are_sent(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "MOST_WORDS", 3)
+    rng = random.Random(4)
+    rows = [(" ".join(rng.choices([f"w{k}" for k in range(30)], k=60)) + " w1 w2 w3 w4", "en") for _ in range(30)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert sorted(tuple(r) for r in collocations.collocations(docs, 4, 4, 50).collect()) == naive_phrases(rows, 4, 4, 50)
 
 
 def test_a_shared_word_id_takes_another_seed(spark, monkeypatch):
