@@ -122,16 +122,19 @@ def op6_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP6_SQL = """
 with t as (select conv_id as pair_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
 replies as (select pair_id, max(turn) as last, max_by(text, turn) as reply from t where role = 'assistant' group by 1),
-swapped as (select t.pair_id, turn, role, case when role = 'assistant' and turn = a.last then b.reply else text end as text
-            from t join replies a using (pair_id) join replies b on b.pair_id = xor(t.pair_id, 1)),
-sides as (select 'c' as side, * from t where pair_id in (select pair_id from swapped) union all select 'r', * from swapped),
+others as (select a.pair_id, a.last, coalesce(b.reply, (select arg_min(c.reply, c.pair_id) from replies c where c.pair_id > a.pair_id)) as other,
+                  b.pair_id is not null or exists (select 1 from replies c where c.pair_id > a.pair_id) as found
+           from replies a left join replies b on b.pair_id = xor(a.pair_id, 1)),
+swapped as (select t.pair_id, turn, role, case when found and role = 'assistant' and turn = last then other else text end as text
+            from t left join others using (pair_id)),
+sides as (select 'c' as side, * from t union all select 'r', * from swapped),
 numbered as (select *, row_number() over (partition by side, pair_id order by turn nulls first, role, text) as k,
                     '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) as shown from sides),
 differing as (select pair_id, min(c.k) as k from numbered c join numbered r using (pair_id, k)
               where c.side = 'c' and r.side = 'r' and (c.role <> r.role or c.text <> r.text) group by 1),
 sized as (select pair_id, count(*) as n from t group by 1),
 cuts as (select pair_id, cast(coalesce(d.k - 1, s.n) as integer) as n_shared from sized s left join differing d using (pair_id)
-         where pair_id in (select pair_id from swapped)),
+        ),
 placed as (select n.*, c.n_shared, k > c.n_shared as own,
                   sum(case when k > c.n_shared then length(shown) else 0 end) over (partition by side, pair_id order by k) as ends
            from numbered n join cuts c using (pair_id)),

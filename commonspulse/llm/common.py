@@ -42,6 +42,12 @@ def looked_up(frame: DataFrame, table: DataFrame, key: str, narrow: Column | Non
     return frame.join(F.broadcast(hot), key).unionByName(rest)
 
 
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """Column names like these that ``frame`` does not have yet."""
+    taken = {c.lower() for c in frame.columns}
+    return [next(name for k in range(len(taken) + 1) if (name := f"{wanted}_{k}" if k else wanted) not in taken) for wanted in names]
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of text; a longer text is a batch of its own."""
     for batch in batches:

@@ -2,8 +2,8 @@
 
 A line is what stands between line breaks; its words are lower-cased and parted by white space.  Two lines of at least
 ``MIN_WORDS`` words are duplicates if one word inserted, left out or replaced turns one into the other, so at five words
-they agree in four fifths.  A line goes if an earlier one (by ``doc_id``, then place) is its duplicate or equal to it;
-for equal lines ``equal_words`` words are enough, which is one in the query and the pipeline.
+they agree in four fifths.  A line goes if an earlier one (by ``doc_id``, row, then place) is its duplicate or equal to
+it; for equal lines ``equal_words`` words are enough, which is one in the query and the pipeline.
 
 1. Each line gives a hash and keys of its halves.  One edit leaves a half as it is, so lines that share no key have no
    partner; only the others give variants.  Equal lines are settled by their hash.
@@ -12,9 +12,9 @@ for equal lines ``equal_words`` words are enough, which is one in the query and
 3. Each line is joined to the earliest line of its key (never to all lines of it) and the edit distance of the words
    themselves decides.
 
-Defined cases: a null text has no lines; null ``doc_id`` comes first; rows with one ``doc_id`` and equal lines at different
-places count by place, at the same place they tie and stay; further columns are kept by ``dedup`` whatever their names;
-an empty table stays empty.
+Defined cases: a null text has no lines; null ``doc_id`` comes first and stays null; rows that share a ``doc_id``, or have
+none, are rows of their own, in order of a hash of their texts, and equal rows in some order; further columns are kept by
+``dedup`` whatever their names; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -27,12 +27,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commonspulse.llm.common import hash_strings, mixed, pieces, read, saved, signed, tokens
+from commonspulse.llm.common import fresh, hash_strings, mixed, pieces, read, saved, signed, tokens
 
 MIN_WORDS = 5
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_FIRST = -(1 << 63)
 
 
 class Hasher:
@@ -95,9 +94,9 @@ def _line_keys(least: int):
 def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of the wanted lines."""
     for batch in batches:
-        rows = [(doc, line, text.split("\n")[line])
+        rows = [(doc, line, split[line])
                 for doc, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "wanted")), strict=True)
-                if wanted and text is not None for line in wanted if line <= text.count("\n")]
+                if wanted and text is not None for split in (text.split("\n"),) for line in wanted]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.string()))],
                                          ["doc", "line", "words"])
 
@@ -138,19 +137,30 @@ def _order(doc: str = "doc", line: str = "line") -> Column:
     return F.struct(F.col(doc).alias("doc"), F.col(line).alias("line"))
 
 
-def _doc() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST))
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number each, in order of ``doc_id`` (null first), and the name of that column.
+
+    Where every row has a ``doc_id`` of its own, that is the number.  Else rows are ranged by id and text hash and written.
+    """
+    key, text_hash, place = fresh(docs, "row_number", "text_hash", "row_place")
+    doc_id = F.col("doc_id").cast("long")
+    odd = docs.groupBy(doc_id.alias("d")).agg(F.count("*").alias("n")).filter("d is null or n > 1").limit(1).count()
+    if not odd:
+        return docs.select(doc_id.alias(key), *docs.columns), key
+    order = (doc_id.asc_nulls_first(), F.col(text_hash), F.col(place))
+    ranged = docs.withColumn(text_hash, F.xxhash64("text")).withColumn(place, F.monotonically_increasing_id()).repartitionByRange(*order)
+    return saved(ranged.sortWithinPartitions(*order).select(F.monotonically_increasing_id().alias(key), *docs.columns), "line-rows"), key
 
 
 def near_partners(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(hash, kept_doc, kept_line): distinct lines with an earlier line one word away."""
+    """(hash, kept_doc, kept_line): distinct lines with an earlier line one word away; ``docs`` are rows (doc, text)."""
     keys = lines.filter("head is not null").select("hash", F.explode(F.array("head", "tail", "other")).alias("half"))
     shared = keys.groupBy("half").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).filter("a < b").select("half")
     paired = keys.join(shared, "half", "left_semi").select("hash").distinct()
     firsts = saved(lines.filter("not again").join(paired, "hash", "left_semi").groupBy("hash")
                    .agg(F.min("doc").alias("doc"), F.min_by("line", "doc").alias("line")), "line-firsts")
     wanted = firsts.groupBy("doc").agg(F.collect_list("line").alias("wanted"))
-    texts = saved(docs.select(_doc().alias("doc"), "text").join(wanted.hint("merge"), "doc", "left")
+    texts = saved(docs.join(wanted.hint("merge"), "doc", "left")
                   .mapInArrow(_pick, "doc long, line int, words string").dropDuplicates(["doc", "line"]), "line-texts")
     variants = saved(texts.mapInArrow(_variants, "key long, place int, doc long, line int"), "line-variants")
     shortened, whole = variants.filter("place >= 0"), variants.filter("place < 0").select("key", _order().alias("own"))
@@ -170,9 +180,9 @@ def near_partners(docs: DataFrame, lines: DataFrame) -> DataFrame:
             .select("hash", "kept.kept_doc", "kept.kept_line"))
 
 
-def duplicates(docs: DataFrame, equal_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, line, near): the lines to remove, equal to an earlier line (from ``equal_words`` words on) or one word from it."""
-    lines = saved(docs.select(_doc().alias("doc"), F.col("text").cast("string")).mapInArrow(
+def _marked(docs: DataFrame, equal_words: int) -> DataFrame:
+    """(doc, line, near) from rows (doc, text): the lines to remove."""
+    lines = saved(docs.mapInArrow(
         _line_keys(min(equal_words, MIN_WORDS)), "doc long, line int, hash long, again boolean, head long, tail long, other long"), "line-keys")
     near = near_partners(docs, lines).select("hash", F.lit(True).alias("near"))
     repeated = lines.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.max("again").alias("twice"))
@@ -182,6 +192,17 @@ def duplicates(docs: DataFrame, equal_words: int = MIN_WORDS) -> DataFrame:
             .select("doc", "line", F.coalesce("near", F.lit(False)).alias("near")))
 
 
+def _rows(rows: DataFrame, key: str) -> DataFrame:
+    return rows.select(F.col(key).alias("doc"), F.col("text").cast("string").alias("text"))
+
+
+def duplicates(docs: DataFrame, equal_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, line, near), ``doc`` the row's ``doc_id``: the lines to remove, equal to an earlier line (from ``equal_words`` words on) or one word from it."""
+    rows, key = numbered(docs)
+    ids = rows.select(F.col(key).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"))
+    return _marked(_rows(rows, key), equal_words).join(ids, "doc").select(F.col("doc_id").alias("doc"), "line", "near")
+
+
 def _rebuilt(names: list[str], place: int):
     def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,13 +218,14 @@ def _rebuilt(names: list[str], place: int):
 
 def dedup(docs: DataFrame, equal_words: int = MIN_WORDS) -> DataFrame:
     """The documents with their columns, ``text`` without the duplicate lines; those left without any word go."""
-    gone = duplicates(docs, equal_words).groupBy("doc").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc", "_doc")
-    joined = docs.join(gone.hint("merge"), _doc() == F.col("_doc"), "left").drop("_doc")
-    text = docs.columns.index("text")
-    had = F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
-    out = joined.withColumn("_had", had & F.col("_gone").isNotNull()).select(*docs.columns, "_had", "_gone").mapInArrow(
-        _rebuilt([*docs.columns, "_had"], text), docs.withColumn("_had", F.lit(True)).schema)
-    return out.filter(~F.col("_had") | F.col("text").rlike(r"\S")).drop("_had")
+    rows, key = numbered(docs)
+    gone, had = fresh(rows, "gone", "had")
+    lost = _marked(_rows(rows, key), equal_words).groupBy("doc").agg(F.collect_set("line").alias(gone)).withColumnRenamed("doc", key)
+    joined = rows.join(lost.hint("merge"), key, "left")
+    word = F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
+    out = joined.withColumn(had, word & F.col(gone).isNotNull()).select(*docs.columns, had, gone).mapInArrow(
+        _rebuilt([*docs.columns, had], docs.columns.index("text")), docs.withColumn(had, F.lit(True)).schema)
+    return out.filter(~F.col(had) | F.col("text").rlike(r"\S")).drop(had)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,8 +236,9 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LINES_SQL = f"""
 lines as (select doc_id, k - 1 as line_no, list_filter(regexp_split_to_array(lower(line), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') as w
           from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as k from documents where text is not null)),
-long as (select doc_id, line_no, array_to_string(w, ' ') as k, w from lines where len(w) >= {MIN_WORDS}),
-firsts as (select k, w, min(struct_pack(d := doc_id, l := line_no)) as o from long group by k, w),
+long as (select doc_id, line_no, array_to_string(w, ' ') as k, w from lines where len(w) > 0),
+every as (select k, w, min(struct_pack(d := doc_id, l := line_no)) as o from long group by k, w),
+firsts as (select * from every where len(w) >= {MIN_WORDS}),
 shorter as (select o, i, array_to_string(w[1:i - 1] || w[i + 1:], ' ') as v from (select o, w, unnest(range(1, len(w) + 1)) as i from firsts)),
 groups as (select v, i, min(o) as e from shorter group by v, i),
 near as (select o from shorter join groups using (v, i) where e < o
@@ -223,8 +246,8 @@ near as (select o from shorter join groups using (v, i) where e < o
          union select f.o from shorter s join firsts f on s.v = f.k where s.o < f.o)"""
 OP1_SQL = f"""
 with {_LINES_SQL}
-select doc_id, cast(line_no as integer) as line_no, firsts.o in (select o from near) as near
-from long join firsts using (k) where firsts.o in (select o from near) or struct_pack(d := doc_id, l := line_no) > firsts.o
+select doc_id, cast(line_no as integer) as line_no, every.o in (select o from near) as near
+from long join every using (k) where every.o in (select o from near) or struct_pack(d := doc_id, l := line_no) > every.o
 """
 
 QUERIES = {"op1_line_dedup": op1_line_dedup}

@@ -39,12 +39,12 @@ def test_followers_over_many_ranges(spark):
     assert sorted(map(tuple, found)) == list(zip(ids[:-1], ids[1:], strict=True))
 
 
-def test_preferences_keep_what_the_check_has_and_add_the_rest(spark):
+def test_preferences_and_their_check_have_every_conversation(spark):
     found = chat.op6_preferences(spark, SF_DIR)
     cursor = connect(SF_DIR).execute(chat.OP6_SQL)
     names = [d[0] for d in cursor.description]
     rows = {tuple(r[n] for n in names) for r in found.collect()}
-    assert set(cursor.fetchall()) <= rows
+    assert set(cursor.fetchall()) == rows
     every = spark.read.parquet(f"{SF_DIR}/conversations.parquet").filter(F.col("conv_id").isNotNull()).select("conv_id").distinct().count()
     assert len(rows) == every == found.count()
 
@@ -61,10 +61,46 @@ def test_equal_lines_go_whatever_their_length(spark):
     found = {(r["doc_id"], r["line_no"]): r["near"] for r in lines.op1_line_dedup(spark, SF_DIR).collect()}
     checked = set(connect(SF_DIR).execute(lines.OP1_SQL).fetchall())
     assert equal <= set(found)
-    assert checked <= {(*at, near) for at, near in found.items()}
-    texts = {doc: (text or "").split("\n") for doc, text in rows}
-    more = set(found) - {row[:2] for row in checked}
-    assert more and more <= equal and all(len(texts[doc][k].split()) < lines.MIN_WORDS and not found[doc, k] for doc, k in more)
+    assert checked == {(*at, near) for at, near in found.items()}
+
+
+ROWS = [(0, "alpha beta gamma delta epsilon"), (1, "alpha beta gamma delta epsilon\nfirst of one"), (1, "UNIQUE line of the second row one\nsecond of one"),
+        (None, "twice twice\ntwice twice"), (None, "kept here too\nand this line stays\nas this one does"), (None, None), (None, ""),
+        (2, "second of one\nsomething else"), (2, "other words\nsomething else"), (3, "same\nrow"), (3, "same\nrow"), (4, "unique line of the second row two")]
+
+
+def naive_lines(rows):
+    """Rows (doc_id, text) by comparing every line with all earlier ones; rows in order of id (null first), text hash, place."""
+    kept, seen = [], []
+    for at in rows:
+        out = []
+        for line in (at[1] or "").split("\n"):
+            words = line.lower().split()
+            near = any(words == w or min(len(words), len(w)) >= lines.MIN_WORDS and lines.within_one(words, w) for w in seen)
+            if not words or not near:
+                out.append(line)
+            if words:
+                seen.append(words)
+        if at[1] is None or not at[1].split() or "\n".join(out).split():
+            kept.append((at[0], None if at[1] is None else "\n".join(out)))
+    return kept
+
+
+def test_lines_of_repeated_and_null_ids_are_their_own(spark):
+    docs = spark.createDataFrame([(i, t, k, -k, "x", k + 7) for k, (i, t) in enumerate(ROWS)],
+                                 "doc_id long, text string, _gone int, _had int, _doc string, row_number int").repartition(3)
+    told = lines.dedup(docs, 1)
+    assert told.columns == docs.columns
+    found = told.collect()
+    ordered = docs.withColumn("h", F.xxhash64("text")).orderBy(F.col("doc_id").asc_nulls_first(), "h").collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in found) == sorted((str(i), str(t)) for i, t in naive_lines([(r["doc_id"], r["text"]) for r in ordered]))
+    by_place = {r["_gone"]: r for r in found}
+    assert all(r["_had"] == -k and r["row_number"] == k + 7 and r["doc_id"] == ROWS[k][0] for k, r in by_place.items())
+    assert by_place[4]["text"] == ROWS[4][1] and by_place[2]["text"].startswith("UNIQUE")  # lines of other rows stay
+    gone = lines.duplicates(docs, 1).collect()
+    assert all(r["doc"] is None or 0 <= r["doc"] <= 4 for r in gone)
+    stayed = sum(len((r["text"] or "").split("\n")) for r in found)
+    assert len(gone) == sum(len((t or "").split("\n")) for _, t in ROWS) - stayed  # nothing but these lines went
 
 
 def test_pipeline_removes_short_and_unspaced_lines(spark):
