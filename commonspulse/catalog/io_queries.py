@@ -27,11 +27,12 @@ from commonspulse.catalog.panel_queries import (
 )
 from commonspulse.catalog.registry import query
 from commonspulse.operators import projections
+from commonspulse.operators.filters import archive_types
 from commonspulse.operators.merge import last_per_key
 from commonspulse.plans import archive_load, exports, landing_load, queries, runlog
 from commonspulse.session import scratch_dir
 from commonspulse.sources import archive, landed, months, tables, targets
-from commonspulse.streaming import ingest
+from commonspulse.streaming import dedup, ingest
 from commonspulse.streaming import panel as stream_panel
 
 COLLECTED = datetime(2024, 3, 1)
@@ -314,3 +315,39 @@ def incremental_panel(spark, sf_dir):
 
     rows = stream_panel.read_panel(spark, A.once(spark, sf_dir, "stream-panel", write))
     return rows.select("org_login", "month", *C.LOGIN_PANEL_METRICS)
+
+
+@query("r1_stateful_events", ALL_ORGS + """
+select event_id, type as event_type, actor_login, repo_id, repo_name as repo_full_name, org_login,
+  case when json_type(payload, '$.action') = 'VARCHAR' then json_extract_string(payload, '$.action') end as action,
+  created_at, payload, archive_hour, timestamp '2024-03-01' as collected_at from kept_event""")
+def stateful_events(spark, sf_dir):
+    def write(path: str) -> None:
+        # Hours land in order, five days at a time, so a delay of six days loses none of them.
+        lines = spark.read.text(archive_landing(spark, sf_dir))
+        five_days = F.floor(F.substring(F.col("hour"), 9, 2).cast("int") / 5)
+        for part in range(7):
+            lines.where(five_days == part).write.mode("append").partitionBy("hour").option("compression", "gzip").text(path + "/landing")
+        landing, events = path + "/landing", path + "/events"
+        stream = archive_types(archive.read_archive_stream(spark, landing, max_files=200))
+        dedup.start_settling(stream, events, "6 days", path + "/checkpoint", F.lit(COLLECTED)).awaitTermination()
+        # The last days are still in the state.
+        last = view(spark, sf_dir, "archive_event").agg(F.max("archive_hour").alias("h")).first()["h"]
+        tail = archive_types(archive.read_hours(spark, landing, last - timedelta(days=8), last + timedelta(hours=1)))
+        for _ in range(2):
+            dedup.catch_up(tail, events, "last-days", F.lit(COLLECTED))
+
+    rows = dedup.read_events(spark, A.once(spark, sf_dir, "stream-settled", write) + "/events")
+    return shown(rows, ("event_id", "event_type", "actor_login", "repo_id", "repo_full_name", "org_login", "action", "created_at", "payload",
+                        "archive_hour", "collected_at"))
+
+
+@query("r3_delta_panel", LOGIN_PANEL + "select * from panel")
+def delta_panel(spark, sf_dir):
+    def write(path: str) -> None:
+        schema = f"{schemas.RAW_EVENT}, event_month int"
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 30).parquet(A.month_table(spark, sf_dir))
+        stream_panel.create_deltas(spark, path)
+        ingest.start(stream.drop("event_month"), stream_panel.delta_batch(path), path + "-checkpoint").awaitTermination()
+
+    return stream_panel.summed_panel(spark, A.once(spark, sf_dir, "stream-deltas", write)).select("org_login", "month", *C.LOGIN_PANEL_METRICS)

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commonspulse import schemas
-from commonspulse.catalog.adapter import archive_events, base, cte, ntz, raw_events, view
+from commonspulse.catalog.adapter import archive_events, base, cte, ntz, once, raw_events, view
 from commonspulse.catalog.landing import all_landed, landed
 from commonspulse.catalog.registry import query
 from commonspulse.operators import filters, merge, projections, search
 from commonspulse.operators.dependencies import parsed_dependencies
 from commonspulse.plans import landing_load
+from commonspulse.sources import tables
 
 # --- projections of archive events
 
@@ -282,21 +283,42 @@ def organization_accounts(spark, sf_dir):
 
 # --- merges
 
-@query("k1_upsert", """
+_UPSERTED = """
 with existing as (select c_custkey as org_id, lower(c_name) as login, c_name as name, c_mktsegment as description from customer),
 incoming as (select s_suppkey * 20 as org_id, lower(s_name) as login, case when s_nationkey % 2 = 0 then s_name end as name from supplier)
 select org_id, case when i.org_id is not null then i.login else e.login end as login,
   case when i.org_id is not null then i.name else e.name end as name,
   case when e.org_id is null then 'unknown' else e.description end as description
-from existing e full outer join incoming i using (org_id)""")
-def upsert(spark, sf_dir):
+from existing e full outer join incoming i using (org_id)"""
+
+
+def _upsert_sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     existing = base(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("org_id"), F.lower("c_name").alias("login"), F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("description"))
     incoming = base(spark, sf_dir, "supplier").select(
         (F.col("s_suppkey") * 20).alias("org_id"), F.lower("s_name").alias("login"),
         F.when(F.col("s_nationkey") % 2 == 0, F.col("s_name")).alias("name"))
-    return merge.upsert(existing, incoming, ["org_id"], {"description": "unknown"})
+    return existing, incoming
+
+
+@query("k1_upsert", _UPSERTED)
+def upsert(spark, sf_dir):
+    return merge.upsert(*_upsert_sides(spark, sf_dir), ["org_id"], {"description": "unknown"})
+
+
+@query("k1_merge_in_place", _UPSERTED)
+def merge_in_place(spark, sf_dir):
+    """The same upsert on a stored table, in three increments of which the second comes twice."""
+    schema, buckets = "org_id bigint, login string, name string, description string", 64
+
+    def write(path: str) -> None:
+        existing, incoming = _upsert_sides(spark, sf_dir)
+        tables.write_bucketed(existing, path, ["org_id"], buckets)
+        for part in (0, 1, 1, 2):
+            tables.merge_into(spark, path, schema, incoming.where(F.pmod(F.xxhash64("login"), F.lit(3)) == part), ["org_id"], buckets, defaults={"description": "unknown"})
+
+    return tables.read_bucketed(spark, once(spark, sf_dir, "merged-table", write), schema).drop(tables.BUCKET)
 
 
 def lines(spark, sf_dir) -> DataFrame:

@@ -47,6 +47,59 @@ def panel_batch(root: str) -> Callable[[DataFrame, int], None]:
     return run
 
 
+SLOTS = {"active_repositories": "repo", "distinct_actors": "actor"}
+
+
+def delta_batch(root: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that only adds: counts of the batch, and the ids it sees first.
+
+    ``root/ids`` holds each (organization, month, slot, id) once, by month.  An id that no earlier batch has brought to
+    its organization and month adds one to that distinct count, so every count of the panel is a sum over batches.  A
+    batch reads the ids of its own months only, writes folders of its own, and touches no other group.
+    """
+    ids_root, counts_root = os.path.join(root, "ids"), os.path.join(root, "counts")
+    keys = ["org_login", "month", "slot", "id"]
+
+    def run(events: DataFrame, batch: int) -> None:
+        spark = events.sparkSession
+        rows = with_org_login(login_panel_types(events)).persist()
+        try:
+            brought = rows.select(
+                F.lower("org.login").alias("org_login"), F.trunc("created_at", "MM").alias("month"),
+                F.inline(F.array(*[F.struct(F.lit(name).alias("slot"), F.col(f"{field}.id").alias("id")) for name, field in SLOTS.items()])),
+            ).where("id is not null and month is not null").distinct()
+            months = [r[0] for r in brought.select("month").distinct().collect()]  # one value a calendar month
+            known = spark.read.schema(_IDS).parquet(ids_root).where(F.col("month").isin(months) & (F.col("batch") < batch)) if months else None
+            fresh = brought if known is None else brought.join(known.select(*keys), keys, "left_anti")
+            fresh.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", "batch").parquet(ids_root)
+            mine = spark.read.schema(_IDS).parquet(ids_root)
+            mine = mine.where(F.col("month").isin(months) & (F.col("batch") == batch)) if months else mine.limit(0)
+            new = mine.groupBy("org_login", "month").agg(*[F.count_if(F.col("slot") == name).alias(f"new_{name}") for name in SLOTS])
+            # A null month has no ids above; its groups keep the counts that add up.
+            counts = login_month_panel(rows).join(new, ["org_login", "month"], "left").select(
+                "org_login", "month", *[F.coalesce(F.col(f"new_{m}"), F.lit(0)).alias(m) if m in SLOTS else m for m in C.LOGIN_PANEL_METRICS])
+            counts.write.mode("overwrite").parquet(os.path.join(counts_root, f"batch={batch}"))
+        finally:
+            rows.unpersist()
+
+    return run
+
+
+_IDS = "org_login string, slot string, id bigint, month date, batch int"
+_COUNTS = ", ".join(["org_login string", "month date", *[f"{m} bigint" for m in C.LOGIN_PANEL_METRICS], "batch int"])
+
+
+def create_deltas(spark: SparkSession, root: str) -> None:
+    spark.createDataFrame([], _IDS).write.mode("ignore").partitionBy("month", "batch").parquet(os.path.join(root, "ids"))
+    spark.createDataFrame([], _COUNTS).write.mode("ignore").partitionBy("batch").parquet(os.path.join(root, "counts"))
+
+
+def summed_panel(spark: SparkSession, root: str) -> DataFrame:
+    """The panel of all batches so far: sums of their counts."""
+    rows = spark.read.schema(_COUNTS).parquet(os.path.join(root, "counts"))
+    return rows.groupBy("org_login", "month").agg(*[F.sum(m).alias(m) for m in C.LOGIN_PANEL_METRICS])
+
+
 def read_panel(spark: SparkSession, root: str) -> DataFrame:
     metrics = ", ".join(f"{m} bigint" for m in C.LOGIN_PANEL_METRICS)
     return spark.read.schema(f"org_login string, {metrics}, month date").parquet(os.path.join(root, "panel"))
