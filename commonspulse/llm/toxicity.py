@@ -31,15 +31,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commonspulse.llm.common import mixed, pieces, read
+from commonspulse.llm.common import mixed, pieces, read, saved
 
 SIZES = (4, 5, 6)
 BITS = 20  # of a bucket
 SMOOTHING, LEAST_RATIO = 200.0, 0.02
 SAMPLE, SAMPLE_CHARS = 4000, 24 << 20
 STEPS, RATE, PENALTY = 80, 0.1, 0.1
+MOST_MARKS = 1 << 22  # labelled ids, 12 bytes each, that are sent to the texts
 TOXIC = 0.3  # score from which a text is called toxic
 WINDOW = 1 << 18  # characters hashed at once
+GROUP = 1 << 20  # entries of the sample worked on at once
 SLICE = 1 << 12  # buckets whose counts travel together
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -148,20 +150,39 @@ def class_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def regression(rows: list[tuple[np.ndarray, int, float]], ratio: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and intercept from rows (buckets, label, weight), by gradient steps with momentum on the log loss."""
+    present = np.zeros(len(ratio), bool)
+    for ids, _, _ in rows:
+        present[ids] = True
+    at = np.flatnonzero(present)
+    number = np.zeros(len(ratio), np.int32)
+    number[at] = np.arange(len(at))
     sizes = np.array([len(ids) for ids, _, _ in rows])
-    at, columns = np.unique(np.concatenate([ids for ids, _, _ in rows]), return_inverse=True)
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    values = ratio[at][columns]
-    values = (values / np.sqrt(np.bincount(owner, values * values, len(rows)) + 1)[owner]).astype(np.float32)
+    ends = np.cumsum(sizes)
+    columns, shrink = np.empty(ends[-1], np.int32), np.empty(len(rows))
+    for k, (ids, _, _) in enumerate(rows):
+        columns[ends[k] - sizes[k]:ends[k]] = number[ids]
+        shrink[k] = 1 / np.sqrt((ratio[ids] ** 2).sum() + 1)
     truth = np.array([label for _, label, _ in rows], float)
     share = np.array([weight for _, _, weight in rows])
     share /= share.sum()
+    own_ratio = ratio[at]
+    # Rows go in groups of about ``GROUP`` entries, so that what is computed of them stays small.
+    cuts = [0, *(np.flatnonzero(np.diff(ends // GROUP)) + 1).tolist(), len(rows)]
+    groups = [(slice(a, b), columns[ends[a] - sizes[a]:ends[b - 1]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     w, bias = np.zeros(len(at)), float(np.log(share @ truth) - np.log(1 - share @ truth))
     first, second = np.zeros(len(at) + 1), np.zeros(len(at) + 1)
     for step in range(STEPS):
-        z = np.bincount(owner, values * w[columns], len(rows)) + bias
-        wrong = share * (1 / (1 + np.exp(-z)) - truth)
-        grad = np.append(np.bincount(columns, values * wrong[owner], len(at)) + PENALTY / len(rows) * w, wrong.sum())
+        steepest, lean, scaled = np.zeros(len(at)), 0.0, own_ratio * w
+        for group, own in groups:
+            n = sizes[group]
+            full = n > 0
+            z = np.full(len(n), bias)
+            if len(own):
+                z[full] += shrink[group][full] * np.add.reduceat(scaled[own], (np.cumsum(n) - n)[full])
+            wrong = share[group] * (1 / (1 + np.exp(-z)) - truth[group])
+            steepest += np.bincount(own, np.repeat(wrong * shrink[group], n), len(at))
+            lean += wrong.sum()
+        grad = np.append(own_ratio * steepest + PENALTY / len(rows) * w, lean)
         first += 0.1 * (grad - first)
         second += 0.01 * (grad * grad - second)
         change = RATE * min(1, 3 * (1 - step / STEPS)) * first / (1 - 0.9 ** (step + 1)) / (np.sqrt(second / (1 - 0.99 ** (step + 1))) + 1e-8)
@@ -180,8 +201,12 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, toxic) of the labelled documents that may be learned from."""
     marks = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter(
-        F.col("doc_id").isNotNull() & ~held_out()).join(marks, "doc_id")
+    marks = saved(marks, "toxic-marks")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter(
+        F.col("doc_id").isNotNull() & ~held_out())
+    if marks.count() <= MOST_MARKS:
+        return texts.join(F.broadcast(marks), "doc_id")
+    return saved(texts.join(marks, "doc_id"), "labelled-texts")  # texts are shuffled once, however often they are read
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
