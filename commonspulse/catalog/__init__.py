@@ -2,6 +2,7 @@
 
 from commonspulse.catalog import (  # noqa: F401
     function_queries,
+    history_queries,
     io_queries,
     load_queries,
     panel_queries,

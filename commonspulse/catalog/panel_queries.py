@@ -241,11 +241,11 @@ def fork_attribution(spark, sf_dir):
     return panels.attribute_forks(projections.typed_events(raw_events(spark, sf_dir)))
 
 
-_TARGETED = cte("raw_event", "target") + TYPED + """
+TARGETED = cte("raw_event", "target") + TYPED + """
 select * from attributed where organization_id in (select organization_id from target)"""
 
 
-@query("f5_targeted_events", _TARGETED)
+@query("f5_targeted_events", TARGETED)
 def targeted_events(spark, sf_dir):
     return panels.targeted_events(projections.typed_events(raw_events(spark, sf_dir)), view(spark, sf_dir, "target"))
 

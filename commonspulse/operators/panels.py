@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from commonspulse import constants as C
 from commonspulse.functions.expressions import as_bigint, month_of, month_text, push_commits, push_size, scalar_text
+from commonspulse.operators import bloom
 from commonspulse.operators.filters import login_panel_types, months_between, with_org_login
 from commonspulse.sources.months import month_bounds
 
@@ -104,6 +105,21 @@ def targeted_events(typed: DataFrame, targets: DataFrame) -> DataFrame:
     return of_targets(attribute_forks(typed), targets)
 
 
+def targeted_events_of_many(typed: DataFrame, targets: DataFrame, megabytes: float = 8) -> DataFrame:
+    """The same rows for millions of targets.
+
+    A Bloom filter of at most ``megabytes`` is tested on the organization and on
+    the fork's owner of each event first, so that next to no row of others is
+    unfolded or shuffled.
+    """
+    words = bloom.bloom_words(targets, "organization_id", megabytes)
+    near = (
+        bloom.might_hold(words, F.col("event_org_id"), megabytes)
+        | bloom.might_hold(words, F.col("fork_destination_org_id"), megabytes)
+    )
+    return targeted_events(typed.where(near), targets)
+
+
 def target_month_panel(events: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """Sixteen metrics per organization id and month, over events of every type.
 

@@ -17,6 +17,7 @@ from commonspulse.functions.expressions import (
     json_scalars,
     month_of,
     push_size,
+    scalar_text,
     setup_eligible,
 )
 
@@ -204,21 +205,27 @@ def pull_rows(landed: DataFrame) -> DataFrame:
 def typed_events(events: DataFrame) -> DataFrame:
     """Eleven typed columns per event; write them once and the JSON is parsed once."""
     kind = F.col("type")
-    found = json_scalars(
-        events, "payload", event_action="$.action", ref_type="$.ref_type", _size="$.size",
-        _owner="$.forkee.owner.id", _merged="$.pull_request.merged",
-    )
+
+    def of(event: str, path: str) -> Column:
+        return F.when(kind == event, F.get_json_object("payload", path))
+
+    found = json_scalars(events, "payload", event_action="$.action", ref_type="$.ref_type").withColumns({
+        "_size": of("PushEvent", "$.size"),
+        "_owner": of("ForkEvent", "$.forkee.owner.id"),
+        "_merged": of("PullRequestEvent", "$.pull_request.merged"),
+    })
     return found.select(
         F.col("id").alias("event_id"),
         kind.alias("event_type"),
         F.col("actor.id").alias("actor_id"),
         F.col("repo.id").alias("repo_id"),
         as_bigint(F.col("org.id")).alias("event_org_id"),
-        F.when(kind == "ForkEvent", as_bigint(F.col("_owner"))).alias("fork_destination_org_id"),
+        # Text of an object or array is no number, so the cast needs no guard.
+        as_bigint(F.col("_owner")).alias("fork_destination_org_id"),
         "event_action",
         "ref_type",
         push_size(kind, F.col("_size"), F.col("payload")).alias("commits_in_push"),
-        F.when(kind == "PullRequestEvent", F.lower("_merged")).alias("pull_request_merged"),
+        F.lower(scalar_text(F.col("_merged"))).alias("pull_request_merged"),
         month_of(F.col("created_at")).alias("month"),
     )
 

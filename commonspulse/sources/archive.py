@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from commonspulse import schemas
@@ -78,6 +78,30 @@ def missing_hours(hours: DataFrame, events: DataFrame) -> DataFrame:
     return hours.join(events.select("archive_hour").distinct(), "archive_hour", "left_anti")
 
 
+def line_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """Lines and undecodable lines of every file below ``root``, as ``(file, archive_hour, lines, dropped)``.
+
+    ``dropped`` counts the lines that :func:`read_archive` leaves out.  Blank
+    lines are no lines; a file without lines has no row.  Only whether a line
+    decodes is read, counted before the shuffle: one file is one row.
+    """
+    rows = spark.read.schema("id string, type string, _corrupt string").options(**JSON_OPTIONS).option(
+        "recursiveFileLookup", "true").json(root)
+    return rows.groupBy(F.col("_metadata.file_path").alias("file"), _hour_of_path().alias("archive_hour")).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(~_decoded()).alias("dropped"))
+
+
+def read_archive_counted(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, Observation]:
+    """:func:`read_archive`, and ``lines`` and ``dropped`` over all files, observed in the pass that reads the rows.
+
+    The figures are there once the rows were written; store them beside the run.
+    """
+    rows = spark.read.schema(LINE).options(**JSON_OPTIONS).json(paths if isinstance(paths, str) else list(paths))
+    seen = Observation()
+    return _parsed(rows.observe(
+        seen, F.count(F.lit(1)).alias("lines"), F.count_if(~_decoded()).alias("dropped"))), seen
+
+
 def read_archive_stream(spark: SparkSession, root: str, max_files: int = 1000) -> DataFrame:
     """The same rows as a stream over a landing folder."""
     return _parsed(
@@ -92,14 +116,13 @@ def _hour_of_path() -> F.Column:
     return F.try_to_timestamp(F.concat(day, F.lit(" "), F.lpad(hour, 2, "0")), F.lit("yyyy-MM-dd HH"))
 
 
+def _decoded() -> F.Column:
+    """A line that is no JSON leaves nothing behind; one with a mistyped field keeps its other fields."""
+    return F.col("_corrupt").isNull() | F.col("id").isNotNull() | F.col("type").isNotNull()
+
+
 def _parsed(rows: DataFrame) -> DataFrame:
-    return (
-        rows.select("*", _hour_of_path().alias("archive_hour"))
-        # A line that is no JSON leaves nothing behind; one with a mistyped field
-        # keeps its other fields.
-        .where(F.col("_corrupt").isNull() | F.col("id").isNotNull() | F.col("type").isNotNull())
-        .drop("_corrupt")
-    )
+    return rows.select("*", _hour_of_path().alias("archive_hour")).where(_decoded()).drop("_corrupt")
 
 
 def with_month(events: DataFrame) -> DataFrame:
