@@ -3,8 +3,12 @@
 Each page becomes a tree of elements.  Every node gets the density of its text: characters per tag, weighed down by the
 share of characters and tags in links, against the share in the whole body.  The subtree whose children's densities sum
 up highest holds the article; on the way from it up to the body the least density is the threshold.  The article element
-around it, if there is one, or else its siblings that reach the threshold on that way, belong to it as well.  Elements
-that are boilerplate by kind (menus, forms, scripts) or by the name of their class, id or role count as empty.
+around it, or else the subtree itself, is taken, with those siblings that reach the threshold; lists of links within that
+stay below the threshold are not.
+
+Scripts, styles, controls and the like hold no text.  Menus, forms, and elements whose class, id or role names boilerplate,
+are under suspicion only: each is boilerplate unless it is as dense as the body and the page's article stands in it (it holds
+a headline, article or main element and more text than stands under no suspicion, or nearly all text of a page without one).
 
 Text: character references decoded, white space as one blank, blocks joined by a blank in page order, nothing else left
 out.  Defined cases: a null or empty page, and one without text, give an empty text; repeated rows and null ids are
@@ -32,8 +36,11 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSED_BY_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                   "th": {"td", "th"}, "option": {"option"}}
 KEEPS = frozenset("ul ol dl table tbody article section div main body td th aside nav footer header".split())
-BOILERPLATE = frozenset("head script style noscript template nav footer aside form button select option textarea input iframe "
-                        "svg canvas object embed audio video dialog menu title".split())
+TEXTLESS = frozenset("head script style noscript template button select option textarea input iframe svg canvas object embed audio "
+                     "video title".split())
+SUSPECT = frozenset("nav footer aside form dialog menu".split())
+HEADS = frozenset("h1 article main".split())
+LAYOUT = re.compile(r"(?:^|\s)(?:has|with|without|no|is|show|hide)[_-][^\s]*", re.I)
 NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|banner|promo(?:tion)?|nav(?:bar|igation)?|menu|"
                    r"breadcrumbs?|sidebar|side|widgets?|footer|masthead|site-header|cookies?|consent|notices?|popup|modal|newsletter|"
                    r"subscribe|share|social|related|recommended|comments?|replies|reply|discussion|disqus|pagination|pager|"
@@ -46,16 +53,25 @@ NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"(
 class Node:
     """An element: its parts are texts and elements in page order."""
 
-    __slots__ = ("tag", "parent", "parts", "empty", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "empty", "suspect", "head", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, empty: bool = False) -> None:
-        self.tag, self.parent, self.parts, self.empty = tag, parent, [], empty
+    def __init__(self, tag: str, parent: Node | None, empty: bool = False, suspect: bool = False) -> None:
+        self.tag, self.parent, self.parts, self.empty, self.suspect = tag, parent, [], empty, suspect
+        self.head = False
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def boilerplate(tag: str, rest: str, parent: Node) -> bool:
-    if tag in BOILERPLATE:
+def hidden(tag: str, rest: str) -> bool:
+    """Holds no text that is read."""
+    return tag in TEXTLESS or any(
+        name.lower() == "hidden" or name.lower() == "aria-hidden" and "".join(values).lower() == "true"
+        for name, *values in NAMED.findall(rest))
+
+
+def suspected(tag: str, rest: str, parent: Node) -> bool:
+    """Boilerplate by its kind or the names it bears, unless the article stands in it."""
+    if tag in SUSPECT:
         return True
     if tag == "header":  # a page's, not an article's
         while parent is not None:
@@ -63,14 +79,11 @@ def boilerplate(tag: str, rest: str, parent: Node) -> bool:
                 return False
             parent = parent.parent
         return True
-    if tag in ("html", "body", "article", "main"):
+    if tag in ("html", "body", "main"):
         return False
-    for name, *values in NAMED.findall(rest):
-        value = "".join(values)
-        name = name.lower()
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or NAMES.search(value):
-            return True
-    return False
+    # Names like "has-sidebar" tell the layout of a page, not what an element is.
+    return any(name.lower() in ("class", "id", "role") and NAMES.search(LAYOUT.sub(" ", "".join(values)))
+               for name, *values in NAMED.findall(rest))
 
 
 def parse(page: str) -> Node:
@@ -112,7 +125,7 @@ def parse(page: str) -> Node:
                     if tag != "tr":
                         break
                 seen = seen.parent
-        child = Node(tag, node, boilerplate(tag, token["rest"], node))
+        child = Node(tag, node, hidden(tag, token["rest"]), suspected(tag, token["rest"], node))
         node.parts.append(child)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
@@ -136,31 +149,73 @@ def in_order(root: Node) -> list[Node]:
     return found
 
 
+def count(node: Node) -> None:
+    """Characters and tags of a node, all and in links, from its children's."""
+    node.chars = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+    node.tags = node.link_chars = node.link_tags = 0
+    node.head = node.tag in HEADS
+    for child in node.parts:
+        if isinstance(child, Node) and not child.empty:
+            node.chars += child.chars
+            node.tags += child.tags + 1
+            node.link_chars += child.chars if child.tag == "a" else child.link_chars
+            node.link_tags += child.link_tags + (child.tag == "a")
+            node.head = node.head or child.head
+
+
+def density(node: Node, share: float) -> float:
+    """Composite density of a node; ``share`` is that of characters in links in the body."""
+    if not node.chars:
+        return 0.0
+    tags, links, link_tags = max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
+    base = math.log(node.chars * node.link_chars / max(node.chars - node.link_chars, 1) + share * node.chars + math.e)
+    return node.chars / tags * math.log(max(node.chars / links * tags / link_tags, 1)) / math.log(max(base, 1) + 1e-9 + (base <= 1))
+
+
+def body_of(nodes: list[Node]) -> Node:
+    return next((n for n in nodes if n.tag == "body"), nodes[0])
+
+
 def measure(root: Node) -> list[Node]:
     """Counts, densities and sums of all nodes that count."""
     nodes = in_order(root)
     for node in reversed(nodes):
-        node.chars = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
-        for child in node.parts:
-            if isinstance(child, Node) and not child.empty:
-                node.chars += child.chars
-                node.tags += child.tags + 1
-                node.link_chars += child.chars if child.tag == "a" else child.link_chars
-                node.link_tags += child.link_tags + (child.tag == "a")
-    body = next((n for n in nodes if n.tag == "body"), root)
+        count(node)
+    body = body_of(nodes)
     share = body.link_chars / max(body.chars, 1)
     for node in nodes:
-        if node.chars:
-            tags, links, link_tags = max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
-            base = math.log(node.chars * node.link_chars / max(node.chars - node.link_chars, 1) + share * node.chars + math.e)
-            node.density = node.chars / tags * math.log(max(node.chars / links * tags / link_tags, 1)) / math.log(max(base, 1) + 1e-9 + (base <= 1))
+        node.density = density(node, share)
     for node in nodes:
         node.total = sum(p.density for p in node.parts if isinstance(p, Node) and not p.empty)
     return nodes
 
 
+def settle(root: Node) -> None:
+    """Empty the suspects in which the article does not stand, innermost first."""
+    nodes = measure(root)
+    if not any(n.suspect for n in nodes):
+        return
+    body = body_of(nodes)
+    share, least = body.link_chars / max(body.chars, 1), body.density
+    # Text and headlines under no suspicion.
+    plain, headed, stack = 0, False, [root]
+    while stack:
+        for part in stack.pop().parts:
+            if isinstance(part, str):
+                plain += len("".join(part.split()))
+            elif not part.empty and not part.suspect:
+                headed = headed or part.tag in HEADS
+                stack.append(part)
+    for node in reversed(nodes):
+        count(node)
+        if node.suspect:
+            home = node.chars > plain if node.head else not headed and node.chars > 10 * plain and node.tag not in ("nav", "menu", "footer")
+            node.empty = not home or density(node, share) < least
+
+
 def chosen(root: Node) -> list[Node]:
     """The subtrees that make up the article, in page order."""
+    settle(root)
     nodes = measure(root)
     if not root.chars:
         return []
@@ -168,15 +223,20 @@ def chosen(root: Node) -> list[Node]:
     path = [best]
     while path[-1].parent is not None and path[-1].tag != "body":
         path.append(path[-1].parent)
+    threshold = min(n.density for n in path)
     around = [n for n in path if n.tag in ("article", "main")]
     if around:
-        return [around[-1]]
-    threshold = min(n.density for n in path)
-    if best.tag in INLINE or best.tag == "p":  # a sentence's markup is not the article
+        best = around[-1]
+    elif best.tag in INLINE or best.tag == "p":  # a sentence's markup is not the article
         best = next((n for n in path if n.tag not in INLINE and n.tag != "p"), best)
-    if best.parent is None or best.tag == "body":
-        return [best]
-    kept = [p for p in best.parent.parts if isinstance(p, Node) and not p.empty and (p is best or p.density >= threshold and p.chars)]
+    kept = [best]
+    if best.parent is not None and best.tag != "body":
+        near = [p for p in best.parent.parts if isinstance(p, Node) and not p.empty]
+        kept = [p for p in near if p is best or p.chars and p.density >= threshold and (not around or p.tag == best.tag)]
+    for node in [n for top in kept for n in in_order(top)]:
+        links = node.link_tags >= 3 and 2 * node.link_chars > node.chars
+        if links and node.tag not in INLINE and node.density < threshold and node not in kept:
+            node.empty = True
     return kept
 
 

@@ -338,6 +338,61 @@ def test_main_text(tag):
                     "enough words to count.")
 
 
+STORY = "".join(f"<p>Sentence {i} of the story goes on for a while, as stories in newspapers do, and ends here.</p>" for i in range(12))
+TOLD = " ".join(f"Sentence {i} of the story goes on for a while, as stories in newspapers do, and ends here." for i in range(12))
+MENU = "<nav><ul><li><a href=a>Home</a><li><a href=b>News</a></ul></nav>"
+TALK = "".join(f"<article class='comment-body'><p>Reader {i} holds another view and says so in a rather long reply to all.</p></article>" for i in range(30))
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><form id=aspnetForm>{MENU}<div><h1>Big news</h1>{STORY}</div><div class=footer>End</div></form></body>",
+    f"<body><form id=f><div class=page>{MENU}<div class=sidebar-page><article><h1>Big news</h1>{STORY}</article></div></div></form></body>",
+    f"<body>{MENU}<div class='content has-sidebar'><h1>Big news</h1>{STORY}</div><div class=sidebar>Side</div></body>",
+    f"<body>{MENU}<article class='post with-comments'><h1>Big news</h1>{STORY}</article><div id=comments>{TALK}</div></body>",
+    f"<body>{MENU}<article><h1>Big news</h1>{STORY[:STORY.index("<p>Sentence 6")]}</article><article>{STORY[STORY.index("<p>Sentence 6"):]}</article></body>",
+    f"<body>{MENU}<article><h1>Big news</h1>{STORY}<ul>{'<li><a href=x>One more link</a>' * 20}</ul></article></body>",
+    f"<body>{MENU}<div class=alert-story><p>Big news</p>{STORY}</div><div class=comments>{TALK}</div><p>x</p></body>",
+    f"<body>{MENU}<main><div><h1>Big news</h1>{STORY}</div></main><section class=comment-list>{TALK}</section></body>",
+])
+def test_names_and_tags_alone_do_not_lose_the_article(page):
+    text = main_text.main_text(page)
+    if "alert-story" in page:  # nothing but names tells the story from its comments
+        assert TOLD in text
+    else:
+        assert text == "Big news " + TOLD
+
+
+def test_densities_equal_a_naive_count():
+    def naive(node, what):
+        found = [what(node)]
+        for part in node.parts:
+            if not isinstance(part, str) and not part.empty:
+                found += naive(part, what)
+        return found
+
+    page = PAGE.format(open="<div class=story>", close="</div>" + "<ul>" + "<li><a href=q>more</a> now" * 4 + "</ul>")
+    nodes = main_text.measure(main_text.parse(page))
+
+    def numbers(node):
+        texts = lambda n: sum(len("".join(p.split())) for p in n.parts if isinstance(p, str))
+        links = [n for n in nodes_below(node) if n.tag == "a"]
+        return (sum(naive(node, texts)), len(naive(node, lambda n: 1)) - 1, sum(sum(naive(a, texts)) for a in links), len(links))
+
+    def nodes_below(node):
+        return naive(node, lambda n: n)[1:]
+
+    body = next(n for n in nodes if n.tag == "body")
+    share = numbers(body)[2] / numbers(body)[0]
+    for node in nodes:
+        chars, tags, link_chars, link_tags = numbers(node)
+        assert (chars, tags, link_chars, link_tags) == (node.chars, node.tags, node.link_chars, node.link_tags)
+        if chars:
+            under = np.log(np.log(chars * link_chars / max(chars - link_chars, 1) + share * chars + np.e))
+            over = np.log(max(chars / max(link_chars, 1) * max(tags, 1) / max(link_tags, 1), 1))
+            assert node.density == pytest.approx(chars / max(tags, 1) * over / under, rel=1e-6) or under < 1e-6
+        assert node.total == pytest.approx(sum(p.density for p in node.parts if not isinstance(p, str) and not p.empty))
+
+
 def test_main_text_of_odd_pages(spark):
     odd = [None, "", "<p>", "no tags & <3", "<div>" * 2000 + "deep", "<p>x" * 3, "<script>1<"]
     frame = spark.createDataFrame([(k, None, h, "x") for k, h in enumerate(odd)], "page_id long, url string, html string, text string")
