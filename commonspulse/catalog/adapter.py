@@ -105,7 +105,7 @@ select user_id as repo_id, ts as observed_at, cast(floor(value) as int) as starg
 from events""",
     "setup_source": """
 select p_partkey as repo_id,
-  case when p_size % 3 = 0 then 'setup(install_requires=get_requirements())'
+  case when p_size % 3 = 0 then 'setup(install_requires=lines_of(wanted))'
     else concat('from setuptools import setup', chr(10), 'reqs = ["', replace(p_name, ' ', '_'), '>=', cast(p_size as string), '", "', p_brand, '"]',
       chr(10), 'setup(name="x", install_requires=reqs)') end as source
 from part""",

@@ -20,30 +20,46 @@ def event(id, type, payload, org="acme", repo=(2, "acme/app"), at=datetime(2025,
     return (id, type, at, (1, "Alice"), repo, None if org is None else ("1", org), payload, hour)
 
 
-def test_event_rows(rows):
-    frame = rows(EVENT,
-                 event("1", "IssuesEvent", '{"action":"opened","issue":{"number":3}}'),
-                 event("2", "PullRequestEvent", '{"issue":{},"pull_request":{"number":4}}'),
-                 event("3", "IssuesEvent", '{"issue":{"title":"x"},"pull_request":{"number":5}}'),
-                 event("4", "PushEvent", None, org=None))
-    found = {r["event_id"]: r for r in projections.event_rows(frame).collect()}
-    assert found["1"]["entity_number"] == 3 and found["1"]["repo_full_name"] == "acme/app"
-    assert found["1"]["actor_login"] == "Alice"
-    assert found["2"]["entity_number"] == 4
-    # A non-empty issue without number does not fall through.
-    assert found["3"]["entity_number"] is None
-    assert found["4"]["payload"] == "{}" and found["4"]["org_login"] is None
-
-
-def test_push_time_is_never_author_time(rows):
-    payload = '{"commits":[{"sha":"abc","message":"change","author":{"name":"A","email":"a@x"}},{"sha":""},{"message":"x"}]}'
-    frame = rows(EVENT, event("2", "PushEvent", payload), event("3", "PushEvent", payload, repo=(0, "x/y")),
-                 event("4", "IssuesEvent", payload))
-    found = projections.archive_commit_rows(frame).collect()
-    assert len(found) == 1
-    row = found[0]
-    assert row["author_time"] is None and row["event_time"] == datetime(2025, 1, 1, 0, 1)
-    assert (row["timestamp_precision"], row["source"], row["author_email"]) == ("push_event", "gharchive", "a@x")
+@pytest.mark.parametrize("payload, number", [
+    ('{"issue":{"number":81,"title":"slow"}}', 81),
+    ('{"pull_request":{"number":7012}}', 7012),
+    ('{"issue":null,"pull_request":{"number":55}}', 55),
+    ('{"issue":[],"pull_request":{"number":56}}', 56),
+    ('{"issue":{"title":"no number"},"pull_request":{"number":57}}', None),  # there is an issue, so the pull request is not asked
+    ('{"issue":{"number":"many"}}', None),
+    ('{"comment":{"id":4}}', None),
+    ("not json", None),
+])
+def test_number_comes_from_the_issue_else_from_the_pull_request(rows, payload, number):
+    frame = rows(EVENT, event("n", "IssueCommentEvent", payload, repo=(640, "lake/shore")))
+    assert projections.event_rows(frame).first()["entity_number"] == number
+
+
+def test_flat_event_columns(rows):
+    frame = rows(EVENT, event("91", "ReleaseEvent", '{"action":"published","release":{"id":6}}', org="Lake", repo=(640, "Lake/Shore")),
+                 event("92", "GollumEvent", None, org=None, repo=(None, None)))
+    first, bare = projections.event_rows(frame, F.lit("2025-06-01").cast("timestamp")).orderBy("event_id").collect()
+    assert tuple(first) == ("91", "ReleaseEvent", "Alice", 640, "Lake/Shore", "Lake", "published", None, datetime(2025, 1, 1, 0, 1),
+                            '{"action":"published","release":{"id":6}}', HOUR, datetime(2025, 6, 1))
+    assert (bare["payload"], bare["action"], bare["org_login"], bare["repo_id"]) == ("{}", None, None, None)
+
+
+def test_commits_of_pushes(rows):
+    listed = [{"sha": f"{i:040x}", "message": f"step {i}", "author": {"name": "Bo", "email": f"bo+{i}@lake.test"}} for i in range(3)]
+    listed += [{"sha": None}, {"message": "without sha"}, {"sha": "f" * 40}]
+    text = json.dumps({"size": 99, "commits": listed})
+    moment = datetime(2023, 9, 17, 22, 40)
+    frame = rows(EVENT, event("p", "PushEvent", text, repo=(640, "lake/shore"), at=moment),
+                 event("none", "PushEvent", '{"commits":[]}', repo=(640, "lake/shore")), event("no list", "PushEvent", "{}"),
+                 event("no repository", "PushEvent", text, repo=(None, "lake/gone")), event("zero", "PushEvent", text, repo=(0, "lake/zero")),
+                 event("no push", "CommitCommentEvent", text))
+    found = projections.archive_commit_rows(frame, keep=["id"]).orderBy("position").collect()
+    assert [(r["id"], r["position"], r["sha"]) for r in found] == [
+        *[("p", i, f"{i:040x}") for i in range(3)], ("p", 5, "f" * 40)]
+    # The archive knows when a push came, not when its commits were made.
+    assert {(r["event_time"], r["author_time"], r["committer_time"], r["timestamp_precision"]) for r in found} == {
+        (moment, None, None, "push_event")}
+    assert [r["author_email"] for r in found] == ["bo+0@lake.test", "bo+1@lake.test", "bo+2@lake.test", None]
 
 
 def test_organization_match(rows):
@@ -70,17 +86,17 @@ def test_archive_load_keeps_first_and_stored_rows(spark, rows):
     assert [(r["sha"], r["message"]) for r in load.new_commits.collect()] == [("a", "first")]
 
 
-SOURCE = '''
-from setuptools import setup
-wanted = ["numpy>=2", "Jinja_2==3.0", "zope.interface; extra == 'x'"]
-setup(name="demo", install_requires=wanted)
+PINNED = '''
+import io, setuptools
+runtime = ("Pillow ~= 11.0", "typing_extensions", "tomli>=1.1 ; python_version < '3.11'",)
+setuptools.setup(version="7", install_requires=runtime, extras_require={"dev": ["pytest"]})
 '''
 
 
 @pytest.mark.parametrize("source, expected", [
-    (SOURCE, [("jinja-2", "Jinja_2==3.0"), ("numpy", "numpy>=2"), ("zope.interface", "zope.interface; extra == 'x'")]),
-    ("setup(install_requires=get_requirements())", []),
-    ("setup(install_requires=['a', b])", []),
+    (PINNED, [("pillow", "Pillow ~= 11.0"), ("tomli", "tomli>=1.1 ; python_version < '3.11'"), ("typing-extensions", "typing_extensions")]),
+    ("setup(install_requires=open('wanted.txt').read().split())", []),
+    ("setup(install_requires=['fixed', *more])", []),
     ("setup(install_requires=r)\nr = ['x']\nr = ['y', f()]\n", [("x", "x")]),
     ("def f():\n    q = ['n']\n    setup(install_requires=q)\n", []),
     ("r: list = ('a', ' b>1 ')\nimport s\ns.setup(install_requires=r)\nsetup(install_requires={'c'})", [("a", "a"), ("b", "b>1"), ("c", "c")]),

@@ -103,18 +103,29 @@ def test_totals_refuse_distinct_counts(events):
         panels.period_totals(panels.login_month_panel(events), ["org_login"], C.LOGIN_PANEL_METRICS)
 
 
-def test_login_document(rows):
-    values = (10, 2, 3, 4, 6, 1, 2, 1, 1, 1, 0)
-    panel = rows("org_login string, month date, " + ", ".join(f"{m} bigint" for m in C.LOGIN_PANEL_METRICS),
-                 ("north-org", date(2025, 1, 1), *values), ("out-of-range", date(2024, 1, 1), *values))
-    docs = documents.login_documents(panel, "2025-01", "2025-03").collect()
-    assert [(d["shard"], d["safe_login"]) for d in docs] == [("no", "north-org")]
-    doc = docs[0]["document"]
-    assert len(doc["monthly"]) == 3
-    assert doc["monthly"][0]["commits_in_pushes"] == 6 and doc["monthly"][1]["public_events"] == 0
-    assert doc["totals"]["public_events"] == 10
-    assert doc["monthly_activity_summary"]["max_monthly_active_repositories"] == 2
-    assert doc["monthly_activity_summary"]["months_with_activity"] == 1
+def test_login_documents_sum_what_adds_up_and_summarise_the_rest(rows):
+    chance = random.Random(29)
+    metrics = C.LOGIN_PANEL_METRICS
+    held = {(login, month): [chance.randrange(1, 90) for _ in metrics]
+            for login in ("Birch.Lab", "cedar") for month in (2, 3, 6, 11) if (login, month) != ("cedar", 6)}
+    panel = rows("org_login string, month date, " + ", ".join(f"{m} bigint" for m in metrics),
+                 *[(login, date(2022, month, 1), *values) for (login, month), values in held.items()],
+                 ("silent", date(2021, 12, 1), *[5] * len(metrics)))
+    found = {d["safe_login"]: d for d in documents.login_documents(panel, "2022-02", "2022-07").collect()}
+    assert {name: d["shard"] for name, d in found.items()} == {"birch-lab": "bi", "cedar": "ce"}
+    for login, name in (("Birch.Lab", "birch-lab"), ("cedar", "cedar")):
+        document = found[name]["document"]
+        own = {m: dict(zip(metrics, v, strict=True)) for (o, m), v in held.items() if o == login and m <= 7}
+        assert [m["month"] for m in document["monthly"]] == [f"2022-{k:02d}" for k in range(2, 8)]
+        for k, month in enumerate(document["monthly"], 2):
+            assert {m: month[m] for m in metrics} == own.get(k, dict.fromkeys(metrics, 0))
+        for metric in C.LOGIN_ADDITIVE_METRICS:
+            assert document["totals"][metric] == sum(v[metric] for v in own.values())
+        summary = document["monthly_activity_summary"]
+        assert summary["months_with_activity"] == len(own)
+        for metric in C.NON_ADDITIVE_METRICS:
+            assert summary[f"max_monthly_{metric}"] == max(v[metric] for v in own.values())
+            assert summary[f"sum_monthly_{metric}"] == sum(v[metric] for v in own.values())
 
 
 def test_file_names(rows):

@@ -11,9 +11,12 @@ from commonspulse.operators.panels import login_month_panel
 from commonspulse.sources import archive, landed, months, tables, targets
 
 
-def test_month_range_is_inclusive(spark):
-    found = [r["month"] for r in months.month_range(spark, "2025-11", "2026-02").collect()]
-    assert found == [date(2025, 11, 1), date(2025, 12, 1), date(2026, 1, 1), date(2026, 2, 1)]
+@pytest.mark.parametrize("start, end, count", [("2019-06", "2019-06", 1), ("2015-01", "2024-12", 120), ("2023-10", "2024-09", 12)])
+def test_months_include_both_ends(spark, start, end, count):
+    found = sorted(r["month"] for r in months.month_range(spark, start, end).collect())
+    assert len(found) == len(set(found)) == count and all(m.day == 1 for m in found)
+    assert (f"{found[0]:%Y-%m}", f"{found[-1]:%Y-%m}") == (start, end)
+    assert all((b.year - a.year) * 12 + b.month - a.month == 1 for a, b in zip(found, found[1:], strict=False))
 
 
 @pytest.mark.parametrize("value", ["2014-12", "2031-00", "2025-13", "2025-1", "Jan 2025", "2025-01\n"])
@@ -83,11 +86,11 @@ def write(tmp_path, text):
     return str(path)
 
 
-def test_target_file_with_bom_and_extra_columns(spark, tmp_path):
-    path = write(tmp_path, "\ufeffhistorical_login,seen,organization_id,kinds\n"
-                           "north,2020-03-01,4711,CreateEvent|PushEvent\n"
-                           "south,2016-11-01,4712,CreateEvent\n")
-    assert dict(targets.read_targets(spark, path).collect()) == {4711: "north", 4712: "south"}
+@pytest.mark.parametrize("mark", ["", "\ufeff"])
+@pytest.mark.parametrize("head", ["organization_id,login", "ORG_ID,Historical_Login", "organization_id , historical_login"])
+def test_target_file_header_forms(spark, tmp_path, mark, head):
+    path = write(tmp_path, f"{mark}note,{head},stars\n,86,birch,1\n\"a, b\",87,,2\n")
+    assert dict(targets.read_targets(spark, path).collect()) == {86: "birch", 87: None}
 
 
 def test_target_file_last_row_wins(spark, tmp_path):
