@@ -6,6 +6,7 @@ Files these queries read are written by Spark from the given tables first.
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from commonspulse import schemas
 from commonspulse.catalog import adapter as A
 from commonspulse.catalog.adapter import archive_landing, base, cte, ntz, view
 from commonspulse.catalog.landing import landing_folder
-from commonspulse.catalog.load_queries import COMMITS, OBJECTS, ORG_COLUMNS, shown
+from commonspulse.catalog.load_queries import COMMITS, OBJECTS, ORG_COLUMNS, loaded, search_results, shown
 from commonspulse.catalog.panel_queries import (
     FIRST,
     LAST,
@@ -25,10 +26,10 @@ from commonspulse.catalog.panel_queries import (
     login_panel,
     target_panel,
 )
-from commonspulse.catalog.registry import query
-from commonspulse.operators import projections
+from commonspulse.catalog.registry import ORACLES, query
+from commonspulse.operators import projections, search
 from commonspulse.operators.filters import archive_types
-from commonspulse.operators.merge import last_per_key
+from commonspulse.operators.merge import first_per_key, last_per_key
 from commonspulse.plans import archive_load, exports, landing_load, queries, runlog
 from commonspulse.session import scratch_dir
 from commonspulse.sources import archive, landed, months, tables, targets
@@ -123,6 +124,40 @@ def table_scan(spark, sf_dir):
     return shown(tables.read_table(spark, A.once(spark, sf_dir, "tables", write), "organization"), ORG_COLUMNS)
 
 
+# What each table holds after a load of everything, by the query that checks its rows.
+_FILLED = {
+    "organization": "w8_load_organizations", "repository": "w8_load_repositories", "repository_metric_snapshot": "w8_load_snapshots",
+    "setup_dependency": "w8_load_dependencies", "commit_activity": "w8_load_commits", "issue": "w8_load_issues",
+    "pull_request": "w8_load_pull_requests", "repository_search_hit": "p9_search_hits",
+    "organization_public_monthly": "a1_org_month_panel",
+}
+
+
+@query("s6_all_tables", " union all ".join(
+    [f"""select '{name}' as "table", count(*) as rows, count(*) as keys from ({ORACLES[check]}) t""" for name, check in _FILLED.items()]
+    + ["select 'gharchive_event', count(distinct event_id), count(distinct event_id) from (" + A.VIEWS["archive_event"] + ") t",
+       "select 'collection_run', 2, 1"]))
+def all_tables(spark, sf_dir):
+    """Every table of the warehouse written once and scanned by its schema: rows and different keys."""
+    def write(path: str) -> None:
+        events = projections.event_rows(A.archive_events(spark, sf_dir), F.lit(COLLECTED))
+        with runlog.audited_run(spark, f"{path}/collection_run", "load", "all"):
+            tables.write_tables({
+                **loaded(spark, sf_dir),
+                "repository_search_hit": search.ranked_hits(search_results(spark, sf_dir)),
+                "organization_public_monthly": projections.panel_rows(login_panel(spark, sf_dir), F.lit(COLLECTED)),
+                "gharchive_event": first_per_key(events, ["event_id"], ["archive_hour"]),
+            }, path)
+
+    root = A.once(spark, sf_dir, "all-tables", write)
+    counted = [
+        tables.read_table(spark, root, name).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(*keys).alias("keys")).select(
+            F.lit(name).alias("table"), "rows", "keys")
+        for name, keys in schemas.KEYS.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query("s7_months", """
 select cast(m as date) as month from (select unnest(generate_series(date_trunc('month', min(l_shipdate)),
   date_trunc('month', max(l_shipdate)), interval 1 month)) as m from lineitem) x""")
@@ -241,8 +276,8 @@ _ARCHIVE_FIRST = cte("archive_event") + COMMITS + """, matched as (
 ONE_ORG = _ARCHIVE_FIRST.replace("{match}", "lower(repo_name) like 'acme-7/%' or lower(org_login) = 'acme-7'")
 ALL_ORGS = _ARCHIVE_FIRST.replace("{match}", "true")
 MANY_ORGS = _ARCHIVE_FIRST.replace(
-    "{match}", "split_part(lower(repo_name), '/', 1) in (select 'acme-' || cast(s_suppkey as varchar) from supplier where s_acctbal > 5000) "
-    "or lower(org_login) in (select 'acme-' || cast(s_suppkey as varchar) from supplier where s_acctbal > 5000)")
+    "{match}", "split_part(lower(repo_name), '/', 1) in (select 'acme-' || cast(s_suppkey as varchar) from supplier) "
+    "or lower(org_login) in (select 'acme-' || cast(s_suppkey as varchar) from supplier)")
 _EVENTS = """
 select event_id, type as event_type, repo_id, org_login, created_at, payload, archive_hour, timestamp '2024-03-01' as collected_at from kept_event"""
 _COMMITS = """
@@ -269,6 +304,32 @@ def loaded_commits(spark, sf_dir):
     return shown(_loaded(spark, sf_dir).new_commits, COMMIT_COLUMNS)
 
 
+def _over_stored(spark, sf_dir) -> tuple[dict[str, DataFrame], archive_load.ArchiveLoad]:
+    """Stored rows, a tenth of all events and commits with marks of their own, and the load over them."""
+    events = view(spark, sf_dir, "archive_event").where("event_id like '%3'").select("event_id", F.lit("stored").alias("payload")).distinct()
+    commits = projections.archive_commit_rows(A.archive_events(spark, sf_dir)).where("sha like '%3'").select(
+        "repo_id", "sha", F.lit("stored").alias("message")).distinct()
+    kept = {name: table.unionByName(rows, allowMissingColumns=True) for (name, table), rows in zip(
+        _empty(spark).items(), (events, commits), strict=True)}
+    return kept, archive_load.load_archive(scanned(spark, sf_dir), kept, "Acme-7", F.lit(COLLECTED))
+
+
+@query("w9_events_over_stored", ONE_ORG + """
+select event_id, type as event_type, payload, archive_hour from kept_event where event_id not like '%3'
+union all select distinct event_id, null, 'stored', cast(null as timestamp) from archive_event where event_id like '%3'""")
+def events_over_stored(spark, sf_dir):
+    kept, load = _over_stored(spark, sf_dir)
+    return shown(kept["gharchive_event"].unionByName(load.new_events), ("event_id", "event_type", "payload", "archive_hour"))
+
+
+@query("w9_commits_over_stored", ONE_ORG + """
+select repo_id, sha, message, source, event_time from kept_commit where sha not like '%3'
+union all select distinct repo_id, sha, 'stored', null, cast(null as timestamp) from archive_commit where sha like '%3'""")
+def commits_over_stored(spark, sf_dir):
+    kept, load = _over_stored(spark, sf_dir)
+    return shown(kept["commit_activity"].unionByName(load.new_commits), ("repo_id", "sha", "message", "source", "event_time"))
+
+
 @query("a20_match_count", ONE_ORG + """
 select (select count(*) from matched) as matches, (select count(*) from kept_event) as stored""")
 def match_count(spark, sf_dir):
@@ -280,29 +341,30 @@ def match_count(spark, sf_dir):
 
 
 def _streamed(spark, sf_dir) -> str:
-    """Tables after streaming the landing folder in several batches."""
+    """Tables after the landing folder was filled ten days at a time, the stream going on from its checkpoint each time."""
     def write(path: str) -> None:
-        root = archive_landing(spark, sf_dir)
-        logins = base(spark, sf_dir, "supplier").where("s_acctbal > 5000").select(
-            F.concat(F.lit("Acme-"), F.col("s_suppkey")).alias("login"))
+        lines = spark.read.text(archive_landing(spark, sf_dir)).withColumn("day", F.to_date(F.substring("hour", 1, 10)))
+        first, last = lines.agg(F.min("day"), F.max("day")).first()
+        logins = base(spark, sf_dir, "supplier").select(F.concat(F.lit("Acme-"), F.col("s_suppkey")).alias("login"))
         ingest.create(spark, path)
         batch = ingest.ingest_batch(path, logins, F.lit(COLLECTED))
-        stream = archive.read_archive_stream(spark, root, max_files=300)
-        ingest.start(stream, batch, path + "-checkpoint").awaitTermination()
+        for k in range((last - first).days // 10 + 1):
+            part = lines.where(F.floor(F.datediff("day", F.lit(first)) / 10) == k).drop("day")
+            part.write.mode("append").partitionBy("hour").option("compression", "gzip").text(path + "-landing")
+            stream = archive.read_archive_stream(spark, path + "-landing", max_files=1000)
+            ingest.start(stream, batch, path + "-checkpoint").awaitTermination()
 
     return A.once(spark, sf_dir, "stream-ingest", write)
 
 
-@query("r1_incremental_events", MANY_ORGS + "select event_id, event_type_count from (select event_id, count(*) as event_type_count from kept_event group by 1) x")
+@query("r1_incremental_events", MANY_ORGS + _EVENTS)
 def incremental_events(spark, sf_dir):
-    rows = ingest.stored_rows(spark, _streamed(spark, sf_dir) + "/gharchive_event", schemas.TABLES["gharchive_event"])
-    return rows.groupBy("event_id").agg(F.count(F.lit(1)).alias("event_type_count"))
+    return shown(ingest.stored_rows(spark, _streamed(spark, sf_dir) + "/gharchive_event", schemas.TABLES["gharchive_event"]), EVENT_COLUMNS)
 
 
-@query("r2_incremental_commits", MANY_ORGS + "select repo_id, sha, source, timestamp_precision from kept_commit")
+@query("r2_incremental_commits", MANY_ORGS + _COMMITS)
 def incremental_commits(spark, sf_dir):
-    rows = ingest.stored_rows(spark, _streamed(spark, sf_dir) + "/commit_activity", schemas.TABLES["commit_activity"])
-    return rows.select("repo_id", "sha", "source", "timestamp_precision")
+    return shown(ingest.stored_rows(spark, _streamed(spark, sf_dir) + "/commit_activity", schemas.TABLES["commit_activity"]), COMMIT_COLUMNS)
 
 
 @query("r3_incremental_panel", LOGIN_PANEL + "select * from panel")

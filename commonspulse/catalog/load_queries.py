@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from commonspulse import schemas
 from commonspulse.catalog.adapter import archive_events, base, cte, ntz, once, raw_events, view
 from commonspulse.catalog.landing import all_landed, landed
-from commonspulse.catalog.registry import query
+from commonspulse.catalog.registry import ORACLES, query
 from commonspulse.operators import filters, merge, projections, search
 from commonspulse.operators.dependencies import parsed_dependencies
 from commonspulse.plans import landing_load
@@ -391,13 +391,15 @@ TARGETS = """, wanted as (
 _WINDOW = """{time} <= timestamp '2000-06-01' and (c.since is null or {time} >= c.since)"""
 
 
-def loaded(spark, sf_dir) -> dict[str, DataFrame]:
+def loaded(spark, sf_dir, kept: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     targets = base(spark, sf_dir, "customer").select(
         F.col("c_name").alias("login"),
         F.when(F.col("c_nationkey") == 3, F.array(F.concat(F.lit("REPO-"), F.col("c_custkey")))).alias("repositories"),
         F.when(F.col("c_nationkey") < 10, F.lit(datetime(1996, 1, 1))).alias("since"),
     )
     stored = {name: spark.createDataFrame([], schemas.table_schema(name)) for name in schemas.TABLES}
+    for name, rows in (kept or {}).items():
+        stored[name] = stored[name].unionByName(rows, allowMissingColumns=True)
     return landing_load.load_landing(all_landed(spark, sf_dir), targets, stored, until=UNTIL, include_archived=False)
 
 
@@ -429,3 +431,40 @@ query("w8_load_pull_requests", OBJECTS + TARGETS + _last(
     PULL_COLUMNS, "select x.* from pull_object x join chosen c using (repo_id) where " + _WINDOW.format(time="x.created_at"),
     "pull_id", "created_at desc, author_login desc, state desc, title desc"))(
     lambda spark, sf_dir: shown(loaded(spark, sf_dir)["pull_request"], PULL_COLUMNS))
+
+
+# --- the same load over rows that are stored already
+
+def _over(check: str, columns, stored: str, keys: str) -> str:
+    """Loaded rows whole, nulls included, and the stored rows that nothing was loaded for."""
+    names = ", ".join(columns)
+    return f"""
+with loaded as ({ORACLES[check]}), stored as ({stored})
+select {names} from loaded union all select {names} from stored anti join loaded using ({keys})"""
+
+
+# Half of the customers, their orders and their lines; the lines repeat keys, the stored rows do not.
+STORED = {
+    "organization": "select c_custkey as org_id, concat('stored-', c_custkey) as login, cast(null as string) as name, 'kept' as description from customer where c_custkey % 2 = 0",
+    "repository": "select o_orderkey as repo_id, 0L as org_id, 'kept' as name, concat('kept/', o_orderkey) as full_name, 'old' as license_spdx, true as archived from orders where o_custkey % 2 = 0",
+    "commit_activity": "select distinct l_orderkey as repo_id, cast(l_linenumber as string) as sha, 'stored' as author_login, 'kept' as message, 'gharchive' as source, timestamp'2001-01-01' as event_time from lineitem where l_suppkey % 2 = 0 and l_returnflag <> 'A'",
+    "issue": "select distinct l_orderkey * 10 + l_linenumber as issue_id, l_orderkey as repo_id, l_linenumber as number, 'kept' as title, 'old reason' as state_reason from lineitem where l_returnflag <> 'A' and l_linenumber % 2 = 0",
+}
+_SHOWN = {
+    "organization": ("w8_load_organizations", ("org_id", "login", "name", "description"), "org_id"),
+    "repository": ("w8_load_repositories", ("repo_id", "org_id", "name", "full_name", "license_spdx", "archived"), "repo_id"),
+    "commit_activity": ("w8_load_commits", ("repo_id", "sha", "author_login", "message"), "repo_id, sha"),
+    "issue": ("w8_load_issues", ("issue_id", "repo_id", "number", "title"), "issue_id"),
+}
+
+
+def over_stored(spark, sf_dir, name: str) -> DataFrame:
+    for table in ("customer", "orders", "lineitem"):
+        base(spark, sf_dir, table).createOrReplaceTempView(table)
+    kept = {table: spark.sql(sql) for table, sql in STORED.items()}
+    return shown(loaded(spark, sf_dir, kept)[name], _SHOWN[name][1])
+
+
+for _name, (_check, _columns, _keys) in _SHOWN.items():
+    query(f"w8_over_stored_{_name}", _over(_check, _columns, STORED[_name].replace("0L", "0"), _keys))(
+        lambda spark, sf_dir, name=_name: over_stored(spark, sf_dir, name))
