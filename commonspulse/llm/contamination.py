@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commonspulse.llm.common import read, saved
+from commonspulse.llm.common import fresh, read, saved
 
 WIDTH = 13
 BROADCAST_BYTES = 8 << 20  # of probed terms, measured before each use
@@ -147,9 +147,10 @@ def report(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    dirty = report(docs, items).filter("contaminated").select(F.col("doc").alias("_dirty")).distinct()
+    (hit,) = fresh(docs, "hit_row")
+    dirty = report(docs, items).filter("contaminated").select(F.col("doc").alias(hit)).distinct()
     key = F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))
-    return docs.join(dirty.hint("merge"), key == F.col("_dirty"), "left_anti")
+    return docs.join(dirty.hint("merge"), key == dirty[hit], "left_anti")
 
 
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

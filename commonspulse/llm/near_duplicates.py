@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commonspulse.llm.common import hash_strings, mixed, pieces, read, saved, signed, tokens, window_hashes
+from commonspulse.llm.common import fresh, hash_strings, looked_up, mixed, pieces, read, saved, signed, tokens, window_hashes
 
 SHINGLE = 3
 SHARE = (85, 100)  # intersection to union, at least
@@ -224,7 +224,9 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE, block: int
     signed_docs = saved(docs.mapInArrow(_signatures(width), "doc_id long, n_shingles long, low long, high long, registers binary"), "signatures")
     usable = signed_docs.filter("n_shingles > 0 and doc_id is not null")
     first = usable.groupBy("low", "high").agg(F.min("doc_id").alias("node"))
-    nodes = saved(usable.join(first, ["low", "high"]).filter("doc_id = node").select("node", F.col("n_shingles").alias("n"), "registers")
+    # By id as well as by set, so the copies of one text do not meet in one task.
+    node_rows = usable.join(first.select(F.col("node").alias("doc_id"), "low", "high"), ["doc_id", "low", "high"])
+    nodes = saved(node_rows.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "registers")
                   .dropDuplicates(["node", "registers"]), "set-nodes")
     bands = nodes.select("node", "registers").mapInArrow(_bands, "key long, band int, node long")
     groups = bands.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
@@ -241,17 +243,18 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE, block: int
     edges = saved(wanted.join(texts, "node").select(*task, "own", "node", "n", "registers", "text").repartition(*task)
                   .sortWithinPartitions(*task).mapInArrow(_links(share, width), "a long, b long"), "links")
     found = components(edges)
-    named = first.join(found, "node", "left").select("low", "high", F.coalesce("component", "node").alias("component"))
-    same = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    return (signed_docs.select("doc_id", "n_shingles", "low", "high").join(named, ["low", "high"], "left")
-            .withColumn("component_id", F.when(same, F.col("component")).otherwise(F.col("doc_id")))
-            .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
+    one_set = F.struct("low", "high").alias("one_set")
+    named = saved(first.join(found, "node", "left").select(one_set, F.coalesce("component", "node").alias("component_id")), "set-names")
+    linked = looked_up(usable.select("doc_id", "n_shingles", one_set), named, "one_set").select("doc_id", "n_shingles", "component_id")
+    alone = signed_docs.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_first(docs: DataFrame, share: tuple[int, int] = SHARE, width: int = SHINGLE) -> DataFrame:
     """The documents, with all their columns, that are the first of their component."""
-    gone = near_duplicates(docs, share, width=width).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    (lost,) = fresh(docs, "lost")
+    gone = near_duplicates(docs, share, width=width).filter("not kept").select(F.col("doc_id").alias(lost)).distinct()
+    return docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone[lost], "left_anti")
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

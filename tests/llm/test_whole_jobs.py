@@ -11,7 +11,7 @@ from checking import connect
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from commonspulse.llm import chat, huffman, lines, near_duplicates
+from commonspulse.llm import chat, contamination, huffman, lines, near_duplicates
 from commonspulse.session import scratch_dir
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -148,3 +148,26 @@ def test_added_tokens_have_the_ids_of_the_plain_library_call(spark):
         at += len(ids)
     assert coder.encode(texts[0], add_special_tokens=False).ids == [862, 49407, 763]
     assert sorted(map(tuple, huffman.digests(docs, path, scratch_dir(spark, "h")).collect())) == expected
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Names that the operators used, or might use, inside belong to the caller."""
+    passage = " ".join(f"bench{k}" for k in range(30))
+    texts = ["one two three four five six seven"] * 3 + [passage, "nothing of the kind stands here at all", None, ""]
+    rows = [(k, t, f"g{k}", k * 2, k * 3, k * 5, f"o{k}") for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _gone string, _dirty int, lost int, hit_row int, one_set string")
+    kept = near_duplicates.keep_first(docs).orderBy("doc_id").collect()
+    assert [tuple(r) for r in kept] == [rows[k] for k in (0, 3, 4, 5, 6)]
+    clean = contamination.remove_contaminated(docs, spark.createDataFrame([(1, passage)], "item_id long, text string")).orderBy("doc_id").collect()
+    assert [tuple(r) for r in clean] == [rows[k] for k in (0, 1, 2, 4, 5, 6)]
+
+
+def test_many_copies_of_one_text_and_rows_without_words(spark):
+    """Copies of one text, and empty texts, are more than half of the rows each; every row comes back once."""
+    copies, empty = [(k, "the same short text for everyone") for k in range(0, 6000, 2)], [(k, None if k % 3 else " ") for k in range(1, 6000, 2)]
+    docs = spark.createDataFrame([*copies, *empty, (None, "the same short text for everyone"), (None, None)], "doc_id long, text string").repartition(5)
+    found = near_duplicates.near_duplicates(docs).collect()
+    assert len(found) == 6002
+    told = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in found if r["doc_id"] is not None}
+    assert all(told[k] == (4, 0, k == 0) for k, _ in copies) and all(told[k] == (0, k, True) for k, _ in empty)
+    assert sorted((r["n_shingles"], r["component_id"], r["kept"]) for r in found if r["doc_id"] is None) == [(0, None, True), (4, None, True)]
