@@ -1,16 +1,19 @@
-"""Snapshots before cutoffs, coverage of the archive, many targets, undecodable lines."""
+"""Snapshots before cutoffs, coverage of the archive, many targets, undecodable lines, co-partitioned tables."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commonspulse import constants as C
-from commonspulse.catalog.adapter import archive_events, archive_landing, base, cte, ntz, raw_events, view
+from commonspulse.catalog.adapter import archive_events, archive_landing, base, cte, ntz, once, raw_events, view
 from commonspulse.catalog.panel_queries import TARGETED
 from commonspulse.catalog.registry import query
-from commonspulse.operators import coverage, history, panels, projections
-from commonspulse.sources import archive
+from commonspulse.catalog.view_queries import CURRENT
+from commonspulse.operators import coverage, history, panels, projections, views
+from commonspulse.sources import archive, tables
 
 # Cutoffs at the time of a snapshot, within a day, and before all snapshots.
 PAIRS = """
@@ -95,3 +98,19 @@ def line_ledger(spark, sf_dir) -> DataFrame:
     """Lines per hour; an hour of the landing folder may be several files."""
     files = archive.line_ledger(spark, archive_landing(spark, sf_dir))
     return files.groupBy(ntz("archive_hour")).agg(F.sum("lines").alias("lines"), F.sum("dropped").alias("dropped"))
+
+
+@query("j3_copartitioned", CURRENT + """
+select repo_id, org_id, name, is_fork, stargazers_count, forks_count, observed_at from current_repository""")
+def copartitioned_current(spark, sf_dir) -> DataFrame:
+    """Repositories and snapshots bucketed by ``repo_id`` once; grouping and join then need no shuffle."""
+    def write(path: str) -> None:
+        columns = ["repo_id", "org_id", "name", "is_fork"]
+        tables.write_copartitioned({
+            f"{os.path.basename(path)}_repository".replace("-", "_"): view(spark, sf_dir, "repository").select(*columns),
+            f"{os.path.basename(path)}_snapshot".replace("-", "_"): view(spark, sf_dir, "repository_metric_snapshot"),
+        }, path, "repo_id", 16)
+
+    name = os.path.basename(once(spark, sf_dir, "copartitioned", write)).replace("-", "_")
+    rows = views.repository_current(spark.table(f"`{name}_repository`"), spark.table(f"`{name}_snapshot`"))
+    return rows.select("repo_id", "org_id", "name", "is_fork", "stargazers_count", "forks_count", ntz("observed_at"))

@@ -91,17 +91,17 @@ def current(spark, sf_dir):
     return V.repository_current(*views(spark, sf_dir, "repository", "repository_metric_snapshot"))
 
 
-_CURRENT = cte("repository", "repository_metric_snapshot") + LATEST
+CURRENT = cte("repository", "repository_metric_snapshot") + LATEST
 
 
-@query("j3_repository_current", _CURRENT + """
+@query("j3_repository_current", CURRENT + """
 select repo_id, org_id, name, is_fork, stargazers_count, forks_count, observed_at from current_repository""")
 def repository_current(spark, sf_dir):
     return current(spark, sf_dir).select("repo_id", "org_id", "name", "is_fork", "stargazers_count",
                                          "forks_count", ntz("observed_at"))
 
 
-@query("w2_repository_current_view", _CURRENT + """
+@query("w2_repository_current_view", CURRENT + """
 select repo_id, org_id, name, is_fork, stargazers_count, forks_count, observed_at from current_repository""")
 def repository_current_view(spark, sf_dir):
     return run_query(spark, """
@@ -300,7 +300,7 @@ def portfolio_listing(spark, sf_dir):
     return rows.withColumn("created_at", ntz("created_at")).orderBy("login", "created_at")
 
 
-@query("o2_top_repositories", _CURRENT + """
+@query("o2_top_repositories", CURRENT + """
 select repo_id, name, stargazers_count from current_repository order by stargazers_count desc nulls last, repo_id limit 20""")
 def top_repositories(spark, sf_dir):
     return V.top_repositories(current(spark, sf_dir)).select("repo_id", "name", "stargazers_count")

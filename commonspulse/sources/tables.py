@@ -85,3 +85,20 @@ def merge_into(spark: SparkSession, path: str, schema: str, incoming: DataFrame,
     whole = spark.read.schema(f"{schema}, {BUCKET} int").parquet(aside)
     whole.repartition(F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
     return hit
+
+
+def write_copartitioned(frames: Mapping[str, DataFrame], root: str, key: str, buckets: int) -> dict[str, DataFrame]:
+    """Tables bucketed and sorted by one key, so that grouping and joining them by it needs no shuffle.
+
+    Written once below ``root``, which all executors share, and entered in the catalog under their names, where they
+    replace entries of that name (the files of those stay).  ``buckets`` is the number of tasks such a join has; take it
+    so that a bucket fits an executor.  A key with very many rows still is one bucket: count such facts before joining.
+    """
+    tables = {}
+    for name, frame in frames.items():
+        spark = frame.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        frame.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite").option(
+            "path", os.path.join(root, name)).saveAsTable(f"`{name}`")
+        tables[name] = spark.table(f"`{name}`")
+    return tables

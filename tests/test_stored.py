@@ -162,3 +162,23 @@ def test_merge_with_repeated_keys_and_stored_first(spark, table):
     tables.merge_into(spark, path, SCHEMA, incoming, ["key"], 16, order=["moment"])
     found = {r["key"]: (r["name"], r["note"]) for r in tables.read_bucketed(spark, path, SCHEMA).collect()}
     assert found[3] == ("late", "old") and found[2000] == ("b", None) and len(found) == 201
+
+
+def test_copartitioned_tables_join_without_exchange(spark, rows, tmp_path):
+    from commonspulse.operators import views
+
+    repositories = spark.range(500).select(F.col("id").alias("repo_id"), F.concat(F.lit("r"), "id").alias("name"))
+    snapshots = spark.range(2000).select(
+        (F.col("id") % 400).alias("repo_id"), F.timestamp_seconds("id").alias("observed_at"), F.col("id").cast("int").alias("stargazers_count"))
+    plain = sorted(map(tuple, views.repository_current(repositories, snapshots).collect()))
+    stored = tables.write_copartitioned({"co_repository": repositories, "co_snapshot": snapshots}, str(tmp_path), "repo_id", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = views.repository_current(stored["co_repository"], stored["co_snapshot"])
+        assert sorted(map(tuple, joined.collect())) == plain
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan and "Bucketed: true" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    again = tables.write_copartitioned({"co_repository": repositories.limit(3)}, str(tmp_path / "again"), "repo_id", 2)
+    assert again["co_repository"].count() == 3
