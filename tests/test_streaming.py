@@ -1,6 +1,7 @@
 """Streams give what the batch gives, also when batches repeat."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -29,7 +30,10 @@ def root(tmp_path):
     folder.mkdir()
     for hour in range(6):
         at = START + timedelta(hours=hour)
-        (folder / f"{at:%Y-%m-%d}-{at.hour}.json").write_text("\n".join(line(i, hour) for i in range(hour * 6, hour * 6 + 8)))
+        path = folder / f"{at:%Y-%m-%d}-{at.hour}.json"
+        path.write_text("\n".join(line(i, hour) for i in range(hour * 6, hour * 6 + 8)))
+        # Files land hour by hour: a stream takes them in the order of their times.
+        os.utime(path, (at.timestamp(), at.timestamp()))
     return str(folder)
 
 
