@@ -1,4 +1,4 @@
-"""Snapshots before cutoffs, coverage of the archive, many targets, undecodable lines, co-partitioned tables."""
+"""Snapshots before cutoffs, coverage of the archive, many targets, undecodable lines, co-partitioned and typed tables."""
 
 from __future__ import annotations
 
@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from commonspulse import constants as C
 from commonspulse.catalog.adapter import archive_events, archive_landing, base, cte, ntz, once, raw_events, view
-from commonspulse.catalog.panel_queries import TARGETED
+from commonspulse.catalog.panel_queries import TARGET_PANEL, TARGETED
 from commonspulse.catalog.registry import query
 from commonspulse.catalog.view_queries import CURRENT
-from commonspulse.operators import coverage, history, panels, projections, views
+from commonspulse.operators import coverage, filters, history, panels, projections, views
 from commonspulse.sources import archive, tables
 
 # Cutoffs at the time of a snapshot, within a day, and before all snapshots.
@@ -90,6 +90,36 @@ def targeted_events_of_many(spark, sf_dir) -> DataFrame:
     return panels.targeted_events_of_many(typed, view(spark, sf_dir, "target"), megabytes=1)
 
 
+@query("f3_any_organization_of_many", cte("archive_event") + """, login as (
+  select 'acme-' || cast(s_suppkey as varchar) as login from supplier
+)
+select event_id, archive_hour, repo_name, org_login from archive_event
+where (contains(repo_name, '/') and split_part(lower(repo_name), '/', 1) in (select login from login))
+  or lower(org_login) in (select login from login)""")
+def any_organization_of_many(spark, sf_dir) -> DataFrame:
+    logins = base(spark, sf_dir, "supplier").select(F.concat(F.lit("Acme-"), F.col("s_suppkey")).alias("login"))
+    rows = filters.of_any_organization_of_many(archive_events(spark, sf_dir), logins, megabytes=1)
+    return rows.select(F.col("id").alias("event_id"), ntz("archive_hour"), F.col("repo.name").alias("repo_name"),
+                       F.col("org.login").alias("org_login"))
+
+
+def typed_months(spark, sf_dir) -> DataFrame:
+    """Typed events written by month once, and read back."""
+    path = once(spark, sf_dir, "typed-months", lambda path: archive.write_typed_months(
+        projections.typed_events(raw_events(spark, sf_dir)), path))
+    return archive.scan_typed_months(spark, path)
+
+
+@query("a2_panel_of_typed_months", TARGET_PANEL + "select * from panel")
+def panel_of_typed_months(spark, sf_dir) -> DataFrame:
+    return panels.typed_target_panel(typed_months(spark, sf_dir), view(spark, sf_dir, "target"))
+
+
+@query("f5_targeted_of_typed_months", TARGETED)
+def targeted_of_typed_months(spark, sf_dir) -> DataFrame:
+    return panels.targeted_events(typed_months(spark, sf_dir), view(spark, sf_dir, "target"))
+
+
 @query("s1_line_ledger", cte("archive_event") + """
 select archive_hour, cast(sum(case when type = 'WatchEvent' then 2 else 1 end) as bigint) as lines,
   count(*) filter (where type = 'WatchEvent') as dropped

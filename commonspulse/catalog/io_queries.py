@@ -197,6 +197,22 @@ def target_files(spark, sf_dir):
     return rows.select("organization_id", "historical_login", F.size("monthly").cast("bigint").alias("months"), "totals.*")
 
 
+@query("k5_target_file_months", TARGET_DENSE + f"""
+select cast(organization_id as varchar) || '.json' as file, organization_id, historical_login,
+  '1995-01' as period_start, '2001-12' as period_end, true as public_activity_only, false as persistent_database_created,
+  strftime(month, '%Y-%m') as month, {', '.join(C.TARGET_PANEL_METRICS)}
+from dense join target using (organization_id)""")
+def target_file_months(spark, sf_dir):
+    """Every month of every file with all its metrics."""
+    month = "month: string, " + ", ".join(f"{m}: bigint" for m in C.TARGET_PANEL_METRICS)
+    schema = ("organization_id bigint, historical_login string, period struct<start: string, end: string>, "
+              f"coverage struct<public_activity_only: boolean, persistent_database_created: boolean>, monthly array<struct<{month}>>")
+    rows = spark.read.schema(schema).option("multiLine", True).json(_target_export(spark, sf_dir) + "/[0-9]*.json")
+    return rows.select(
+        F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1).alias("file"), "organization_id", "historical_login",
+        F.col("period.start").alias("period_start"), F.col("period.end").alias("period_end"), "coverage.*", F.inline("monthly"))
+
+
 @query("k6_panel_csv", TARGET_DENSE + f"""
 select organization_id, historical_login, strftime(month, '%Y-%m') as month, {', '.join(C.TARGET_PANEL_METRICS)}
 from dense join target using (organization_id)""")

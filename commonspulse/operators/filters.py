@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from commonspulse import constants as C
 from commonspulse.functions.expressions import phrase_screen
+from commonspulse.operators import bloom
 from commonspulse.sources.months import month_bounds
 
 
@@ -68,6 +69,19 @@ def of_any_organization(events: DataFrame, logins: DataFrame) -> DataFrame:
     )
 
 
+def of_any_organization_of_many(events: DataFrame, logins: DataFrame, megabytes: float = 8) -> DataFrame:
+    """The same rows for more logins than can be sent to every task.
+
+    A Bloom filter of at most ``megabytes`` is tested on owner and tag first, so
+    the joins shuffle next to nothing but events that match.
+    """
+    wanted = logins.select(F.lower("login").alias("login"))
+    words = bloom.bloom_words(wanted, "login", megabytes)
+    owner, tag = _owner_and_tag()
+    near = bloom.might_hold(words, owner, megabytes) | bloom.might_hold(words, tag, megabytes)
+    return of_any_organization(events.where(near), wanted)
+
+
 def in_window(rows: DataFrame, since: Column | datetime | None, until: Column | datetime | None,
               column: str = "created_at") -> DataFrame:
     """Drop rows before ``since`` or after ``until``; both bounds and null times stay."""

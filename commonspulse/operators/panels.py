@@ -22,13 +22,17 @@ from commonspulse.operators.filters import login_panel_types, months_between, wi
 from commonspulse.sources.months import month_bounds
 
 
-def _counted(rows: DataFrame, keys: Sequence[str], counts: dict[str, Column],
-             distinct: dict[str, str], order: Sequence[str]) -> DataFrame:
-    """Aggregates per key, and how many different non-null values each ``distinct`` column has."""
+def _counted(rows: DataFrame, keys: Sequence[str], counts: dict[str, Column], distinct: dict[str, str],
+             order: Sequence[str], held: DataFrame | None = None) -> DataFrame:
+    """Aggregates per key, and how many different non-null values each ``distinct`` column has.
+
+    ``held`` are narrower rows that hold all the values of the ``distinct``
+    columns, where ``rows`` would need more to be read.
+    """
     added = rows.groupBy(*keys).agg(*[value.alias(name) for name, value in counts.items()])
     names = list(distinct)
     ids = F.array(*[F.struct(F.lit(n).alias("slot"), F.col(distinct[n]).alias("id")) for n in names])
-    different = rows.select(*keys, F.inline(ids)).where(F.col("id").isNotNull()).distinct()
+    different = (rows if held is None else held).select(*keys, F.inline(ids)).where(F.col("id").isNotNull()).distinct()
     counted = different.groupBy(*keys).agg(*[F.count_if(F.col("slot") == n).alias(n) for n in names])
     counted = counted.select(*[F.col(k).alias(f"_{k}") for k in keys], *names)
     same = [added[k].eqNullSafe(counted[f"_{k}"]) for k in keys]  # a null month is a group like any other
@@ -126,49 +130,60 @@ def target_month_panel(events: DataFrame, targets: DataFrame | None = None) -> D
     ``targets`` limits the panel to its ids, before the aggregation; Spark
     chooses how to join them from their size.
     """
-    attributed = attribute_forks(_slim_events(events))
-    if targets is None:
-        return _target_metrics(attributed)
-    return _target_metrics(of_targets(attributed, targets))
+    return typed_target_panel(_panel_columns(events), targets)
+
+
+def typed_target_panel(typed: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """The same panel from typed events, such as those of the typed month table.
+
+    Only what an organization did itself has repositories and actors to tell
+    apart, so the distinct counts leave fork destinations alone: in a panel of
+    raw events their pass reads no payload.
+    """
+    attributed = attribute_forks(typed)
+    held = typed.where(F.col("event_org_id").isNotNull()).select(
+        F.col("event_org_id").alias("organization_id"), "month", "repo_id", "actor_id")
+    if targets is not None:
+        attributed, held = of_targets(attributed, targets), of_targets(held, targets)
+    return _target_metrics(attributed, held)
 
 
-def _slim_events(events: DataFrame) -> DataFrame:
-    """What the target panel needs of an event, with few JSON paths per event type."""
+def _panel_columns(events: DataFrame) -> DataFrame:
+    """The typed columns the target panel needs, with at most one JSON path for most event types."""
     kind, payload = F.col("type"), F.col("payload")
 
     def at(path: str, *kinds: str) -> Column:
         return F.when(kind.isin(*kinds), F.get_json_object(payload, path))
 
-    detail = F.coalesce(
-        at("$.ref_type", "CreateEvent"),
-        at("$.action", "IssuesEvent", "IssueCommentEvent", "PullRequestEvent", "WatchEvent", "ReleaseEvent"),
-    )
     found = events.select(
-        kind.alias("kind"), "payload", "created_at", "actor", "repo", "org", detail.alias("detail"),
+        kind.alias("event_type"), "payload", "created_at", "actor", "repo", "org",
+        at("$.action", "IssuesEvent", "IssueCommentEvent", "PullRequestEvent", "WatchEvent", "ReleaseEvent").alias("event_action"),
+        at("$.ref_type", "CreateEvent").alias("ref_type"),
         at("$.pull_request.merged", "PullRequestEvent").alias("merged"),
         at("$.forkee.owner.id", "ForkEvent").alias("owner"),
         at("$.size", "PushEvent").alias("size"),
     )
     return found.select(
-        "kind", "detail",
+        "event_type", "event_action", "ref_type",
         F.col("actor.id").alias("actor_id"),
         F.col("repo.id").alias("repo_id"),
         as_bigint(F.col("org.id")).alias("event_org_id"),
         as_bigint(scalar_text(F.col("owner"))).alias("fork_destination_org_id"),
-        push_size(F.col("kind"), scalar_text(F.col("size")), F.col("payload")).alias("commits"),
-        (F.lower("merged") == "true").alias("merged"),
+        push_size(F.col("event_type"), scalar_text(F.col("size")), F.col("payload")).alias("commits_in_push"),
+        F.lower("merged").alias("pull_request_merged"),
         month_of(F.col("created_at")).alias("month"),
     )
 
 
-def _target_metrics(attributed: DataFrame) -> DataFrame:
+def _target_metrics(attributed: DataFrame, held: DataFrame) -> DataFrame:
     own = F.col("attribution_type") == C.ROLE_ACTIVITY
     # A fork destination contributes nothing but the fork itself.
     rows = attributed.select(
         "organization_id", "month", own.alias("own"),
-        *[F.when(own, F.col(c)).alias(c) for c in ("kind", "detail", "commits", "merged", "repo_id", "actor_id")],
+        *[F.when(own, F.col(c)).alias(c) for c in ("event_type", "event_action", "ref_type", "commits_in_push", "pull_request_merged")],
     )
-    kind, detail = F.col("kind"), F.col("detail")
+    kind = F.col("event_type")
+    detail = F.when(kind == "CreateEvent", F.col("ref_type")).otherwise(F.col("event_action"))
 
     def seen(event: str, value: str | None = None) -> Column:
         hit = kind == event
@@ -177,20 +192,20 @@ def _target_metrics(attributed: DataFrame) -> DataFrame:
     return _counted(rows, ["organization_id", "month"], {
         "public_events": F.count_if("own"),
         "push_events": seen("PushEvent"),
-        "commits_in_pushes": F.coalesce(F.sum("commits"), F.lit(0)),
+        "commits_in_pushes": F.coalesce(F.sum("commits_in_push"), F.lit(0)),
         "issues_opened": seen("IssuesEvent", "opened"),
         "issues_closed": seen("IssuesEvent", "closed"),
         "issue_comments_created": seen("IssueCommentEvent", "created"),
         "pull_requests_opened": seen("PullRequestEvent", "opened"),
         "pull_requests_closed": seen("PullRequestEvent", "closed"),
         "pull_requests_merged": F.count_if(
-            (kind == "PullRequestEvent") & (detail == "closed") & F.col("merged")),
+            (kind == "PullRequestEvent") & (detail == "closed") & (F.col("pull_request_merged") == "true")),
         "original_repositories_created": seen("CreateEvent", "repository"),
         "forked_repositories_created": F.count_if(~F.col("own")),
         "forks_received": seen("ForkEvent"),
         "stars_received": seen("WatchEvent", "started"),
         "releases_published": seen("ReleaseEvent", "published"),
-    }, {"active_repositories": "repo_id", "distinct_actors": "actor_id"}, C.TARGET_PANEL_METRICS)
+    }, {"active_repositories": "repo_id", "distinct_actors": "actor_id"}, C.TARGET_PANEL_METRICS, held)
 
 
 def months_seen(observed: DataFrame, keys: Sequence[str], metrics: Sequence[str],

@@ -145,3 +145,25 @@ def scan_months(spark: SparkSession, path: str, start: str | date, end: str | da
     return spark.read.parquet(path).where(
         F.col("event_month").between(month_key(first), month_key(last))
     )
+
+
+def write_typed_months(typed: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Typed events as Parquet, one partition per month: the JSON was parsed once, panels read these columns only.
+
+    ``mode="overwrite"`` with ``spark.sql.sources.partitionOverwriteMode`` as
+    dynamic renews only the months that ``typed`` has.  Events without time
+    are a partition of their own.
+    """
+    rows = typed.withColumn("event_month", F.date_format("month", "yyyyMM").cast("int"))
+    rows.hint("rebalance", F.col("event_month")).write.mode(mode).partitionBy("event_month").parquet(path)
+
+
+def scan_typed_months(spark: SparkSession, path: str, start: str | date | None = None, end: str | date | None = None) -> DataFrame:
+    """Typed events, of all months or of those between two, both included; other partitions are not read."""
+    rows = spark.read.parquet(path)
+    if start is not None and end is not None:
+        first, last = month_bounds(start, end)
+        rows = rows.where(F.col("event_month").between(month_key(first), month_key(last)))
+    elif start is not None or end is not None:
+        raise ValueError("Both months are needed, or none")
+    return rows.drop("event_month")

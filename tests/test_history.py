@@ -101,3 +101,27 @@ def test_ledger_counts_lines_and_what_is_dropped(spark, tmp_path):
         (datetime(2022, 3, 1, 5), 4, 2), (datetime(2022, 3, 1, 14), 1, 0)}
     events, seen = archive.read_archive_counted(spark, str(tmp_path))
     assert events.count() == 3 and seen.get == {"lines": 5, "dropped": 2}
+
+
+def test_many_logins_are_filtered_below_the_joins(spark, rows):
+    from commonspulse.operators import filters
+
+    chance = random.Random(11)
+    names = ["Elm/a", "elm/b", "oak/c", "noslash", None, "/x"]
+    events = rows("id bigint, repo struct<id: bigint, name: string>, org struct<id: string, login: string>, payload string",
+                  *[(i, (i, chance.choice(names)), chance.choice([None, ("1", "ELM"), ("2", "ash"), ("3", ""), ("4", None)]), "{}") for i in range(300)])
+    logins = rows("login string", ("eLm",), ("ASH",), ("ash",), (None,), ("none",))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = filters.of_any_organization_of_many(events, logins, 0.01)
+        plain = filters.of_any_organization(events, logins)
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert found.columns == events.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+        assert 0 < found.count() < 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    tested = next(i for i, line in enumerate(lines) if "Filter" in line and "getbit" in line)
+    assert any("Exchange" in line for line in lines[:tested])
+    assert filters.of_any_organization_of_many(events, logins.limit(0), 0.01).count() == 0

@@ -11,6 +11,7 @@ from commonspulse import schemas
 from commonspulse.functions import expressions as X
 from commonspulse.operators import panels, projections
 from commonspulse.plans import documents
+from commonspulse.sources import archive
 
 
 def event(id, type, payload, org=(1, "Acme"), repo=10, actor=5, at=datetime(2020, 2, 3)):
@@ -178,3 +179,52 @@ def test_hot_organization_equals_brute_force(rows):
 def test_panel_plan_combines_before_the_shuffle(events):
     plan = panels.login_month_panel(events)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "Expand" not in plan and "Window" not in plan
+
+
+def test_target_panel_reads_the_payload_once(spark, events, rows, tmp_path):
+    events.write.parquet(str(tmp_path / "raw"))
+    targets = rows("organization_id bigint", (1,), (2,))
+    panel = panels.target_month_panel(spark.read.parquet(str(tmp_path / "raw")), targets)
+    plan = panel._jdf.queryExecution().executedPlan().toString()
+    read = [part.split("\n")[0] for part in plan.split("ReadSchema: ")[1:]]
+    assert len(read) == 2 and sum("payload" in part for part in read) == 1
+    assert sorted(map(tuple, panel.collect())) == sorted(map(tuple, panels.target_month_panel(events, targets).collect()))
+
+
+def test_typed_months_give_the_panel_of_the_raw_events(spark, events, rows, tmp_path):
+    many = events.unionByName(events.where("id in ('1', '8', '9')").withColumn("created_at", F.lit(None).cast("timestamp")))
+    targets = rows("organization_id bigint", (1,), (2,), (9,))
+    typed = projections.typed_events(many)
+    path = str(tmp_path / "typed")
+    archive.write_typed_months(typed, path)
+    stored = archive.scan_typed_months(spark, path)
+    assert stored.columns == typed.columns
+    assert sorted(map(str, stored.collect())) == sorted(map(str, typed.collect()))
+    for chosen in (targets, None):
+        expected = sorted(map(str, panels.target_month_panel(many, chosen).collect()))
+        panel = panels.typed_target_panel(stored, chosen)
+        assert sorted(map(str, panel.collect())) == expected and len(expected) >= 3
+        assert "get_json_object" not in panel._jdf.queryExecution().executedPlan().toString()
+    march = archive.scan_typed_months(spark, path, "2020-03", "2020-03")
+    assert {r["month"] for r in march.collect()} == {date(2020, 3, 1)}
+    assert "PartitionFilters: [isnotnull(event_month" in march._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        archive.scan_typed_months(spark, path, "2020-03")
+
+
+def test_a_month_of_the_typed_table_is_renewed_alone(spark, events, tmp_path):
+    typed, path = projections.typed_events(events), str(tmp_path / "typed")
+    archive.write_typed_months(typed, path)
+    february = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "typed").glob("event_month=202002/*.parquet")}
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        archive.write_typed_months(typed.where("event_id = '13'").withColumn("event_id", F.lit("renewed")), path)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert {str(f): f.stat().st_mtime_ns for f in (tmp_path / "typed").glob("event_month=202002/*.parquet")} == february
+    assert [r["event_id"] for r in archive.scan_typed_months(spark, path, "2020-03", "2020-03").collect()] == ["renewed"]
+
+
+def test_typed_panel_of_no_events(spark, events, rows):
+    none = projections.typed_events(events.limit(0))
+    assert panels.typed_target_panel(none, rows("organization_id bigint", (1,))).count() == 0
