@@ -1,9 +1,12 @@
 """Byte-level BPE by public ranks: each distinct word of the corpus is encoded once, ids are joined back by position.
 
 Words are cut in the tasks that read the texts and numbered within blocks of bounded size.  A block's positions stay in
-one packed row; its distinct words go, packed by word hash, to the task that owns the hash.  There every distinct word is
-encoded once; its ids return to the blocks, and each block puts its texts together by position.  Decoding joins the
-table of token bytes.
+one packed row; its distinct words go, packed by word hash, to the bucket that owns the hash.  A task goes through its
+buckets one after the other, all blocks' words of a bucket in a row, and encodes every distinct word of the corpus once; the
+ids return to the blocks, and each block puts its texts together by position.  Decoding joins the table of token bytes.
+
+What a task remembers are the distinct words of one bucket.  Distinct words grow about as the root of a text does, and so
+does the number of buckets (``BUCKET_CHARS``); a block sends one row a bucket.
 
 Defined cases: a null text counts as empty; an empty text has no ids; repeated rows and null or repeated ``doc_id`` are
 encoded each for itself; further columns are left out; an empty table gives an empty table.
@@ -12,6 +15,7 @@ encoded each for itself; further columns are left out; an empty table gives an e
 from __future__ import annotations
 
 import base64
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 from commonspulse.llm.common import lists_of, pieces, read, saved
 
 BLOCK_WORDS = 2 << 20  # words of a block; more only if one text has more
-MEMO_WORDS = 1 << 17  # words a task remembers at once; beyond, a word may be encoded again
+BUCKET_CHARS = 1 << 9  # the root of all characters over this is the number of buckets, if more than the shuffle's partitions
 NARROW = 192  # packed numbers below take one byte
 WIDE = NARROW + ((255 - NARROW) << 8)  # and below this one two
 _LISTS = pa.list_(pa.int32())
@@ -128,13 +132,17 @@ def _cut(pattern: str, buckets: int, block_words: int) -> Callable[[Iterator[pa.
 
 
 def _encode_words(path: str, pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Number of ids and ids of each word of a (block, bucket)."""
+    """Number of ids and ids of each word of a (block, bucket), rows in order of bucket: a bucket's words are encoded once."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks(path)
         coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
         known: dict[str, tuple[int, ...]] = {}
+        current = None
         for batch in batches:
             for row in range(batch.num_rows):
+                bucket = batch.column("bucket")[row].as_py()
+                if bucket != current:
+                    current, known = bucket, {}
                 found = []
                 for word in _unpack_words(batch.column("data")[row].as_py()):
                     ids = known.get(word)
@@ -148,8 +156,6 @@ def _encode_words(path: str, pattern: str) -> Callable[[Iterator[pa.RecordBatch]
                     batch.column("block").slice(row, 1), batch.column("bucket").slice(row, 1),
                     pa.array([_pack(sizes)], pa.binary()), pa.array([_pack(flat)], pa.binary()),
                 ], ["block", "bucket", "sizes", "ids"])
-                if len(known) > MEMO_WORDS:
-                    known = {}
 
     return encode
 
@@ -184,11 +190,13 @@ def _assemble(block: pa.Table, coded: pa.Table) -> pa.Table:
 def encode(docs: DataFrame, path: str, pattern: str, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id`` and ``ids`` of every whole text, as the rank file's library gives them without special tokens."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chars = docs.agg(F.sum(F.length(F.col("text").cast("string"))).alias("n")).first()["n"] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.isqrt(chars) // BUCKET_CHARS)
     cut = saved(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         _cut(pattern, buckets, block_words),
         "block long, bucket int, docs array<long>, counts array<int>, buckets binary, data binary"), "bpe-blocks")
-    coded = (cut.filter("bucket is not null").select("block", "bucket", "data").repartition(buckets, "bucket")
+    coded = (cut.filter("bucket is not null").select("block", "bucket", "data")
+             .repartition(buckets, "bucket").sortWithinPartitions("bucket")
              .mapInArrow(_encode_words(path, pattern), "block long, bucket int, sizes binary, ids binary"))
     return (cut.filter("bucket is null").select("block", "docs", "counts", "buckets", "data").groupBy("block")
             .cogroup(coded.groupBy("block")).applyInArrow(_assemble, "doc_id long, ids array<int>"))

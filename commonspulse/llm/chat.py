@@ -19,7 +19,8 @@ from commonspulse.llm.common import read
 
 OPEN, AFTER, CLOSE = "<|", "|>\n", "<|end|>\n"  # around role and text of a turn
 TRAINED = "assistant"
-RANGES = 64  # of ids, each in order by itself
+RANGE_IDS = 1 << 20  # ids of a range, about; each range is put in order by itself
+LEAST_RANGES, STEP = 64, 128  # ranges of a small table; cuts looked at before the finer ones
 _SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -71,20 +72,35 @@ def preferences(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
         mask(rest("chosen")).alias("chosen_mask"), mask(rest("rejected")).alias("rejected_mask"))
 
 
+def _range_of(value: Column, cuts: list[int]) -> Column:
+    """How many of the ordered cuts are at most ``value``: every ``STEP``-th is looked at, then those up to the next."""
+    if not cuts:
+        return F.lit(0)
+
+    def passed(numbers: Column) -> Column:
+        return F.size(F.filter(numbers, lambda c: c <= value))
+
+    def numbers(values: list[int]) -> Column:
+        return F.array(*(F.lit(c).cast("long") for c in values))
+
+    if len(cuts) <= STEP:
+        return passed(numbers(cuts))
+    coarse = passed(numbers(cuts[::STEP]))
+    finer = F.array(*(numbers(cuts[k:k + STEP]) for k in range(0, len(cuts), STEP)))
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * STEP + passed(F.get(finer, coarse - 1)))
+
+
 def followers(ids: DataFrame) -> DataFrame:
     """(pair_id, next): each of the distinct ids with the one after it in order; the last has none.
 
-    Ids are dealt into ranges at percentiles, so no task holds them all; the last of a range takes the least id of the
-    ranges after it, of which there are ``RANGES`` at most.
+    Ids are dealt into ranges of about ``RANGE_IDS`` at percentiles, so no task holds them all; the last of a range takes
+    the least id of the next range that has any, found in one row a range.
     """
-    cuts = ids.agg(F.percentile_approx("pair_id", F.array(*(F.lit(k / RANGES) for k in range(1, RANGES))), F.lit(10 * RANGES))).first()[0]
-    at = F.lit(0)
-    if cuts:
-        at = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c <= F.col("pair_id")))
-    placed = ids.withColumn("range", at)
+    ranges = max(LEAST_RANGES, -(-ids.count() // RANGE_IDS))
+    cuts = ids.agg(F.percentile_approx("pair_id", F.array(*(F.lit(k / ranges) for k in range(1, ranges))), F.lit(10 * ranges))).first()[0]
+    placed = ids.withColumn("range", _range_of(F.col("pair_id"), sorted(set(cuts or []))))
     least = placed.groupBy("range").agg(F.min("pair_id").alias("least"))
-    after = least.filter("range > 0").select(F.explode(F.sequence(F.lit(0), F.col("range") - 1)).alias("range"), "least").groupBy("range").agg(
-        F.min("least").alias("after"))
+    after = least.select("range", F.lead("least").over(Window.partitionBy(F.lit(0)).orderBy("range")).alias("after"))
     inner = placed.withColumn("inner", F.lead("pair_id").over(Window.partitionBy("range").orderBy("pair_id")))
     return inner.join(after, "range", "left").select("pair_id", F.coalesce("inner", "after").alias("next")).filter("next is not null")
 

@@ -11,7 +11,7 @@ from checking import connect
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from commonspulse.llm import chat, contamination, huffman, lines, near_duplicates
+from commonspulse.llm import bpe, chat, contamination, huffman, lines, near_duplicates
 from commonspulse.session import scratch_dir
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -171,3 +171,52 @@ def test_many_copies_of_one_text_and_rows_without_words(spark):
     told = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in found if r["doc_id"] is not None}
     assert all(told[k] == (4, 0, k == 0) for k, _ in copies) and all(told[k] == (0, k, True) for k, _ in empty)
     assert sorted((r["n_shingles"], r["component_id"], r["kept"]) for r in found if r["doc_id"] is None) == [(0, None, True), (4, None, True)]
+
+
+def test_range_of_counts_the_cuts(spark):
+    for cuts in ([], [5], list(range(-40, 60, 3)), list(range(0, 9000, 7))):
+        values = [-100, -40, -39, 0, 1, 5, 6, 7, 8, 895, 896, 897, 903, 8000, 9000, 1 << 40]
+        found = spark.createDataFrame([(v,) for v in values], "v long").select("v", chat._range_of(F.col("v"), cuts).alias("n")).collect()
+        assert {r["v"]: r["n"] for r in found} == {v: sum(c <= v for c in cuts) for v in values}
+
+
+def test_each_distinct_word_is_encoded_once(monkeypatch):
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = []
+    library = bpe.tiktoken.Encoding
+
+    class Counting:
+        def __init__(self, *given, **named):
+            self.coder = library(*given, **named)
+
+        def encode_ordinary(self, word):
+            encoded.append(word)
+            return self.coder.encode_ordinary(word)
+
+    monkeypatch.setattr(bpe.tiktoken, "Encoding", Counting)
+    texts = [f"zqx{'abcdefghi'[k % 9]} wvut{'qrst'[k % 4]}q the" for k in range(60)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": texts})
+
+    class Task:
+        @staticmethod
+        def get():
+            return Task
+
+        @staticmethod
+        def partitionId():
+            return 0
+
+    monkeypatch.setattr(bpe, "TaskContext", Task)
+    blocks = pa.Table.from_batches(list(bpe._cut(pattern, 5, 30)(iter([batch]))))
+    assert len(set(blocks["block"].to_pylist())) > 3
+    ordered = blocks.filter(pa.compute.is_valid(blocks["bucket"])).sort_by("bucket").select(["block", "bucket", "data"])
+    rows = pa.Table.from_batches(list(bpe._encode_words(path, pattern)(iter(ordered.to_batches(max_chunksize=2)))))
+    assert rows.num_rows == ordered.num_rows
+    assert len(encoded) == len(set(encoded)) >= 13
+
+
+def test_encode_sorts_by_bucket(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, "two one three")], "doc_id long, text string")
+    coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [bucket" in plan
