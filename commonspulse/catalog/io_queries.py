@@ -117,7 +117,8 @@ select org_id, login, name, description, public_repos, created_at, collected_at
 where type = 'Organization' qualify row_number() over (partition by org_id order by collected_at desc) = 1""")
 def table_scan(spark, sf_dir):
     def write(path: str) -> None:
-        objects = landing_load.read_landing(spark, landing_folder(spark, sf_dir))["organization"]
+        kinds = ("organization",)
+        objects = landing_load.read_landing(spark, landing_folder(spark, sf_dir, kinds), kinds)["organization"]
         rows = projections.organization_rows(objects.where("o.type = 'Organization'"))
         tables.write_tables({"organization": last_per_key(rows, ["org_id"], ["collected_at"])}, path)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,14 +100,18 @@ def all_landed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {kind: landed(spark, sf_dir, kind) for kind in schemas.API_OBJECTS}
 
 
-def landing_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The same objects as JSON lines, one folder per kind."""
-    def write(path: str) -> None:
-        for kind in OBJECTS:
-            rows = landed_text(spark, sf_dir, kind)
-            plain = F.to_json(F.struct("target_login", "repo_id", "observed_at"))
-            text = F.concat(F.expr("substring(plain, 1, length(plain) - 1)"), F.lit(',"object":'),
-                            F.coalesce("object", F.lit("null")), F.lit("}"))
-            rows.withColumn("plain", plain).select(text.alias("value")).write.text(f"{path}/{kind}")
+def landing_folder(spark: SparkSession, sf_dir: str, kinds: Iterable[str] = tuple(OBJECTS)) -> str:
+    """The same objects as JSON lines, one folder per kind; a kind lands when it is first asked for."""
+    root = once(spark, sf_dir, "api-landing", lambda path: None)
+
+    def write(kind: str) -> None:
+        rows = landed_text(spark, sf_dir, kind)
+        plain = F.to_json(F.struct("target_login", "repo_id", "observed_at"))
+        text = F.concat(F.expr("substring(plain, 1, length(plain) - 1)"), F.lit(',"object":'),
+                        F.coalesce("object", F.lit("null")), F.lit("}"))
+        lines = rows.withColumn("plain", plain).select(text.alias("value"))
+        lines.write.mode("overwrite").text(f"{root}/{kind}")
 
-    return once(spark, sf_dir, "api-landing", write)
+    for kind in kinds:
+        once(spark, sf_dir, f"api-landing-{kind}", lambda _, kind=kind: write(kind))
+    return root

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +20,9 @@ SETUP_ENCODING = "base64"
 TARGETS = "login string, repositories array<string>, since timestamp"
 
 
-def read_landing(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The landed folders, one per object kind."""
-    return {kind: read_api_json(spark, kind, f"{root}/{kind}") for kind in schemas.API_OBJECTS}
+def read_landing(spark: SparkSession, root: str, kinds: Iterable[str] = tuple(schemas.API_OBJECTS)) -> dict[str, DataFrame]:
+    """The landed folders, one per object kind; those of other kinds need not be there."""
+    return {kind: read_api_json(spark, kind, f"{root}/{kind}") for kind in kinds}
 
 
 def setup_files(landed: DataFrame) -> DataFrame:

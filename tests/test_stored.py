@@ -7,7 +7,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from commonspulse.catalog import adapter, landing
 from commonspulse.operators import merge, panels
+from commonspulse.plans import landing_load
 from commonspulse.sources import archive, tables
 from commonspulse.streaming import dedup, ingest, panel
 
@@ -182,3 +184,20 @@ def test_copartitioned_tables_join_without_exchange(spark, rows, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     again = tables.write_copartitioned({"co_repository": repositories.limit(3)}, str(tmp_path / "again"), "repo_id", 2)
     assert again["co_repository"].count() == 3
+
+
+def test_a_kind_lands_when_asked_for(spark, tmp_path):
+    """Only what is read lands; other kinds land later beside it."""
+    schema = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    spark.createDataFrame([(1, "a", 2, 9000.0, "m"), (2, None, None, -1.0, None), (2, "b", 3, None, "x")], schema).coalesce(1).write.parquet(
+        str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(5, "n", "b", "t", 10, 1.0), (6, "n", "b", "t", 11, 1.0)], adapter.BASE_TABLES["part"]).write.parquet(str(tmp_path / "part.parquet"))
+    root = landing.landing_folder(spark, str(tmp_path), ("organization",))
+    assert sorted(os.listdir(root)) == ["organization"]
+    read = landing_load.read_landing(spark, root, ("organization",))
+    assert list(read) == ["organization"]
+    columns = ["target_login", "repo_id", "observed_at", "o"]
+    assert sorted(map(str, read["organization"].select(columns).collect())) == sorted(
+        map(str, landing.landed(spark, str(tmp_path), "organization").select(columns).collect()))
+    assert landing.landing_folder(spark, str(tmp_path), ("organization", "setup")) == root
+    assert sorted(os.listdir(root)) == ["organization", "setup"]
