@@ -100,8 +100,12 @@ def all_landed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {kind: landed(spark, sf_dir, kind) for kind in schemas.API_OBJECTS}
 
 
+# Lines of a landed file: a gzip file is read by one task.
+FILE_LINES = 250_000
+
+
 def landing_folder(spark: SparkSession, sf_dir: str, kinds: Iterable[str] = tuple(OBJECTS)) -> str:
-    """The same objects as JSON lines, one folder per kind; a kind lands when it is first asked for."""
+    """The same objects as gzip JSON lines, one folder per kind; a kind lands when it is first asked for."""
     root = once(spark, sf_dir, "api-landing", lambda path: None)
 
     def write(kind: str) -> None:
@@ -110,7 +114,7 @@ def landing_folder(spark: SparkSession, sf_dir: str, kinds: Iterable[str] = tupl
         text = F.concat(F.expr("substring(plain, 1, length(plain) - 1)"), F.lit(',"object":'),
                         F.coalesce("object", F.lit("null")), F.lit("}"))
         lines = rows.withColumn("plain", plain).select(text.alias("value"))
-        lines.write.mode("overwrite").text(f"{root}/{kind}")
+        lines.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).text(f"{root}/{kind}")
 
     for kind in kinds:
         once(spark, sf_dir, f"api-landing-{kind}", lambda _, kind=kind: write(kind))

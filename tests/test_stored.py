@@ -187,13 +187,14 @@ def test_copartitioned_tables_join_without_exchange(spark, rows, tmp_path):
 
 
 def test_a_kind_lands_when_asked_for(spark, tmp_path):
-    """Only what is read lands; other kinds land later beside it."""
+    """Only what is read lands, compressed, in files of a bounded number of lines; other kinds land later beside it."""
     schema = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
     spark.createDataFrame([(1, "a", 2, 9000.0, "m"), (2, None, None, -1.0, None), (2, "b", 3, None, "x")], schema).coalesce(1).write.parquet(
         str(tmp_path / "customer.parquet"))
     spark.createDataFrame([(5, "n", "b", "t", 10, 1.0), (6, "n", "b", "t", 11, 1.0)], adapter.BASE_TABLES["part"]).write.parquet(str(tmp_path / "part.parquet"))
     root = landing.landing_folder(spark, str(tmp_path), ("organization",))
     assert sorted(os.listdir(root)) == ["organization"]
+    assert all(f.endswith(".txt.gz") for f in os.listdir(f"{root}/organization") if f.startswith("part-"))
     read = landing_load.read_landing(spark, root, ("organization",))
     assert list(read) == ["organization"]
     columns = ["target_login", "repo_id", "observed_at", "o"]
