@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commonspulse.session import pin_utc, scratch_dir
+from commonspulse.session import bound_tasks, pin_utc, scratch_dir
 from commonspulse.sources.archive import write_month_table
 
 # Schemas of the given tables, so that opening one reads no file.
@@ -142,6 +142,7 @@ def _shared(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table."""
     pin_utc(spark)
+    bound_tasks(spark)
 
     def opened() -> DataFrame:
         return spark.read.schema(BASE_TABLES[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -4,15 +4,32 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# What a task reads, and what it takes from a shuffle, compressed.  Keys of rows may compress a hundred to one, so at Spark's
+# own 128 and 64 MB one hash table or sort of a task takes gigabytes, however small the shuffle is as a whole.
+TASK_SIZES = {
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.files.openCostInBytes": "512k",  # as many small files a task as before
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
+}
+_SPARKS_OWN = {
+    "spark.sql.files.maxPartitionBytes": "134217728b",
+    "spark.sql.files.openCostInBytes": "4194304b",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "67108864b",
+}
+FILE_SIZE = "64m"  # shuffled bytes of a file of a table that is kept
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    **TASK_SIZES,
 }
 
 
@@ -32,6 +49,26 @@ def pin_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def bound_tasks(spark: SparkSession) -> None:
+    """Sizes of tasks in a session that another program built; a size that was chosen there stays."""
+    for key, size in TASK_SIZES.items():
+        if spark.conf.get(key) == _SPARKS_OWN[key]:
+            spark.conf.set(key, size)
+
+
+@contextmanager
+def whole_files(spark: SparkSession) -> Iterator[None]:
+    """A rebalanced table that is written meanwhile gets files of the usual size; a size that was chosen stays."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    size = spark.conf.get(key)
+    if size == TASK_SIZES[key]:
+        spark.conf.set(key, FILE_SIZE)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, size)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 

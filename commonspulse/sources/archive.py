@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from commonspulse import schemas
+from commonspulse.session import whole_files
 from commonspulse.sources.months import month_bounds, month_key
 
 # Fixed value: date and unpadded hour at the end of an archive path.
@@ -136,7 +137,8 @@ def write_month_table(events: DataFrame, path: str, mode: str = "overwrite") ->
     files as its size needs, and gather quiet months in few.
     """
     rows = with_month(events).hint("rebalance", F.col("event_month"))
-    rows.write.mode(mode).partitionBy("event_month").parquet(path)
+    with whole_files(events.sparkSession):
+        rows.write.mode(mode).partitionBy("event_month").parquet(path)
 
 
 def scan_months(spark: SparkSession, path: str, start: str | date, end: str | date) -> DataFrame:
@@ -155,7 +157,8 @@ def write_typed_months(typed: DataFrame, path: str, mode: str = "overwrite") ->
     are a partition of their own.
     """
     rows = typed.withColumn("event_month", F.date_format("month", "yyyyMM").cast("int"))
-    rows.hint("rebalance", F.col("event_month")).write.mode(mode).partitionBy("event_month").parquet(path)
+    with whole_files(typed.sparkSession):
+        rows.hint("rebalance", F.col("event_month")).write.mode(mode).partitionBy("event_month").parquet(path)
 
 
 def scan_typed_months(spark: SparkSession, path: str, start: str | date | None = None, end: str | date | None = None) -> DataFrame:
