@@ -46,6 +46,11 @@ def login_month_panel(events: DataFrame) -> DataFrame:
     Counts seven event types of events that name an organization.  Event ids
     are not deduplicated here.
     """
+    return login_panel_of_rows(login_panel_rows(events))
+
+
+def login_panel_rows(events: DataFrame) -> DataFrame:
+    """What the panel counts of each event, narrow enough to be stored: the payload is read here and not again."""
     kind, payload = F.col("type"), F.col("payload")
     # One JSON path per event type, so each payload is parsed at most once.
     detail = (
@@ -53,7 +58,7 @@ def login_month_panel(events: DataFrame) -> DataFrame:
         .when(kind.isin("IssuesEvent", "PullRequestEvent", "WatchEvent", "ReleaseEvent"),
               F.get_json_object(payload, "$.action"))
     )
-    rows = with_org_login(login_panel_types(events)).select(
+    return with_org_login(login_panel_types(events)).select(
         F.lower("org.login").alias("org_login"),
         month_of(F.col("created_at")).alias("month"),
         F.col("repo.id").alias("repo_id"),
@@ -62,6 +67,10 @@ def login_month_panel(events: DataFrame) -> DataFrame:
         detail.alias("detail"),
         push_commits(kind, payload).alias("commits"),
     )
+
+
+def login_panel_of_rows(rows: DataFrame) -> DataFrame:
+    """The panel of ``login_panel_rows``."""
     kind, detail = F.col("kind"), F.col("detail")
 
     def seen(event: str, value: str | None = None) -> Column:

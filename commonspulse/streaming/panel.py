@@ -1,8 +1,8 @@
 """Incremental monthly panel.
 
-Distinct counts cannot be kept up to date from a stream alone.  The batch is
-stored by month, and the months it touches are computed again from the stored
-events, which replaces exactly those month partitions of the panel.
+Distinct counts cannot be kept up to date from a stream alone.  What the panel
+counts of each event of the batch is stored by month, and the months it touches
+are computed again from the stored rows, which replaces exactly those month partitions of the panel.
 """
 
 from __future__ import annotations
@@ -10,14 +10,14 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commonspulse import constants as C
-from commonspulse import schemas
 from commonspulse.operators.filters import login_panel_types, with_org_login
-from commonspulse.operators.panels import login_month_panel
-from commonspulse.sources.archive import with_month
+from commonspulse.operators.panels import login_panel_of_rows, login_panel_rows
+from commonspulse.session import whole_files
 
 
 def panel_batch(root: str) -> Callable[[DataFrame, int], None]:
@@ -26,28 +26,28 @@ def panel_batch(root: str) -> Callable[[DataFrame, int], None]:
 
     def run(events: DataFrame, batch: int) -> None:
         spark = events.sparkSession
-        rows = with_month(with_org_login(login_panel_types(events)))
-        columns = ["id", "type", "created_at", "actor", "repo", "org", "payload"]
-        (
-            rows.select(*columns, "event_month").hint("rebalance", F.col("event_month"))
-            .write.mode("overwrite").partitionBy("event_month")
-            .parquet(os.path.join(events_root, f"batch={batch}"))
-        )
-        stored = spark.read.schema(f"{schemas.RAW_EVENT}, batch bigint, event_month int").parquet(events_root)
+        rows = login_panel_rows(events).withColumn("event_month", F.date_format("month", "yyyyMM").cast("int"))
+        with whole_files(spark):
+            (
+                rows.hint("rebalance", F.col("event_month"))
+                .write.mode("overwrite").partitionBy("event_month")
+                .parquet(os.path.join(events_root, f"batch={batch}"))
+            )
+        stored = spark.read.schema(rows.withColumn("batch", F.lit(batch).cast("bigint")).schema).parquet(events_root)
         # At most one value per calendar month.
         touched = [r[0] for r in stored.where(F.col("batch") == batch).select("event_month").distinct().collect()]
         if not touched:
             return
         upto = stored.where(F.col("event_month").isin(touched) & (F.col("batch") <= batch))
         (
-            login_month_panel(upto).write.mode("overwrite").partitionBy("month")
+            login_panel_of_rows(upto).write.mode("overwrite").partitionBy("month")
             .option("partitionOverwriteMode", "dynamic").parquet(panel_root)
         )
 
     return run
 
 
-SLOTS = {"active_repositories": "repo", "distinct_actors": "actor"}
+SLOTS = {"active_repositories": "repo_id", "distinct_actors": "actor_id"}
 
 
 def delta_batch(root: str) -> Callable[[DataFrame, int], None]:
@@ -62,21 +62,22 @@ def delta_batch(root: str) -> Callable[[DataFrame, int], None]:
 
     def run(events: DataFrame, batch: int) -> None:
         spark = events.sparkSession
-        rows = with_org_login(login_panel_types(events)).persist()
+        rows = login_panel_rows(events).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             brought = rows.select(
-                F.lower("org.login").alias("org_login"), F.trunc("created_at", "MM").alias("month"),
-                F.inline(F.array(*[F.struct(F.lit(name).alias("slot"), F.col(f"{field}.id").alias("id")) for name, field in SLOTS.items()])),
+                "org_login", "month",
+                F.inline(F.array(*[F.struct(F.lit(name).alias("slot"), F.col(field).alias("id")) for name, field in SLOTS.items()])),
             ).where("id is not null and month is not null").distinct()
-            months = [r[0] for r in brought.select("month").distinct().collect()]  # one value a calendar month
+            months = [r[0] for r in rows.select("month").where("month is not null").distinct().collect()]  # one value a calendar month
             known = spark.read.schema(_IDS).parquet(ids_root).where(F.col("month").isin(months) & (F.col("batch") < batch)) if months else None
             fresh = brought if known is None else brought.join(known.select(*keys), keys, "left_anti")
-            fresh.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", "batch").parquet(ids_root)
+            # By month, or every task would write a file for each month.
+            fresh.withColumn("batch", F.lit(batch)).hint("rebalance", F.col("month")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", "batch").parquet(ids_root)
             mine = spark.read.schema(_IDS).parquet(ids_root)
             mine = mine.where(F.col("month").isin(months) & (F.col("batch") == batch)) if months else mine.limit(0)
             new = mine.groupBy("org_login", "month").agg(*[F.count_if(F.col("slot") == name).alias(f"new_{name}") for name in SLOTS])
             # A null month has no ids above; its groups keep the counts that add up.
-            counts = login_month_panel(rows).join(new, ["org_login", "month"], "left").select(
+            counts = login_panel_of_rows(rows).join(new, ["org_login", "month"], "left").select(
                 "org_login", "month", *[F.coalesce(F.col(f"new_{m}"), F.lit(0)).alias(m) if m in SLOTS else m for m in C.LOGIN_PANEL_METRICS])
             counts.write.mode("overwrite").parquet(os.path.join(counts_root, f"batch={batch}"))
         finally:

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from commonspulse import constants as C
 from commonspulse import schemas
 from commonspulse.operators import panels
 from commonspulse.plans import archive_load
@@ -89,3 +90,19 @@ def test_additive_counts_on_a_stream(spark, root, tmp_path):
     whole = panels.login_month_panel(archive.read_archive(spark, root))
     expected = {(r["month"], r["public_events"], r["push_events"]) for r in whole.collect()}
     assert {(r["month"], r["public_events"], r["push_events"]) for r in spark.table("additive").collect()} == expected
+
+
+def test_panel_stream_stores_what_it_counts_and_few_files(spark, root, tmp_path):
+    """No payload is kept for the months to be computed again, and new ids are a file a month, not one a task and month."""
+    stored, deltas = str(tmp_path / "panel"), str(tmp_path / "deltas")
+    events = archive.read_archive(spark, root).drop("archive_hour")
+    panel.panel_batch(stored)(events, 0)
+    assert not {"payload", "repo", "actor"} & set(spark.read.parquet(f"{stored}/events").columns)
+    panel.create_deltas(spark, deltas)
+    panel.delta_batch(deltas)(events, 0)
+    months = [d for d in os.listdir(f"{deltas}/ids") if d.startswith("month=2024")]
+    files = [f for m in months for f in os.listdir(f"{deltas}/ids/{m}/batch=0") if f.startswith("part-")]
+    assert len(months) == 2 == len(files)
+    whole = sorted(map(tuple, panels.login_month_panel(events).collect()))
+    for found in (panel.read_panel(spark, stored), panel.summed_panel(spark, deltas)):
+        assert sorted(map(tuple, found.select("org_login", "month", *C.LOGIN_PANEL_METRICS).collect())) == whole
