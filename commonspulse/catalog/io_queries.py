@@ -184,6 +184,11 @@ def _target_export(spark, sf_dir) -> str:
         view(spark, sf_dir, "target"), target_panel(spark, sf_dir), path, FIRST, LAST))
 
 
+def _target_documents(spark, sf_dir, schema: str) -> DataFrame:
+    """The files of all targets: one folder is listed, where a glob path would be as many paths as there are files."""
+    return spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "[0-9]*.json").json(_target_export(spark, sf_dir))
+
+
 _TARGET_SUMS = ", ".join(f"cast(sum({m}) as bigint) as {m}" for m in C.TARGET_ADDITIVE_METRICS)
 
 
@@ -194,7 +199,7 @@ def target_files(spark, sf_dir):
     totals = ", ".join(f"{m}: bigint" for m in C.TARGET_ADDITIVE_METRICS)
     schema = (f"organization_id bigint, historical_login string, totals struct<{totals}>, "
               "monthly array<struct<month: string, public_events: bigint>>")
-    rows = spark.read.schema(schema).option("multiLine", True).json(_target_export(spark, sf_dir) + "/[0-9]*.json")
+    rows = _target_documents(spark, sf_dir, schema)
     return rows.select("organization_id", "historical_login", F.size("monthly").cast("bigint").alias("months"), "totals.*")
 
 
@@ -208,7 +213,7 @@ def target_file_months(spark, sf_dir):
     month = "month: string, " + ", ".join(f"{m}: bigint" for m in C.TARGET_PANEL_METRICS)
     schema = ("organization_id bigint, historical_login string, period struct<start: string, end: string>, "
               f"coverage struct<public_activity_only: boolean, persistent_database_created: boolean>, monthly array<struct<{month}>>")
-    rows = spark.read.schema(schema).option("multiLine", True).json(_target_export(spark, sf_dir) + "/[0-9]*.json")
+    rows = _target_documents(spark, sf_dir, schema)
     return rows.select(
         F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1).alias("file"), "organization_id", "historical_login",
         F.col("period.start").alias("period_start"), F.col("period.end").alias("period_end"), "coverage.*", F.inline("monthly"))
