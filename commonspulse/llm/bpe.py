@@ -27,6 +27,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from commonspulse.llm.common import lists_of, pieces, read, saved
 
@@ -187,8 +188,8 @@ def _assemble(block: pa.Table, coded: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.chunked_array(docs, pa.int64()), "ids": pa.chunked_array(parts, _LISTS)})
 
 
-def encode(docs: DataFrame, path: str, pattern: str, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``doc_id`` and ``ids`` of every whole text, as the rank file's library gives them without special tokens."""
+def _cut_and_coded(docs: DataFrame, path: str, pattern: str, block_words: int) -> PandasCogroupedOps:
+    """The blocks, each with the ids of its words."""
     spark = docs.sparkSession
     chars = docs.agg(F.sum(F.length(F.col("text").cast("string"))).alias("n")).first()["n"] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.isqrt(chars) // BUCKET_CHARS)
@@ -199,11 +200,15 @@ def encode(docs: DataFrame, path: str, pattern: str, block_words: int = BLOCK_WO
              .repartition(buckets, "bucket").sortWithinPartitions("bucket")
              .mapInArrow(_encode_words(path, pattern), "block long, bucket int, sizes binary, ids binary"))
     return (cut.filter("bucket is null").select("block", "docs", "counts", "buckets", "data").groupBy("block")
-            .cogroup(coded.groupBy("block")).applyInArrow(_assemble, "doc_id long, ids array<int>"))
+            .cogroup(coded.groupBy("block")))
 
 
-def decode(coded: DataFrame, path: str) -> DataFrame:
-    """Adds ``bytes``: the token bytes of ``ids``, joined."""
+def encode(docs: DataFrame, path: str, pattern: str, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``doc_id`` and ``ids`` of every whole text, as the rank file's library gives them without special tokens."""
+    return _cut_and_coded(docs, path, pattern, block_words).applyInArrow(_assemble, "doc_id long, ids array<int>")
+
+
+def _decoded(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks(path)
         tokens: list[bytes | None] = [None] * (max(table.values(), default=-1) + 1)
@@ -220,8 +225,24 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
                 whole = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(np.ascontiguousarray(bounds)), chosen.buffers()[2]])
                 yield pa.RecordBatch.from_arrays([*part.columns, whole], [*part.schema.names, "bytes"])
 
+    return decoded
+
+
+def decode(coded: DataFrame, path: str) -> DataFrame:
+    """Adds ``bytes``: the token bytes of ``ids``, joined."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema)
-    return coded.mapInArrow(decoded, f"{schema}, bytes binary")
+    return coded.mapInArrow(_decoded(path), f"{schema}, bytes binary")
+
+
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``decode`` of ``encode`` in one Python step: two in a row are two Python workers a core, which the executor keeps."""
+    decoded = _decoded(path)
+
+    def both(block: pa.Table, coded: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(decoded(_assemble(block, coded).to_batches()),
+                                     pa.schema([("doc_id", pa.int64()), ("ids", _LISTS), ("bytes", pa.binary())]))
+
+    return _cut_and_coded(docs, path, pattern, block_words).applyInArrow(both, "doc_id long, ids array<int>, bytes binary")
 
 
 def _public() -> tuple[str, str]:
@@ -233,7 +254,7 @@ def _public() -> tuple[str, str]:
 def digests(docs: DataFrame) -> DataFrame:
     """Per document the number and digest of its ids and the digest of the bytes they decode to."""
     path, pattern = _public()
-    return decode(encode(docs, path, pattern), path).select(
+    return encode_and_decode(docs, path, pattern).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -274,8 +274,8 @@ def write(ids: DataFrame, path: str, limit: int = LIMIT, block_ids: int = BLOCK_
     ids.select("doc_id", "part", "before", "ids").mapInArrow(blocks, _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
-def read_back(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id``, ``start`` and ``ids`` of every document, decoded block by block."""
+def _stored_blocks(spark: SparkSession, path: str) -> tuple[DataFrame, Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]]:
+    """The written blocks, and what makes ``doc_id``, ``start`` and ``ids`` of every document from them."""
     rows = spark.read.parquet(f"{path}/book").toPandas()  # one row per id of the vocabulary
     order = np.lexsort((rows["id"], rows["length"]))
     book = Book(rows["id"].to_numpy(np.int64)[order], rows["length"].to_numpy(np.int64)[order])
@@ -283,15 +283,21 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = decode_table(book)
         for batch in batches:
-            for row in batch.to_pylist():
-                values = decode_block(row["bits"], row["checkpoints"], row["n_ids"], table)
-                bounds = np.concatenate([[0], np.cumsum(row["sizes"], dtype=np.int64)])
+            for row in range(batch.num_rows):  # a block at a time
+                start, docs, sizes, n_ids, checkpoints, bits = (batch.column(c)[row] for c in ("start", "docs", "sizes", "n_ids", "checkpoints", "bits"))
+                values = decode_block(bits.as_buffer(), checkpoints.values.to_numpy(), n_ids.as_py(), table)
+                bounds = np.concatenate([[0], np.cumsum(sizes.values.to_numpy(), dtype=np.int64)])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(row["docs"], pa.int64()), pa.array(row["start"] + bounds[:-1], pa.int64()),
-                    lists_of(pa.array(values.astype(np.int32)), bounds),
+                    docs.values, pa.array(start.as_py() + bounds[:-1], pa.int64()), lists_of(pa.array(values.astype(np.int32)), bounds),
                 ], ["doc_id", "start", "ids"])
 
-    return spark.read.schema(_BLOCK).parquet(f"{path}/blocks").mapInArrow(decoded, "doc_id long, start long, ids array<int>")
+    return spark.read.schema(_BLOCK).parquet(f"{path}/blocks"), decoded
+
+
+def read_back(spark: SparkSession, path: str) -> DataFrame:
+    """``doc_id``, ``start`` and ``ids`` of every document, decoded block by block."""
+    blocks, decoded = _stored_blocks(spark, path)
+    return blocks.mapInArrow(decoded, "doc_id long, start long, ids array<int>")
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +313,9 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digests(docs: DataFrame, tokenizer: str, path: str) -> DataFrame:
     """Write all documents' ids to ``path``, read them back, and give place, number and checksum of each."""
     write(tokenized(docs, tokenizer), path)
-    return read_back(docs.sparkSession, path).mapInArrow(_digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    blocks, decoded = _stored_blocks(docs.sparkSession, path)
+    # One Python step: two in a row are two Python workers a core, which the executor keeps.
+    return blocks.mapInArrow(lambda batches: _digest(decoded(batches)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

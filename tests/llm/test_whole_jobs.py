@@ -220,3 +220,28 @@ def test_encode_sorts_by_bucket(spark):
     coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     plan = coded._jdf.queryExecution().executedPlan().toString()
     assert "Sort [bucket" in plan
+
+
+def python_steps(frame) -> list[str]:
+    """Python steps of the plan that is yet to run, but for those behind a shuffle."""
+    above, found = [], []
+    for line in frame._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        above = [(d, name) for d, name in above if d < depth]
+        above.append((depth, line))
+        if "InArrow" in line and not any("Exchange" in name for _, name in above):
+            found.append(line)
+    return found
+
+
+def test_digests_run_one_python_step_after_a_shuffle(spark):
+    docs = spark.createDataFrame([(2, "a b a"), (1, None), (None, ""), (2, "é  b.c")], "doc_id long, text string")
+    ids = huffman.digests(docs, public_tokenizers.path("word_bpe_49k.json"), scratch_dir(spark, "h"))
+    assert len(python_steps(ids)) == 1 and ids.count() == 4
+    path, pattern = bpe._public()
+    both = bpe.encode_and_decode(docs, path, pattern)
+    assert len(python_steps(both)) == 1
+    expected = bpe.decode(bpe.encode(docs, path, pattern), path)
+    assert len(python_steps(expected)) == 2
+    assert sorted(map(str, both.collect())) == sorted(map(str, expected.collect()))
+    assert bpe.digests(docs.limit(0)).count() == 0
