@@ -58,18 +58,18 @@ def _manifest_file(manifest: DataFrame, path: str, **more: object) -> dict:
 
 
 @contextmanager
-def _kept(panel: DataFrame) -> Iterator[None]:
-    """Keep the panel on the executors while its several outputs are written."""
-    panel.persist(StorageLevel.MEMORY_AND_DISK)
+def _kept(panel: DataFrame, key: str) -> Iterator[DataFrame]:
+    """The panel, kept on the executors while its several outputs are written; the months of a ``key`` lie together."""
+    together = panel.repartition(key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield
+        yield together
     finally:
-        panel.unpersist()
+        together.unpersist()
 
 
 def export_login_json(panel: DataFrame, root: str, start: str | date, end: str | date) -> dict:
     """One compact document per organization below its shard, and the manifest last."""
-    with _kept(panel):
+    with _kept(panel, "org_login") as panel:
         rows = D.document_text(D.named_apart(D.login_documents(panel, start, end)))
         name = F.concat_ws("/", "shard", F.concat("safe_login", F.lit(".json")))
         write_named_files(rows.select(name.alias("file"), "body"), root)
@@ -78,7 +78,7 @@ def export_login_json(panel: DataFrame, root: str, start: str | date, end: str |
 
 def export_targets(targets: DataFrame, panel: DataFrame, root: str, start: str | date, end: str | date) -> dict:
     """A document per target, the combined CSV and the manifest."""
-    with _kept(panel):
+    with _kept(panel, "organization_id") as panel:
         unknown = D.unknown_ids(panel, targets).limit(5).collect()
         if unknown:
             raise ValueError(f"Panel rows for ids that are no target: {[r[0] for r in unknown]}")
