@@ -140,11 +140,16 @@ _FILLED = {
        "select 'collection_run', 2, 1"]))
 def all_tables(spark, sf_dir):
     """Every table of the warehouse written once and scanned by its schema: rows and different keys."""
+    def stored(rows: DataFrame) -> DataFrame:
+        path = scratch_dir(spark, "load-step")
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
     def write(path: str) -> None:
         events = projections.event_rows(A.archive_events(spark, sf_dir), F.lit(COLLECTED))
         with runlog.audited_run(spark, f"{path}/collection_run", "load", "all"):
             tables.write_tables({
-                **loaded(spark, sf_dir),
+                **loaded(spark, sf_dir, keep=stored),
                 "repository_search_hit": search.ranked_hits(search_results(spark, sf_dir)),
                 "organization_public_monthly": projections.panel_rows(login_panel(spark, sf_dir), F.lit(COLLECTED)),
                 "gharchive_event": first_per_key(events, ["event_id"], ["archive_hour"]),

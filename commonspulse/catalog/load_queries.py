@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -391,7 +392,7 @@ TARGETS = """, wanted as (
 _WINDOW = """{time} <= timestamp '2000-06-01' and (c.since is null or {time} >= c.since)"""
 
 
-def loaded(spark, sf_dir, kept: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+def loaded(spark, sf_dir, kept: dict[str, DataFrame] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     targets = base(spark, sf_dir, "customer").select(
         F.col("c_name").alias("login"),
         F.when(F.col("c_nationkey") == 3, F.array(F.concat(F.lit("REPO-"), F.col("c_custkey")))).alias("repositories"),
@@ -400,7 +401,7 @@ def loaded(spark, sf_dir, kept: dict[str, DataFrame] | None = None) -> dict[str,
     stored = {name: spark.createDataFrame([], schemas.table_schema(name)) for name in schemas.TABLES}
     for name, rows in (kept or {}).items():
         stored[name] = stored[name].unionByName(rows, allowMissingColumns=True)
-    return landing_load.load_landing(all_landed(spark, sf_dir), targets, stored, until=UNTIL, include_archived=False)
+    return landing_load.load_landing(all_landed(spark, sf_dir), targets, stored, until=UNTIL, include_archived=False, keep=keep)
 
 
 def _last(columns, source: str, key: str, order: str) -> str:

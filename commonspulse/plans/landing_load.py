@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,13 +33,16 @@ def setup_files(landed: DataFrame) -> DataFrame:
 
 def load_landing(landed: Mapping[str, DataFrame], targets: DataFrame, stored: Mapping[str, DataFrame],
                  until=None, include_archived: bool = True, include_forks: bool = True,
-                 setup_dependencies: bool = True) -> dict[str, DataFrame]:
+                 setup_dependencies: bool = True, keep: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """The tables after taking in everything that landed for ``targets``.
 
     ``targets`` has the columns of ``TARGETS``; no repository names means all,
     no ``since`` means from the beginning.  Accounts that are not
     organizations are skipped with all they own; see ``rejected_accounts``.
+    ``keep`` stores rows that several tables are made from, for callers that
+    write more than one of them.
     """
+    keep = keep or (lambda rows: rows)
     wanted = targets.select(F.lower(F.btrim("login")).alias("target"), "repositories", "since")
 
     def of_targets(kind: str) -> DataFrame:
@@ -51,12 +54,13 @@ def load_landing(landed: Mapping[str, DataFrame], targets: DataFrame, stored: Ma
 
     files = setup_files(landed["setup"])
     latest_files = last_per_key(files, ["repo_id"], ["observed_at", "source"])
-    chosen = filters.select_repositories(
+    chosen = keep(filters.select_repositories(
         of_targets("repository").join(owners, "target"), F.col("repositories"),
         include_archived, include_forks, prefix="o.",
-    )
+    ))
     if setup_dependencies:
-        parsed = parsed_dependencies(latest_files.select("repo_id", "source"))
+        latest_files = keep(latest_files)
+        parsed = keep(parsed_dependencies(latest_files.select("repo_id", "source")))
         facts = latest_files.select("repo_id", F.col("source").isNotNull().alias("setup_py_present")).join(
             parsed, "repo_id"
         )
@@ -73,7 +77,7 @@ def load_landing(landed: Mapping[str, DataFrame], targets: DataFrame, stored: Ma
             F.lit(0).alias("dependency_count"),
         )
 
-    selected = chosen.groupBy(F.col("o.id").alias("repo_id")).agg(F.when(F.count_if(F.col("since").isNull()) == 0, F.min("since")).alias("since"))
+    selected = keep(chosen.groupBy(F.col("o.id").alias("repo_id")).agg(F.when(F.count_if(F.col("since").isNull()) == 0, F.min("since")).alias("since")))
 
     def of_selected(kind: str) -> DataFrame:
         return landed[kind].join(selected, "repo_id")

@@ -151,6 +151,26 @@ def test_landing_load(spark, rows):
     assert {r["setup_py_present"] for r in without["repository"].collect()} == {None}
 
 
+def test_rows_that_several_tables_share_are_kept_once(spark, rows):
+    objects = {"organization": [{"id": 1, "login": "Acme", "type": "Organization"}],
+               "repository": [{"id": k, "name": f"R{k}", "full_name": f"Acme/R{k}", "language": "Python"} for k in (10, 11, 11)],
+               "commit": [{"_repo": 10, "sha": "a"}, {"_repo": 12, "sha": "b"}], "issue": [{"_repo": 11, "id": 100, "number": 1}],
+               "pull": [], "setup": [{"_repo": 10, "encoding": "base64", "content": base64.b64encode(b"setup(install_requires=['a', 'b'])").decode()}]}
+    landed = {kind: typed_objects(rows(schemas.LANDED, *envelope(kind, *found)), kind) for kind, found in objects.items()}
+    stored = {n: spark.createDataFrame([], schemas.table_schema(n)) for n in schemas.TABLES}
+    targets = rows(landing_load.TARGETS, ("acme", None, None), (None, None, None))
+    kept = []
+
+    def keep(found):
+        kept.append(found)
+        return spark.createDataFrame(found.collect(), found.schema)
+
+    plain, shared = landing_load.load_landing(landed, targets, stored), landing_load.load_landing(landed, targets, stored, keep=keep)
+    assert len(kept) == 4 and sorted(plain) == sorted(shared)
+    for name, table in plain.items():
+        assert sorted(map(str, table.collect())) == sorted(map(str, shared[name].collect()))
+
+
 def test_personal_accounts_are_rejected(rows):
     frame = typed_objects(rows(schemas.LANDED, *envelope("organization", {"id": 1, "login": "u", "type": "User"},
                                                          {"id": 2, "login": "v"})), "organization")
