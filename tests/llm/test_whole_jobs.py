@@ -1,5 +1,6 @@
 """What operators once left out without notice: each test fails on the narrower job."""
 
+import random
 import zlib
 
 import corpus_pipeline
@@ -245,3 +246,99 @@ def test_digests_run_one_python_step_after_a_shuffle(spark):
     assert len(python_steps(expected)) == 2
     assert sorted(map(str, both.collect())) == sorted(map(str, expected.collect()))
     assert bpe.digests(docs.limit(0)).count() == 0
+
+
+def texts_given(monkeypatch, batch: pa.RecordBatch) -> tuple[list[str], list[list[int]]]:
+    """What the tokenizer library was given for a batch of texts, and the ids of each text."""
+    given = []
+
+    class Counted:
+        def __init__(self, coder):
+            self.coder = coder
+
+        def __getattr__(self, name):
+            return getattr(self.coder, name)
+
+        def encode_batch_fast(self, texts, **settings):
+            given.extend(texts)
+            return self.coder.encode_batch_fast(texts, **settings)
+
+    class Library:
+        @staticmethod
+        def from_file(path):
+            return Counted(Tokenizer.from_file(path))
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Library)
+    monkeypatch.setattr(huffman.TaskContext, "get", staticmethod(lambda: type("Task", (), {"partitionId": staticmethod(lambda: 0)})))
+    ids = []
+    for part in huffman._tokenize(public_tokenizers.path("word_bpe_49k.json"), huffman.END_ID)(iter([batch])):
+        ids += [np.frombuffer(x, "<u4").tolist() if isinstance(x, bytes) else x for x in part.column("ids").to_pylist() if x is not None]
+    return given, ids
+
+
+def test_new_words_of_letters_go_to_the_tokenizer_together(monkeypatch):
+    if hasattr(huffman, "_parts"):
+        huffman._parts.cache_clear()
+    draw = random.Random(11)
+    odd = ["İx", "क़क़", "יִ", "한", "ŉa", "ΑΣ", "straße", "ﬁne", "中文字", "ไทย", "ͅx", "ǅ", "x²", "Ωhm"]
+    words = [*("".join(draw.choices("abcdeéß", k=draw.randint(1, 12))) for _ in range(6000)), *odd * 2]
+    draw.shuffle(words)
+    texts = [*(" ".join(words[k:k + 40]) for k in range(0, len(words), 40)), None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    coder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = [[*coder.encode(t or "", add_special_tokens=False).ids, huffman.END_ID] for t in texts]
+    given, ids = texts_given(monkeypatch, batch)
+    assert ids == expected
+    assert len(given) < 6000 / 4  # each was one text
+    given, ids = texts_given(monkeypatch, batch)  # the next task of the worker
+    assert ids == expected and given == []
+    huffman._parts.cache_clear()
+
+
+def test_parts_beyond_the_memo_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(huffman, "MEMO_PARTS", 50)
+    known = huffman._Parts(public_tokenizers.path("word_bpe_49k.json"))
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcxyzé", k=4)) for _ in range(300)]
+    for start in range(0, 600, 60):
+        some = [words[(start + k) % 300] for k in range(90)] + words[:3] * 2
+        found = known.ids(pa.array(some).dictionary_encode()).to_pylist()
+        assert found == [known.coder.encode(w, add_special_tokens=False).ids for w in some]
+        assert len(known.names) == len(known.table)
+    assert len(known.names) < 150
+
+
+def test_ids_do_not_tell_ends_where_a_byte_or_an_added_token_hides_them():
+    coder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    vocabulary = coder.get_vocab()
+    ends = huffman.ends_of_words(coder, ["<|endoftext|>"])
+    assert ends[vocabulary["the</w>"]] and ends[vocabulary["!</w>"]] and not ends[vocabulary["the"]]
+    assert huffman.ends_of_words(coder, ["<|endoftext|>", "mask"]) is None
+    parts = pa.array(["one", "it's", "two"])
+    assert huffman.encode_parts(coder, None, parts).to_pylist() == huffman.encode_parts(coder, ends, parts).to_pylist()
+    assert huffman.encode_parts(coder, ends, parts[:0]).to_pylist() == []
+
+
+def test_blocks_hold_every_code_bit_by_bit():
+    draw = np.random.default_rng(2)
+    for n in (1, 2, 3, 4, 5, 257, 1000):
+        for low, high in ((1, 2), (16, 17), (1, 17), (15, 17)):
+            length = draw.integers(low, high, 40)
+            code = draw.integers(0, 1 << 16, 40) & ((1 << length) - 1)
+            values = draw.integers(0, 40, n).astype(np.uint32)
+            bits = "".join(format(code[v], f"0{length[v]}b") for v in values)
+            found, checkpoints = huffman.encode_block(values, code, length, stride=4)
+            assert "".join(format(x, "08b") for x in found) == bits + "0" * (-len(bits) % 8)
+            assert checkpoints.tolist() == np.append(0, np.cumsum(length[values]))[:n:4].tolist()
+
+
+def test_counts_beside_the_ids_are_those_of_the_ids(spark):
+    rows = [(k % 7, f"a b{k} <|endoftext|> é.{k % 3}" if k % 5 else None) for k in range(60)]
+    ids = huffman.tokenized(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path("word_bpe_49k.json"))
+    found, counted = ids.collect(), {}
+    for r in found:
+        if r["ids"] is not None:
+            for i in np.frombuffer(r["ids"], "<u4").tolist():
+                counted[r["part"], i] = counted.get((r["part"], i), 0) + 1
+    assert sum(r["ids"] is not None for r in found) == 60
+    assert {(r["part"], r["id"]): r["n"] for r in found if r["ids"] is None} == counted
