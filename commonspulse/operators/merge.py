@@ -53,9 +53,9 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
             continue
         kept = F.col(f"_old.`{name}`")
         if name in supplied:
-            value = F.when(F.col("_new").isNotNull(), F.col(f"_new.`{name}`")).otherwise(kept)
+            value = F.when(F.col("_new._hit"), F.col(f"_new.`{name}`")).otherwise(kept)
         elif name in defaults:
-            value = F.when(F.col("_old").isNull(), F.lit(defaults[name])).otherwise(kept)
+            value = F.when(F.col("_old._hit").isNull(), F.lit(defaults[name])).otherwise(kept)
         else:
             value = kept
         columns.append(value.cast(existing.schema[name].dataType).alias(name))

@@ -135,6 +135,16 @@ def repository_rows(landed: DataFrame) -> DataFrame:
     )
 
 
+def with_setup_facts(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """``repository_rows`` with what ``facts``, at most one row a repository, tell of its setup file."""
+    joined = rows.drop("setup_py_present", "dependency_count", "python_setup_eligible").join(facts, "repo_id", "left").withColumns({
+        "setup_py_present": F.coalesce("setup_py_present", F.lit(False)),
+        "dependency_count": F.coalesce("dependency_count", F.lit(0)).cast("int"),
+    })
+    return joined.withColumn("python_setup_eligible", setup_eligible(
+        F.col("language"), F.col("setup_py_present"), F.col("dependency_count"))).select(*rows.columns)
+
+
 def snapshot_rows(landed: DataFrame) -> DataFrame:
     return landed.select(
         F.col("o.id").alias("repo_id"),

@@ -88,11 +88,17 @@ def load_landing(landed: Mapping[str, DataFrame], targets: DataFrame, stored: Ma
     def newest(rows: DataFrame, table: str) -> DataFrame:
         return upsert(stored[table], last_per_key(rows, schemas.KEYS[table], ["collected_at"]), schemas.KEYS[table])
 
+    # What a setup file tells is the same for all rows of its repository: it joins the row that is picked.
+    unread = [F.lit(None).cast("boolean").alias("setup_py_present"), F.lit(0).alias("dependency_count")]
+    newest_repos = last_per_key(projections.repository_rows(chosen.drop("repo_id").select("*", *unread)), schemas.KEYS["repository"], ["collected_at"])
+    if setup_dependencies:
+        newest_repos = projections.with_setup_facts(newest_repos, facts.select("repo_id", "setup_py_present", F.size("dependencies").alias("dependency_count")))
+
     listed = repos.select(F.col("o.id").alias("repo_id"), "dependencies", "observed_at")
     dependencies = projections.dependency_rows(listed, F.col("observed_at"))
     return {
         "organization": newest(projections.organization_rows(accounts), "organization"),
-        "repository": newest(projections.repository_rows(repos), "repository"),
+        "repository": upsert(stored["repository"], newest_repos, schemas.KEYS["repository"]),
         "repository_metric_snapshot": insert_ignore(
             stored["repository_metric_snapshot"], projections.snapshot_rows(chosen),
             schemas.KEYS["repository_metric_snapshot"], ["stargazers_count", "forks_count"],

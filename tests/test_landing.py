@@ -201,3 +201,21 @@ def test_ranked_hits_are_cut_before_the_shuffle(rows):
     hits = ranked_hits(results, 5)
     assert [(r["rank"], r["repo_id"]) for r in hits.where("query = 'q'").orderBy("rank").collect()] == [(1, 8), (2, 17), (3, 26), (4, 7), (5, 16)]
     assert "WindowGroupLimit" in hits._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repositories_without_their_setup_columns_are_loaded_without_parsing(spark, rows):
+    """What a setup file tells joins the newest row of its repository, and only where it is asked for."""
+    repos = [{"id": 10, "name": n, "full_name": f"Acme/{n}", "language": language} for n, language in (("A", "Python"), ("B", "C"), ("C", "Python"))]
+    objects = {"organization": [{"id": 1, "login": "Acme", "type": "Organization"}],
+               "repository": [*repos, {"id": 11, "name": "D", "language": "Python"}, {"id": None, "name": "E"}],
+               "commit": [], "issue": [], "pull": [],
+               "setup": [{"_repo": 10, "encoding": "base64", "content": base64.b64encode(b"setup(install_requires=['a', 'b'])").decode()},
+                         {"_repo": None, "encoding": "none"}]}
+    landed = {kind: typed_objects(rows(schemas.LANDED, *envelope(kind, *found)), kind) for kind, found in objects.items()}
+    stored = {n: spark.createDataFrame([], schemas.table_schema(n)) for n in schemas.TABLES}
+    stored["repository"] = stored["repository"].unionByName(rows("repo_id bigint, name string, setup_py_present boolean, dependency_count int", (10, "old", None, 9), (12, "kept", True, 3)), allowMissingColumns=True)
+    table = landing_load.load_landing(landed, rows(landing_load.TARGETS, ("acme", None, None)), stored)["repository"]
+    shown = {r["repo_id"]: tuple(r)[1:] for r in table.select("repo_id", "name", "setup_py_present", "dependency_count", "python_setup_eligible").collect()}
+    assert shown == {10: ("C", True, 2, True), 11: ("D", False, 0, False), None: ("E", False, 0, False), 12: ("kept", True, 3, None)}
+    assert "ArrowEvalPython" in table._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in table.select("repo_id", "name")._jdf.queryExecution().executedPlan().toString()
