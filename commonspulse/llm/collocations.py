@@ -11,8 +11,8 @@ many, so sizes are counted one after the other, each over the places that the si
    an entry stands and the rest (the full remainder) is kept, so a filter is lossless.  An entry costs its remainder,
    two bits of place and one byte of count (more for larger counts).
 3. A filter is cut by the first bits of the quotient into shards.  Each shard's sorted filters meet and are merged as
-   they come in.  Equal n-grams are one entry of a task's filter before they are sent, so a frequent phrase is no
-   heavier than a rare one, and permuted keys deal the rest evenly.
+   they come in; a task has its shards one after the other and holds one.  Equal n-grams are one entry of a task's filter
+   before they are sent, so a frequent phrase is no heavier than a rare one, and permuted keys deal the rest evenly.
 4. Frequent n-grams of a size set bits of a table of bounded size, which is sent to the tasks of the next size.  It only
    keeps hopeless places out; where it lets one through, the exact count drops it.
 
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -38,10 +39,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from commonspulse.llm.common import looked_up, mixed, pieces, read, saved, window_hashes
+from commonspulse.session import large_rows
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 HELD = 1 << 20  # entries that a task gathers before it sends them
 SHARD = 1 << 21  # n-grams of the corpus for each shard
+TASK_SHARDS = 2  # shards for each task that merges one after the other; it writes a file for each size
 BITS_EACH, MOST_BITS = 16, 1 << 28  # of the table of frequent n-grams: per entry, and at most
 MOST_WORDS = 1 << 22  # whose ids are sent to the tasks, 8 bytes each
 LONG_WORD = 1 << 12  # characters; longer words are never broadcast
@@ -85,11 +88,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = np.concatenate([[False], (np.diff(piece) != 0) | (np.diff(owner) != 0)])
         stream = np.full(len(codes) + int(fresh.sum()), -1, np.int32)
         stream[np.arange(len(codes)) + np.cumsum(fresh)] = codes
-        yield pa.RecordBatch.from_arrays([
-            pa.array([langs.dictionary.take(pa.array(known // len(words.dictionary))).to_pylist()], pa.list_(pa.string())),
-            pa.array([words.dictionary.take(pa.array(known % len(words.dictionary))).to_pylist()], pa.list_(pa.string())),
-            pa.array([np.bincount(codes, minlength=len(known)).tolist()], pa.list_(pa.int64())), pa.array([stream.tobytes()], pa.binary())],
-            ["langs", "words", "counts", "codes"])
+        lists = [langs.dictionary.take(pa.array(known // len(words.dictionary))), words.dictionary.take(pa.array(known % len(words.dictionary))),
+                 pa.array(np.bincount(codes, minlength=len(known)))]
+        yield pa.RecordBatch.from_arrays([*(pa.ListArray.from_arrays(pa.array([0, len(known)], pa.int32()), x) for x in lists), pa.array([stream.tobytes()], pa.binary())],
+                                         ["langs", "words", "counts", "codes"])
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
@@ -103,8 +105,9 @@ def word_id(lang: Column, word: Column, seed: int) -> Column:
 
 def word_counts(blocks: DataFrame) -> tuple[DataFrame, int]:
     """(lang, word, f, id) of all words, and the seed by which ids are one to one."""
-    counted = saved(blocks.select(F.explode(F.arrays_zip("langs", "words", "counts")).alias("x")).groupBy(
-        F.col("x.langs").alias("lang"), F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("f")), "word-counts")
+    with large_rows(blocks.sparkSession):
+        counted = saved(blocks.select(F.explode(F.arrays_zip("langs", "words", "counts")).alias("x")).groupBy(
+            F.col("x.langs").alias("lang"), F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("f")), "word-counts")
     seed = 0
     while True:
         words = counted.withColumn("id", word_id(F.col("lang"), F.col("word"), seed))
@@ -257,6 +260,7 @@ class Counter:
 
     def settle(self) -> tuple[np.ndarray, np.ndarray]:
         keys, counts = (np.concatenate([p[k] for p in self.parts]) for k in (0, 1)) if self.parts else (np.zeros((0, len(self.bits)), np.uint64), np.zeros(0, np.int64))
+        self.parts = []  # else they are held while their copy is sorted
         self.parts = [merged(keys, counts)]
         self.size, self.fresh = len(self.parts[0][0]), 0
         return self.parts[0]
@@ -372,16 +376,16 @@ def _counted(size: int, width: int, shard_bits: int, seen) -> Callable[[Iterator
 
 
 def _added(size: int, shard_bits: int, sent, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Merges the filters of each shard as they come in; n-grams of ``least`` occurrences leave with their words' ids."""
+    """Merges the filters, ordered by shard, as they come in; n-grams of ``least`` occurrences leave with their words' ids."""
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, _, width = sent.value
         bits = [width * count for count in lanes_of(size, width)]
-        shards: dict[int, Counter] = {}
-        for batch in batches:
-            for shard, raw in zip(batch.column("shard").to_pylist(), batch.column("filter").to_pylist(), strict=True):
-                shards.setdefault(shard, Counter(bits, 0)).add(*unpack(raw, bits, shard_bits, shard))
-        for shard in list(shards):
-            keys, counts = shards.pop(shard).settle()
+        rows = ((shard.as_py(), raw) for batch in batches for shard, raw in zip(batch.column("shard"), batch.column("filter"), strict=True))
+        for shard, filters in groupby(rows, lambda row: row[0]):
+            counter = Counter(bits, 0)
+            for _, raw in filters:
+                counter.add(*unpack(raw.as_py(), bits, shard_bits, shard))
+            keys, counts = counter.settle()
             keys, counts = keys[counts >= least], counts[counts >= least]
             numbers = unpacked(restored(keys, bits), size, width)
             probes = np.concatenate([window_hashes(row, size) for row in numbers]) if len(numbers) else np.zeros(0, np.uint64)
@@ -396,21 +400,25 @@ def _added(size: int, shard_bits: int, sent, least: int) -> Callable[[Iterator[p
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """(lang, word, f, id) of all words, and (ids, f) of all phrases of 1 to ``longest`` words with ``least`` occurrences."""
     spark = docs.sparkSession
-    blocks = saved(blocks_of(docs), "word-blocks")
+    with large_rows(spark):
+        blocks = saved(blocks_of(docs), "word-blocks")
     words, seed = word_counts(blocks)
     total = words.agg(F.sum("f")).first()[0] or 0
     singles = words.filter(F.col("f") >= least)
     told = numbering(singles)
     sent = spark.sparkContext.broadcast(told)
     levels = [singles.select(F.array("id").alias("ids"), "f")]
-    ids = F.transform(F.arrays_zip("langs", "words"), lambda x: word_id(x["langs"], x["words"], seed))
-    numbered = saved(blocks.select(ids.alias("ids"), "codes").mapInArrow(_numbered(sent), "ids binary, codes binary"), "word-codes")
-    parts = max(1, -(-total // SHARD))
+    ids = F.transform("words", lambda word, k: word_id(F.get("langs", k), word, seed))
+    with large_rows(spark):
+        numbered = saved(blocks.select(ids.alias("ids"), "codes").mapInArrow(_numbered(sent), "ids binary, codes binary"), "word-codes")
+    shards = max(1, -(-total // SHARD))
     seen = None
     for size in range(2, longest + 1):
-        shard_bits = min((parts - 1).bit_length(), told.width * lanes_of(size, told.width)[0] - 1)
-        found = saved(numbered.mapInArrow(_counted(size, told.width, shard_bits, seen), "shard long, filter binary").repartition(parts, "shard").mapInArrow(
-            _added(size, shard_bits, sent, least), "ids array<long>, f long, probe long"), "phrases")
+        shard_bits = min((shards - 1).bit_length(), told.width * lanes_of(size, told.width)[0] - 1)
+        filters = numbered.mapInArrow(_counted(size, told.width, shard_bits, seen), "shard long, filter binary")
+        with large_rows(spark):
+            found = saved(filters.repartition(-(-shards // TASK_SHARDS), "shard").sortWithinPartitions("shard").mapInArrow(
+                _added(size, shard_bits, sent, least), "ids array<long>, f long, probe long"), "phrases")
         levels.append(found.select("ids", "f"))
         if size < longest:
             table = seen_table(found)

@@ -20,7 +20,11 @@ _SPARKS_OWN = {
     "spark.sql.files.maxPartitionBytes": "134217728b",
     "spark.sql.files.openCostInBytes": "4194304b",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "67108864b",
+    "spark.sql.parquet.columnarReaderBatchSize": "4096",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "67108864b",
 }
+# Rows that Spark decodes at once and bytes that it gives to Python at once, where a row takes megabytes.
+LARGE_ROWS = {"spark.sql.parquet.columnarReaderBatchSize": "4", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 FILE_SIZE = "64m"  # shuffled bytes of a file of a table that is kept
 
 SETTINGS = {
@@ -69,6 +73,20 @@ def whole_files(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, size)
 
 
+@contextmanager
+def large_rows(spark: SparkSession) -> Iterator[None]:
+    """What is run meanwhile reads a few rows at once; a size that was chosen stays."""
+    before = {key: spark.conf.get(key) for key in LARGE_ROWS}
+    for key, size in LARGE_ROWS.items():
+        if before[key] == _SPARKS_OWN[key]:
+            spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        for key, size in before.items():
+            spark.conf.set(key, size)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 

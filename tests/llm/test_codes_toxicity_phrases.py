@@ -4,8 +4,10 @@ import collections
 import math
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -299,6 +301,53 @@ def test_keys_alike_in_their_first_lane_stay_apart():
     assert [x.tolist() for x in collocations.unpack(raw, [64, 64], 0, 0)] == [found.tolist(), counts.tolist()]
 
 
+def test_a_task_holds_one_shard_at_a_time():
+    width, shard_bits, rng = 8, 2, np.random.default_rng(3)
+    bits = [width * c for c in collocations.lanes_of(2, width)]
+    given, expected = [], collections.Counter()
+    for _ in range(3):
+        ids = rng.integers(0, 100, (4000, 2), np.uint64)
+        counter = collocations.Counter(bits, shard_bits)
+        counter.add(collocations.permuted(collocations.packed(ids, width), bits), np.ones(len(ids), np.int64))
+        given += counter.filters()
+        expected.update(map(tuple, ids.tolist()))
+    taken = []
+
+    def batches():
+        for shard, raw in sorted(given):
+            taken.append(shard)
+            yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([raw])], ["shard", "filter"])
+
+    sent = SimpleNamespace(value=collocations.Numbering(np.arange(100, dtype=np.uint64), None, width))
+    out, held = [], []
+    for batch in collocations._added(2, shard_bits, sent, 2)(batches()):
+        out += zip(map(tuple, batch.column("ids").to_pylist()), batch.column("f").to_pylist(), strict=True)
+        held.append(set(taken))
+    assert [len(x) for x in held] == [2, 3, 4, 4]  # a shard leaves when the first filter of the next one comes
+    assert dict(out) == {g: c for g, c in expected.items() if c >= 2} and len(out) == len(dict(out))
+
+
+def test_blocks_are_read_a_few_at_a_time(spark, monkeypatch):
+    keys, real, read_by = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxBytesPerBatch"), collocations.saved, {}
+    before = [spark.conf.get(k) for k in keys]
+
+    def watched(frame, purpose):
+        read_by.setdefault(purpose, []).append(tuple(spark.conf.get(k) for k in keys))
+        if purpose == "phrases":
+            read_by["tasks"] = frame.rdd.getNumPartitions()
+        return real(frame, purpose)
+
+    monkeypatch.setattr(collocations, "saved", watched)
+    monkeypatch.setattr(collocations, "SHARD", 8)
+    rows = [("ab cd ef ab cd ef. ab cd", "en")] * 16
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(2)
+    found = sorted(tuple(r) for r in collocations.collocations(docs, 2, 3, 9).collect())
+    assert found == naive_phrases(rows, 2, 3, 9)
+    assert {x for purpose in ("word-blocks", "word-counts", "word-codes", "phrases") for x in read_by[purpose]} == {("4", "4m")}
+    assert read_by["tasks"] == 8  # 128 words are 16 shards
+    assert [spark.conf.get(k) for k in keys] == before
+
+
 def test_phrases_of_more_words_than_are_sent(spark, monkeypatch):
     monkeypatch.setattr(collocations, "MOST_WORDS", 3)
     rng = random.Random(4)

@@ -27,3 +27,13 @@ def test_tables_that_are_kept_have_files_of_the_usual_size(spark, rows, tmp_path
     archive.write_typed_months(typed, str(tmp_path / "typed"))
     assert sizes == [session.FILE_SIZE]
     assert spark.conf.get(SHUFFLED) == session.TASK_SIZES[SHUFFLED] and spark.read.parquet(str(tmp_path / "typed")).count() == 2
+
+
+def test_large_rows_are_read_a_few_at_a_time(spark):
+    keys = list(session.LARGE_ROWS)
+    other = spark.newSession()
+    before = other.conf.get(keys[0])
+    other.conf.set(keys[1], "9m")
+    with session.large_rows(other):
+        assert [other.conf.get(k) for k in keys] == [session.LARGE_ROWS[keys[0]], "9m"]
+    assert [other.conf.get(k) for k in keys] == [before, "9m"]
